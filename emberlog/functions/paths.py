@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 from emberlog.constants import BATCH_FILE_PATTERN
 
 
-def batch_id_of(path: Column) -> Column:
-    """Batch id from the file name, or the first 8 hex digits of the path's md5."""
+def batch_id_of(path: Column, declared: Column | None = None) -> Column:
+    """Batch id from the file name, else the declared one, else 8 hex digits of the path's md5."""
     named = F.regexp_extract(path, BATCH_FILE_PATTERN, 1)
-    return F.when(named != "", named).otherwise(F.substring(F.md5(path), 1, 8))
+    hashed = F.substring(F.md5(path), 1, 8)
+    candidates = [F.when(named != "", named), hashed]
+    if declared is not None:
+        candidates.insert(1, declared)
+    return F.coalesce(*candidates)
 
 
 def path_value(path: Column, key: str) -> Column:

@@ -26,12 +26,16 @@ class Rule(NamedTuple):
 
 
 class ContractError(ValueError):
-    """A table breaks its contract; ``counts`` maps (rule, column) to broken rows."""
-
-    def __init__(self, table: str, counts: dict[tuple[str, str], int]):
-        self.counts = counts
-        listed = ", ".join(f"{rule}({column}): {n}" for (rule, column), n in sorted(counts.items()))
-        super().__init__(f"{table} breaks its contract: {listed}")
+    """Tables break their contract; ``broken`` maps table to (rule, column) to row count."""
+
+    def __init__(self, broken: dict[str, dict[tuple[str, str], int]]):
+        self.broken = broken
+        listed = "; ".join(
+            f"{table}: "
+            + ", ".join(f"{rule}({column}): {n}" for (rule, column), n in sorted(counts.items()))
+            for table, counts in sorted(broken.items())
+        )
+        super().__init__(f"contract broken in {listed}")
 
 
 # --- building blocks -------------------------------------------------------------------
@@ -241,18 +245,25 @@ def error_counts(marked: DataFrame) -> DataFrame:
     )
 
 
-def enforce(frame: DataFrame, table: str, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Return the conformed table, or raise with the counts of every broken rule.
+def enforce_all(frames: dict[str, DataFrame]) -> None:
+    """Raise with every broken rule of every table; all tables are checked in one job.
 
-    The only thing that reaches the driver is one row per rule.
+    The only thing that reaches the driver is one row per broken rule.
     """
-    rules = GOLD_RULES[table]() if rules is None else rules
-    counts = {
-        (row["rule"], row["column"]): row["broken_rows"]
-        for row in error_counts(mark(frame, rules)).collect()
-    }
-    if counts:
-        raise ContractError(table, counts)
+    counted = None
+    for table, frame in frames.items():
+        part = error_counts(mark(frame, GOLD_RULES[table]())).withColumn("table", F.lit(table))
+        counted = part if counted is None else counted.unionByName(part)
+    broken: dict[str, dict] = {}
+    for row in counted.collect():
+        broken.setdefault(row["table"], {})[(row["rule"], row["column"])] = row["broken_rows"]
+    if broken:
+        raise ContractError(broken)
+
+
+def enforce(frame: DataFrame, table: str) -> DataFrame:
+    """The conformed table, or ContractError."""
+    enforce_all({table: frame})
     return conform(frame, table)
 
 

@@ -17,58 +17,34 @@ HEALTH_COLUMNS = ("target_entity_health_pct_before", "target_entity_health_pct_a
 _FLAG_COLUMNS = ("is_critical_hit", "is_resisted", "is_blocked", "is_absorbed")
 
 
-def _typed(value: Column, have: T.DataType, want: T.DataType) -> Column:
-    if isinstance(want, T.ArrayType):
-        return coercion.clean_tags(value) if isinstance(have, T.ArrayType) else coercion.to_tags(value)
-    if isinstance(want, T.TimestampType):
-        return value if isinstance(have, T.TimestampNTZType) else coercion.to_instant(value)
-    if isinstance(want, T.DoubleType):
-        return coercion.to_double(value)
-    if isinstance(want, T.LongType):
-        return coercion.to_whole(value)
-    if isinstance(want, T.BooleanType):
-        return coercion.to_flag(value)
-    return value.cast("string")
-
-
 def cast_types(events: DataFrame) -> DataFrame:
     """Contract types for every event column present; what does not parse becomes null."""
     have = {f.name: f.dataType for f in events.schema.fields}
-    typed = {
-        f.name: _typed(F.col(f.name), have[f.name], f.dataType)
+    return events.withColumns({
+        f.name: F.expr(coercion.typed_sql(f.name, have[f.name], f.dataType))
         for f in EVENT_SCHEMA.fields
         if f.name in have
-    }
-    return events.withColumns(typed)
+    })
 
 
 def parse_text_events(raw: DataFrame) -> DataFrame:
     """Typed events from all-text ones, trimmed, with ``_uncast``: columns that failed."""
-    text = {
-        f.name: F.trim(F.col(f.name)) for f in raw.schema.fields
+    text = [
+        f.name for f in raw.schema.fields
         if f.name in EVENT_SCHEMA.names and isinstance(f.dataType, T.StringType)
-    }
-    checked = [
-        f.name for f in EVENT_SCHEMA.fields
-        if f.name in text and not isinstance(f.dataType, (T.StringType, T.ArrayType))
-    ]
-    failed = [
-        F.when(
-            F.col(name).isNotNull() & _typed(F.col(name), T.StringType(), EVENT_SCHEMA[name].dataType).isNull(),
-            F.lit(name),
-        )
-        for name in checked
-    ]
-    # An array field must hold a JSON list when it holds anything.
-    failed += [
-        F.when(F.col(f.name).isNotNull() & ~F.col(f.name).startswith("["), F.lit(f.name))
-        for f in EVENT_SCHEMA.fields
-        if f.name in text and isinstance(f.dataType, T.ArrayType)
     ]
-    trimmed = raw.withColumns(text)
-    return cast_types(
-        trimmed.withColumn(UNCAST, F.filter(F.array(*failed), lambda c: c.isNotNull()))
-    )
+    failed = []
+    for name in text:
+        want = EVENT_SCHEMA[name].dataType
+        if isinstance(want, T.ArrayType):
+            # A list field must hold a JSON list when it holds anything.
+            failed.append(f"if({name} IS NOT NULL AND NOT startswith({name}, '['), '{name}', NULL)")
+        elif not isinstance(want, T.StringType):
+            typed = coercion.typed_sql(name, T.StringType(), want)
+            failed.append(f"if({name} IS NOT NULL AND {typed} IS NULL, '{name}', NULL)")
+    names = f"filter(array({', '.join(failed)}), x -> x IS NOT NULL)"
+    trimmed = raw.withColumns({name: F.expr(f"trim({name})") for name in text})
+    return cast_types(trimmed.withColumn(UNCAST, F.expr(names)))
 
 
 def fill_defaults(events: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -224,12 +200,10 @@ def refine_report(events: DataFrame) -> DataFrame:
 def as_silver(events: DataFrame) -> DataFrame:
     """Exactly the Silver columns, in order and type; absent ones become null."""
     have = set(events.columns)
-    return events.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in SILVER_SCHEMA.fields
-        ]
-    )
+    return events.selectExpr(*[
+        f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in SILVER_SCHEMA.fields
+    ])
 
 
 def not_yet_in(events: DataFrame, silver: DataFrame) -> DataFrame:

@@ -48,14 +48,18 @@ def built(
 ):
     """The four tables, with the roll-up they share kept while the block runs.
 
-    Events are scanned once for the roll-up and once, two columns wide, for damage taken.
-    The roll-up is kept in memory and on disk; a lost executor only costs recomputation.
+    Events are scanned once for the roll-up and once, a few columns wide, for damage
+    taken.  Both are small next to the events and kept in memory and on disk; a lost
+    executor only costs recomputation.
     """
     totals = facts.player_totals(events, sum_type).persist(StorageLevel.MEMORY_AND_DISK)
-    received = facts.received_by_target(events, player_prefix, sum_type)
+    received = facts.received_by_target(events, player_prefix, sum_type).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     try:
         yield gold_from(totals, received, player_prefix, victim, **limits)
     finally:
+        received.unpersist()
         totals.unpersist()
 
 
@@ -111,20 +115,26 @@ def publish(tables: GoldTables, folder: str, policy: str = "fail") -> list[dict]
     if policy not in ("fail", "reject"):
         raise ValueError(f"policy must be 'fail' or 'reject', not {policy!r}")
     order = ("dim_player", "dim_raid", "fact_raid_summary", "fact_player_raid_stats")
-    ready, rejects = {}, {}
-    for name in order:
-        frame = getattr(tables, name)
-        if policy == "fail":
-            ready[name] = contract.enforce(frame, name)
-        else:
-            valid, bad = contract.split(contract.mark(frame, contract.GOLD_RULES[name]()))
-            ready[name], rejects[name] = contract.conform(valid, name), bad
-    results = [write_gold(ready[name], folder, name) for name in order]
+    frames = {name: getattr(tables, name) for name in order}
+    rejects = {}
+    if policy == "fail":
+        contract.enforce_all(frames)
+    else:
+        for name, frame in frames.items():
+            frames[name], rejects[name] = contract.split(
+                contract.mark(frame, contract.GOLD_RULES[name]())
+            )
+    results = [write_gold(contract.conform(frames[name], name), folder, name) for name in order]
     for name, bad in rejects.items():
         results.append(write_gold(bad, folder, f"{name}_rejects", ()))
     return results
 
 
+def read_tables(spark: SparkSession, folder: str) -> GoldTables:
+    """The published tables."""
+    return GoldTables(*[read_gold(spark, folder, name) for name in GoldTables._fields])
+
+
 def run_gold(
     spark: SparkSession, silver: str, folder: str, policy: str = "fail", **options
 ) -> list[dict]:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from emberlog import constants as C
 from emberlog.operators import contract, quality, refine
-from emberlog.plans.gold import built, publish
+from emberlog.plans.gold import built, publish, read_tables
+from emberlog.schemas import EVENT_COLUMNS
 from emberlog.sources import bronze
 from emberlog.sources.files import write_table
 from emberlog.sources.silver import read_silver, read_silver_or_empty, touched_only, write_silver
@@ -28,6 +29,14 @@ def typed_events(documents: DataFrame, as_of: str | None = None) -> DataFrame:
     return refine.fill_defaults(refine.parse_text_events(bronze.events_of(documents)), as_of)
 
 
+def silver_input(documents: DataFrame, as_of: str | None = None) -> DataFrame:
+    """What refinement needs: the contract columns and the place in the batch.
+
+    Leaving out the checks' columns saves their parsing and keeps them out of the shuffle.
+    """
+    return typed_events(documents, as_of).select(*EVENT_COLUMNS, "batch_id", "idx")
+
+
 def run_silver(
     spark: SparkSession, layers: Layers, layout: str = "lines", batch_id: str | None = None,
     incremental: bool = False, as_of: str | None = None,
@@ -38,7 +47,7 @@ def run_silver(
     partitions lack; otherwise the partitions present in Bronze are replaced.
     """
     documents = bronze.read_documents(spark, layers.bronze, layout)
-    events = typed_events(documents, as_of)
+    events = silver_input(documents, as_of)
     if batch_id is not None:
         events, incremental = events.filter(F.col("batch_id") == batch_id), True
     refined, seen, unique = refine.refine_observed(events)
@@ -56,11 +65,7 @@ def run_gold_stage(
 ) -> list[dict]:
     with built(read_silver(spark, layers.silver), **options) as tables:
         written = publish(tables, layers.gold, policy)
-        checks = quality.coherence(
-            tables.fact_raid_summary, tables.fact_player_raid_stats,
-            tables.dim_player, tables.dim_raid,
-        )
-        write_table(checks, f"{layers.gold}/coherence")
+    write_table(quality.coherence(*read_tables(spark, layers.gold)), f"{layers.gold}/coherence")
     return [{"stage": "gold", **entry} for entry in written]
 
 

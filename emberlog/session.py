@@ -7,7 +7,9 @@ from pyspark.sql import SparkSession
 
 # Time zone: operators compare and truncate instants as UTC.
 # Dynamic partition overwrite: re-running a load replaces only the partitions it touches.
+# Call-site capture of every column expression only costs driver time.
 SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -53,45 +53,49 @@ def stream_documents(
     return _described(source.load(path))
 
 
+_ENVELOPE = "batch_id string, ingest_timestamp string, events array<string>"
+
+
 def unpacked(documents: DataFrame) -> DataFrame:
     """Shape, batch id and list of raw event texts of each document.
 
     ``shape`` is ``envelope``, ``array``, ``single`` or ``malformed``; ``items`` is null
-    for a malformed document and empty for an empty batch.
+    for a malformed document and empty for an empty batch.  A well-formed envelope or
+    array is parsed once; only the other cases look at the text again.
     """
     body = F.trim(F.col("body"))
-    keys = F.json_object_keys(body)
-    listed = F.get_json_object(body, "$.events")
+    is_array = body.startswith("[")
+    parsed = (
+        documents.withColumn("body", body)
+        .filter(F.col("body") != "")
+        .withColumn("_env", F.when(~is_array, F.from_json("body", _ENVELOPE)))
+        .withColumn("_list", F.when(is_array, F.from_json("body", "array<string>")))
+    )
+    keys = F.json_object_keys("body")
     shape = (
-        F.when(body.startswith("["), "array")
+        F.when(is_array, F.when(F.col("_list").isNull(), "malformed").otherwise("array"))
+        .when(F.col("_env.events").isNotNull(), "envelope")
         .when(keys.isNull(), "malformed")
-        .when(F.array_contains(keys, "events"), "envelope")
-        .otherwise("single")
+        .when(~F.array_contains(keys, "events"), "single")
+        # An ``events`` field that is not a list.
+        .when(F.get_json_object("body", "$.events").isNotNull(), "malformed")
+        .otherwise("envelope")
     )
-    array_text = F.when(F.col("shape") == "array", body).when(F.col("shape") == "envelope", listed)
     items = (
-        F.when(F.col("shape") == "single", F.array(body))
-        .when((F.col("shape") == "envelope") & listed.isNull(), F.array().cast("array<string>"))
-        .otherwise(F.from_json(array_text, "array<string>", {"mode": "PERMISSIVE"}))
+        F.when(F.col("shape") == "array", F.col("_list"))
+        .when(F.col("shape") == "single", F.array("body"))
+        .when(
+            F.col("shape") == "envelope",
+            F.coalesce("_env.events", F.array().cast("array<string>")),
+        )
     )
     return (
-        documents.filter(body != "")
-        .withColumn("shape", shape)
+        parsed.withColumn("shape", shape)
         .withColumn("items", items)
-        .withColumn("shape", F.when(F.col("items").isNull(), "malformed").otherwise(F.col("shape")))
-        .withColumn(
-            "batch_id",
-            F.coalesce(
-                F.when(F.col("shape") == "envelope", F.get_json_object(body, "$.batch_id")),
-                batch_id_of(F.col("path")),
-            ),
-        )
-        .withColumn(
-            "ingest_timestamp",
-            F.when(F.col("shape") == "envelope", F.get_json_object(body, "$.ingest_timestamp")),
-        )
+        .withColumn("batch_id", batch_id_of(F.col("path"), F.col("_env.batch_id")))
+        .withColumn("ingest_timestamp", F.col("_env.ingest_timestamp"))
         .withColumn("event_count", F.coalesce(F.size("items"), F.lit(0)).cast("bigint"))
-        .drop("body")
+        .drop("body", "_env", "_list")
     )
 
 
@@ -120,27 +124,23 @@ def events_of(documents: DataFrame) -> DataFrame:
     ``_extra_keys`` lists fields the contract does not know.  The raid of the path is used
     only when the event names none.
     """
-    known = F.array(*[F.lit(c) for c in EVENT_COLUMNS])
+    known = F.lit(list(EVENT_COLUMNS))
+    # The outer form keeps the optimizer from copying the parsing into a size filter
+    # below the explode; the rows it adds for empty lists have no position.
     items = unpacked(documents).select(
-        "path", "batch_id", "ingest_timestamp", F.posexplode("items").alias("idx", "text")
-    )
-    parsed = items.withColumn("e", F.from_json("text", RAW_EVENT_SCHEMA))
-    columns = [
-        F.coalesce(F.col("e.raid_id"), raid_of(F.col("path"))).alias(c)
-        if c == "raid_id"
-        else F.col(f"e.{c}").alias(c)
-        for c in EVENT_COLUMNS
-    ]
-    return parsed.select(
-        *columns,
+        "path", "batch_id", "ingest_timestamp", F.posexplode_outer("items").alias("idx", "text")
+    ).filter(F.col("idx").isNotNull())
+    extra = F.array_except(F.json_object_keys("text"), known)
+    return items.select(
+        F.from_json("text", RAW_EVENT_SCHEMA).alias("e"), "*"
+    ).select(
+        "e.*",
         "path",
         "batch_id",
         "ingest_timestamp",
         F.col("idx").cast("bigint").alias("idx"),
-        F.coalesce(
-            F.array_except(F.json_object_keys("text"), known), F.array().cast("array<string>")
-        ).alias(EXTRA_KEYS),
-    )
+        F.coalesce(extra, F.array().cast("array<string>")).alias(EXTRA_KEYS),
+    ).withColumn("raid_id", F.coalesce(F.col("raid_id"), raid_of(F.col("path"))))
 
 
 def read_events(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:

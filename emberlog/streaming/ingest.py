@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from emberlog import constants as C
 from emberlog.operators import contract, refine
-from emberlog.plans.medallion import checked_events, typed_events
+from emberlog.plans.medallion import checked_events, silver_input
 from emberlog.schemas import SILVER_PARTITIONS
 from emberlog.sources import bronze
 from emberlog.sources.files import write_table
@@ -94,7 +94,7 @@ def refine_batch(documents: DataFrame, silver: str, as_of: str | None = None) ->
     repeated micro-batch finds its own rows and adds nothing.
     """
     spark = documents.sparkSession
-    refined = refine.as_silver(refine.refine(typed_events(documents, as_of))).persist(
+    refined = refine.as_silver(refine.refine(silver_input(documents, as_of))).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
@@ -131,7 +131,7 @@ def refine_stream_within(
     :func:`refine_stream` where every row has to arrive.
     """
     documents = bronze.stream_documents(spark, source, layout, max_files)
-    typed = typed_events(documents, as_of).withWatermark("timestamp", delay)
+    typed = silver_input(documents, as_of).withWatermark("timestamp", delay)
     unique = typed.dropDuplicatesWithinWatermark(["event_id"])
     refined = refine.as_silver(refine.enrich(refine.in_range(unique)))
     writer = (
