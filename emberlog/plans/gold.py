@@ -110,23 +110,27 @@ def publish(tables: GoldTables, folder: str, policy: str = "fail") -> list[dict]
     """Check every table, then write dimensions before facts.
 
     ``fail``: any broken row stops the publication before the first write.
-    ``reject``: broken rows go to ``<table>_rejects``, the others are published.
+    ``reject``: broken rows go to one ``rejects`` table, as JSON with the rules they
+    break, and the others are published.
     """
     if policy not in ("fail", "reject"):
         raise ValueError(f"policy must be 'fail' or 'reject', not {policy!r}")
     order = ("dim_player", "dim_raid", "fact_raid_summary", "fact_player_raid_stats")
     frames = {name: getattr(tables, name) for name in order}
-    rejects = {}
+    rejects = []
     if policy == "fail":
         contract.enforce_all(frames)
     else:
         for name, frame in frames.items():
-            frames[name], rejects[name] = contract.split(
-                contract.mark(frame, contract.GOLD_RULES[name]())
-            )
+            valid, bad = contract.split(contract.mark(frame, contract.GOLD_RULES[name]()))
+            frames[name] = valid
+            rejects.append(bad.select(
+                F.lit(name).alias("table"), F.to_json(F.struct(*frame.columns)).alias("row"),
+                contract.ERRORS,
+            ))
     results = [write_gold(contract.conform(frames[name], name), folder, name) for name in order]
-    for name, bad in rejects.items():
-        results.append(write_gold(bad, folder, f"{name}_rejects", ()))
+    if rejects:
+        results.append(write_gold(stack_tables(*rejects), folder, "rejects", ()))
     return results
 
 
