@@ -74,7 +74,7 @@ def boss_timeline(
         F.min(F.when(F.col("hp_pct_after") <= limit, F.col("hit"))).alias(f"_at{i}")
         for i, limit in enumerate(thresholds)
     ]
-    firsts = run.groupBy("raid_id").agg(*reached)
+    firsts = run.groupBy("raid_id").agg(F.count(F.lit(1)).alias("_hits"), *reached)
     steps: list[Column] = []
     for i in range(len(thresholds)):
         at = F.col(f"_at{i}")

@@ -21,11 +21,12 @@ def write_silver(events: DataFrame, path: str, mode: str = "overwrite") -> dict:
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """All partitions with the fixed schema; raid and date come from the path."""
-    return spark.read.schema(SILVER_SCHEMA).option("mergeSchema", "false").parquet(path)
+    table = spark.read.schema(SILVER_SCHEMA).option("mergeSchema", "false").parquet(path)
+    return table.select(*SILVER_SCHEMA.names)
 
 
 def read_silver_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, SILVER_SCHEMA)
+    return read_or_empty(spark, path, SILVER_SCHEMA).select(*SILVER_SCHEMA.names)
 
 
 def read_silver_partition(spark: SparkSession, path: str, raid_id: str, event_date: str) -> DataFrame:
@@ -40,7 +41,7 @@ def read_silver_partition(spark: SparkSession, path: str, raid_id: str, event_da
     found = (
         spark.read.schema(SILVER_SCHEMA).option("basePath", path)
         .option("ignoreCorruptFiles", "true").parquet(folder)
-    )
+    ).select(*SILVER_SCHEMA.names)
     if found.isEmpty():
         raise RuntimeError(f"no readable Silver file for raid_id={raid_id}, event_date={event_date}")
     return found
