@@ -1,11 +1,13 @@
 """Declarative row contracts.
 
-A rule names what it checks and carries a column that is true when the row breaks it.
+A rule names what it checks and carries an SQL condition that is true when the row breaks
+it; as text, a whole rule set reaches the engine as one expression.
 ``mark`` evaluates a rule set in one narrow projection and leaves an ``errors`` array on
 each row; everything else (splitting, batch verdicts, reports) works from that array.
 """
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -15,14 +17,17 @@ from pyspark.sql import functions as F
 from emberlog import constants as C
 
 ERRORS = "errors"
+BROKEN = "_broken"
 UNCAST = "_uncast"
 EXTRA_KEYS = "_extra_keys"
 
 
 class Rule(NamedTuple):
+    """A check: its name, the column it is about, and the SQL condition that breaks it."""
+
     rule: str
     column: str
-    broken: Column
+    broken: str
 
 
 class ContractError(ValueError):
@@ -42,42 +47,39 @@ class ContractError(ValueError):
 
 
 def missing(column: str) -> Rule:
-    return Rule("required", column, F.col(column).isNull())
+    return Rule("required", column, f"{column} IS NULL")
 
 
-def outside(column: str, low, high) -> Rule:
-    value, broken = F.col(column), F.lit(False)
-    if low is not None:
-        broken = broken | (value < low)
+def _outside(value: str, low, high) -> str:
+    sides = [f"{value} < {low}"] if low is not None else []
     if high is not None:
-        broken = broken | (value > high)
-    return Rule("range", column, broken)
+        sides.append(f"{value} > {high}")
+    return " OR ".join(sides)
+
+
+def outside(column: str, low, high) -> Rule:
+    return Rule("range", column, _outside(column, low, high))
 
 
 def wrong_length(column: str, shortest: int | None, longest: int | None) -> Rule:
-    size, broken = F.length(column), F.lit(False)
-    if shortest is not None:
-        broken = broken | (size < shortest)
-    if longest is not None:
-        broken = broken | (size > longest)
-    return Rule("length", column, broken)
+    return Rule("length", column, _outside(f"length({column})", shortest, longest))
 
 
 def not_one_of(column: str, allowed: Iterable[str], ignore_case: bool = False) -> Rule:
-    value = F.lower(F.col(column)) if ignore_case else F.col(column)
-    return Rule("domain", column, ~value.isin(*allowed))
+    value = f"lower({column})" if ignore_case else column
+    listed = ", ".join(f"'{a}'" for a in allowed)
+    return Rule("domain", column, f"{value} NOT IN ({listed})")
 
 
 def not_matching(column: str, pattern: str) -> Rule:
-    return Rule("pattern", column, ~F.col(column).rlike(pattern))
+    return Rule("pattern", column, f"NOT rlike({column}, r'{pattern}')")
 
 
 def needs_positive(event_type: str, column: str) -> Rule:
     """Events of the type must carry a value above zero."""
-    value = F.col(column)
     return Rule(
         "conditional", column,
-        (F.col("event_type") == event_type) & (value.isNull() | (value <= 0)),
+        f"event_type = '{event_type}' AND ({column} IS NULL OR {column} <= 0)",
     )
 
 
@@ -92,7 +94,7 @@ def event_rules(
     ``as_of`` replaces the current time in the future check.  ``from_text`` adds the two
     rules that need the raw document: values that did not parse and unknown fields.
     """
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now = "current_timestamp()" if as_of is None else f"CAST('{as_of}' AS timestamp)"
     rules = [missing(c) for c in C.REQUIRED_EVENT_COLUMNS]
     if check_ids:
         rules.append(not_matching("event_id", C.UUID_PATTERN))
@@ -108,18 +110,18 @@ def event_rules(
     rules += [wrong_length(*entry) for entry in C.EVENT_LENGTHS]
     rules += [outside(*entry) for entry in C.EVENT_BOUNDS]
     rules += [
-        Rule("future", "timestamp", F.col("timestamp").cast("timestamp") > now),
+        Rule("future", "timestamp", f"CAST(timestamp AS timestamp) > {now}"),
         needs_positive("combat_damage", "damage_amount"),
         needs_positive("heal", "healing_amount"),
         Rule(
             "conditional", "resource_type",
-            (F.col("event_type") == "mana_regeneration") & F.col("resource_type").isNull(),
+            "event_type = 'mana_regeneration' AND resource_type IS NULL",
         ),
     ]
     if from_text:
         rules += [
-            Rule("type", UNCAST, F.size(UNCAST) > 0),
-            Rule("extra", EXTRA_KEYS, F.size(EXTRA_KEYS) > 0),
+            Rule("type", UNCAST, f"size({UNCAST}) > 0"),
+            Rule("extra", EXTRA_KEYS, f"size({EXTRA_KEYS}) > 0"),
         ]
     return rules
 
@@ -154,10 +156,7 @@ def raid_summary_rules() -> list[Rule]:
         outside("n_players", 1, 40),
         outside("boss_min_hp_pct", 0, 100),
         not_one_of("raid_outcome", C.RAID_OUTCOMES),
-        Rule(
-            "composition", "n_players",
-            F.col("n_tanks") + F.col("n_healers") + F.col("n_dps") > F.col("n_players"),
-        ),
+        Rule("composition", "n_players", "n_tanks + n_healers + n_dps > n_players"),
     ]
 
 
@@ -217,48 +216,75 @@ def conform(frame: DataFrame, table: str) -> DataFrame:
 # --- evaluation ------------------------------------------------------------------------
 
 
+def breaks_any(rules: Sequence[Rule]) -> Column:
+    """True when a row breaks at least one rule; stops at the first one."""
+    return F.expr(" OR ".join(f"coalesce({r.broken}, false)" for r in rules))
+
+
 def mark(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``errors``: the broken rules of each row, empty when it is valid."""
-    entries = [
-        F.when(r.broken, F.struct(F.lit(r.rule).alias("rule"), F.lit(r.column).alias("column")))
+    """Add ``errors``, the broken rules of each row, and ``_broken``, whether there are any.
+
+    The flag has its own short-circuit expression, so a plan that only needs the flag
+    never builds the arrays.
+    """
+    entries = ", ".join(
+        f"if({r.broken}, named_struct('rule', '{r.rule}', 'column', '{r.column}'), NULL)"
         for r in rules
-    ]
-    return frame.withColumn(ERRORS, F.filter(F.array(*entries), lambda e: e.isNotNull()))
+    )
+    return frame.withColumns({
+        ERRORS: F.expr(f"filter(array({entries}), e -> e IS NOT NULL)"),
+        BROKEN: breaks_any(rules),
+    })
 
 
 def is_broken() -> Column:
-    return F.size(ERRORS) > 0
+    return F.col(BROKEN)
 
 
 def split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows (without ``errors``) and rejects (with them)."""
-    return marked.filter(~is_broken()).drop(ERRORS), marked.filter(is_broken())
-
-
-def error_counts(marked: DataFrame) -> DataFrame:
-    """Broken rows per rule and column."""
-    return (
-        marked.filter(is_broken())
-        .select(F.explode(ERRORS).alias("e"))
-        .groupBy(F.col("e.rule").alias("rule"), F.col("e.column").alias("column"))
-        .agg(F.count(F.lit(1)).alias("broken_rows"))
+    """Valid rows (as they came) and rejects (with ``errors``)."""
+    valid = marked.filter(~is_broken()).drop(ERRORS, BROKEN)
+    return valid, marked.filter(is_broken()).drop(BROKEN)
+
+
+def error_counts(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Broken rows per rule and column: one pass with one counter per rule."""
+    counters = frame.agg(*[
+        F.expr(f"count_if(coalesce({r.broken}, false)) AS _c{i}") for i, r in enumerate(rules)
+    ])
+    rows = ", ".join(
+        f"named_struct('rule', '{r.rule}', 'column', '{r.column}', 'broken_rows', _c{i})"
+        for i, r in enumerate(rules)
     )
+    return counters.selectExpr(f"inline(array({rows}))").filter("broken_rows > 0")
 
 
 def enforce_all(frames: dict[str, DataFrame]) -> None:
     """Raise with every broken rule of every table; all tables are checked in one job.
 
-    The only thing that reaches the driver is one row per broken rule.
+    The usual case, nothing broken, needs one counter per table.  Only tables with broken
+    rows are counted rule by rule, and one row per broken rule reaches the driver.
     """
-    counted = None
-    for table, frame in frames.items():
-        part = error_counts(mark(frame, GOLD_RULES[table]())).withColumn("table", F.lit(table))
-        counted = part if counted is None else counted.unionByName(part)
+    def stacked(parts: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts)
+
+    suspects = stacked([
+        frame.agg(F.count_if(breaks_any(GOLD_RULES[table]())).alias("rows")).withColumn(
+            "table", F.lit(table)
+        )
+        for table, frame in frames.items()
+    ]).filter(F.col("rows") > 0)
+    tables = [row["table"] for row in suspects.collect()]
+    if not tables:
+        return
     broken: dict[str, dict] = {}
+    counted = stacked([
+        error_counts(frames[table], GOLD_RULES[table]()).withColumn("table", F.lit(table))
+        for table in tables
+    ])
     for row in counted.collect():
         broken.setdefault(row["table"], {})[(row["rule"], row["column"])] = row["broken_rows"]
-    if broken:
-        raise ContractError(broken)
+    raise ContractError(broken)
 
 
 def enforce(frame: DataFrame, table: str) -> DataFrame:

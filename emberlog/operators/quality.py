@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from emberlog import constants as C
 from emberlog.functions.coercion import unknown_if_null
+from emberlog.functions.numbers import readable_bytes, reduction_pct
 from emberlog.operators.profile import stack_tables
 
 COLUMNS = ("check_id", "scope", "status", "observed", "expected")
@@ -209,7 +210,7 @@ def class_role_conformity(events: DataFrame, reference: DataFrame | None = None)
     """Class and role pairs of the events, and whether the reference allows them.
 
     The pairs are counted before the join, so only distinct combinations meet the
-    reference; that has 34 fixed rows, hence the broadcast.
+    reference.
     """
     reference = class_roles(events.sparkSession) if reference is None else reference
     allowed = reference.select(
@@ -223,9 +224,7 @@ def class_role_conformity(events: DataFrame, reference: DataFrame | None = None)
         .groupBy("source_player_class", "source_player_role")
         .agg(F.count(F.lit(1)).alias("events"))
     )
-    return pairs.join(
-        F.broadcast(allowed), ["source_player_class", "source_player_role"], "left"
-    ).select(
+    return pairs.join(allowed, ["source_player_class", "source_player_role"], "left").select(
         "source_player_class", "source_player_role", "events",
         F.coalesce("_known", F.lit(False)).alias("allowed"),
     )
@@ -288,3 +287,16 @@ def schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.sparkSession.createDataFrame(
         rows, "column string, change string, type_before string, type_after string"
     )
+
+
+def size_change(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Files and bytes of two layers (from ``files.inventory``) and the size saved."""
+    old = before.agg(F.count(F.lit(1)).alias("files_before"), F.sum("length").alias("bytes_before"))
+    new = after.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"))
+    return old.withColumns({
+        "files_after": new.select("n").scalar(), "bytes_after": new.select("b").scalar(),
+    }).withColumns({
+        "size_before": readable_bytes(F.col("bytes_before")),
+        "size_after": readable_bytes(F.col("bytes_after")),
+        "reduction_pct": reduction_pct(F.col("bytes_before"), F.col("bytes_after")),
+    })

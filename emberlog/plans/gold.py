@@ -1,5 +1,6 @@
 """Silver to Gold in one job for all raids."""
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -106,9 +107,15 @@ def raid_status(tables: GoldTables) -> DataFrame:
     )
 
 
-def publish(tables: GoldTables, folder: str, policy: str = "fail") -> list[dict]:
+def publish(
+    tables: GoldTables, folder: str, policy: str = "fail",
+    fact_partitions: Sequence[str] | None = None,
+) -> list[dict]:
     """Check every table, then write dimensions before facts.
 
+    Facts lie below raid and date unless ``fact_partitions`` says otherwise; with very
+    many raids ``("event_date",)`` avoids one small file per raid.
+
     ``fail``: any broken row stops the publication before the first write.
     ``reject``: broken rows go to one ``rejects`` table, as JSON with the rules they
     break, and the others are published.
@@ -128,7 +135,13 @@ def publish(tables: GoldTables, folder: str, policy: str = "fail") -> list[dict]
                 F.lit(name).alias("table"), F.to_json(F.struct(*frame.columns)).alias("row"),
                 contract.ERRORS,
             ))
-    results = [write_gold(contract.conform(frames[name], name), folder, name) for name in order]
+    results = [
+        write_gold(
+            contract.conform(frames[name], name), folder, name,
+            fact_partitions if name.startswith("fact_") else (),
+        )
+        for name in order
+    ]
     if rejects:
         results.append(write_gold(stack_tables(*rejects), folder, "rejects", ()))
     return results
@@ -140,11 +153,12 @@ def read_tables(spark: SparkSession, folder: str) -> GoldTables:
 
 
 def run_gold(
-    spark: SparkSession, silver: str, folder: str, policy: str = "fail", **options
+    spark: SparkSession, silver: str, folder: str, policy: str = "fail",
+    fact_partitions: Sequence[str] | None = None, **options,
 ) -> list[dict]:
     """All raids of a Silver table in one job."""
     with built(read_silver(spark, silver), **options) as tables:
-        return publish(tables, folder, policy)
+        return publish(tables, folder, policy, fact_partitions)
 
 
 def run_gold_partition(

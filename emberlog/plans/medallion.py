@@ -9,6 +9,7 @@ from emberlog import constants as C
 from emberlog.operators import contract, quality, refine
 from emberlog.plans.gold import built, publish, read_tables
 from emberlog.schemas import EVENT_COLUMNS
+from emberlog.session import materialise
 from emberlog.sources import bronze
 from emberlog.sources.files import write_table
 from emberlog.sources.silver import read_silver, read_silver_or_empty, touched_only, write_silver
@@ -52,6 +53,8 @@ def run_silver(
         events, incremental = events.filter(F.col("batch_id") == batch_id), True
     refined, seen, unique = refine.refine_observed(events)
     if incremental:
+        # Used for the partitions touched and for the rows: parse the documents once.
+        refined = materialise(refined, "refined")
         held = touched_only(read_silver_or_empty(spark, layers.silver), refined)
         refined = refine.not_yet_in(refined, held)
     result = write_silver(refined, layers.silver, "append" if incremental else "overwrite")

@@ -303,7 +303,7 @@ def _marked(spark, folder, per_batch=SMALL_BATCH):
 @query
 def event_rule_violations(spark, folder):
     events = encounter_events(spark, folder)
-    return contract.error_counts(contract.mark(events, contract.event_rules(AS_OF)))
+    return contract.error_counts(events, contract.event_rules(AS_OF))
 
 
 @query
@@ -342,7 +342,7 @@ def gold_contract_violations(spark, folder):
         ("dim_player", dimensions.dim_player_from(totals, None)),
         ("dim_raid", dimensions.dim_raid_from(summary, difficulty="Unknown")),
     ):
-        counted = contract.error_counts(contract.mark(frame, contract.GOLD_RULES[name]()))
+        counted = contract.error_counts(frame, contract.GOLD_RULES[name]())
         parts.append(counted.withColumn("table_name", F.lit(name)))
     return profile.stack_tables(*parts)
 

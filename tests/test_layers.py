@@ -193,6 +193,11 @@ def test_layer_comparison(spark, layers):
     checks = {r.check_id: r.status for r in quality.check_columns(refined, ["event_id", "nope"]).collect()}
     assert checks == {"columns": "fail", "has_rows": "ok"}
     assert silver.preview(refined).count() == 3
+    sizes = quality.size_change(
+        files.inventory(spark, made.bronze, "*.json"), files.inventory(spark, made.silver, "*.parquet")
+    ).first()
+    assert sizes.files_before > 0 and sizes.files_after > 0
+    assert abs(sizes.reduction_pct - (1 - sizes.bytes_after / sizes.bytes_before) * 100) < 1e-9
     assert refined.schema.names == SILVER_SCHEMA.names
 
 
