@@ -1,10 +1,8 @@
 """Silver to Gold in one job for all raids."""
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,31 +37,6 @@ def gold_from(
     )
 
 
-@contextmanager
-def built(
-    events: DataFrame,
-    player_prefix: str | None = C.PLAYER_ID_PREFIX,
-    victim: str = "source_player_id",
-    sum_type: str = "double",
-    **limits: float,
-):
-    """The four tables, with the roll-up they share kept while the block runs.
-
-    Events are scanned once for the roll-up and once, a few columns wide, for damage
-    taken.  Both are small next to the events and kept in memory and on disk; a lost
-    executor only costs recomputation.
-    """
-    totals = facts.player_totals(events, sum_type).persist(StorageLevel.MEMORY_AND_DISK)
-    received = facts.received_by_target(events, player_prefix, sum_type).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        yield gold_from(totals, received, player_prefix, victim, **limits)
-    finally:
-        received.unpersist()
-        totals.unpersist()
-
-
 def gold_tables(
     events: DataFrame,
     player_prefix: str | None = C.PLAYER_ID_PREFIX,
@@ -71,12 +44,15 @@ def gold_tables(
     sum_type: str = "double",
     **limits: float,
 ) -> GoldTables:
-    """The four tables over a roll-up written once to the shared folder.
+    """The four tables.
 
-    For callers that keep the tables: nothing has to be released afterwards.
+    Events are scanned once for the roll-up and once, a few columns wide, for damage
+    taken.  Both results are small next to the events and are written to the shared
+    folder, so checking and writing four tables never goes back to the events, whatever
+    happens to an executor.
     """
     totals = materialise(facts.player_totals(events, sum_type), "totals")
-    received = facts.received_by_target(events, player_prefix, sum_type)
+    received = materialise(facts.received_by_target(events, player_prefix, sum_type), "received")
     return gold_from(totals, received, player_prefix, victim, **limits)
 
 
@@ -157,8 +133,8 @@ def run_gold(
     fact_partitions: Sequence[str] | None = None, **options,
 ) -> list[dict]:
     """All raids of a Silver table in one job."""
-    with built(read_silver(spark, silver), **options) as tables:
-        return publish(tables, folder, policy, fact_partitions)
+    tables = gold_tables(read_silver(spark, silver), **options)
+    return publish(tables, folder, policy, fact_partitions)
 
 
 def run_gold_partition(
@@ -171,20 +147,20 @@ def run_gold_partition(
     again changes nothing.
     """
     events = read_silver_partition(spark, silver, raid_id, event_date)
-    with built(events, **options) as tables:
-        published = read_gold(spark, folder, "fact_player_raid_stats").filter(
-            ~((F.col("raid_id") == raid_id) & (F.col("event_date") == F.lit(event_date).cast("date")))
-        )
-        players = merge_players(
-            read_gold(spark, folder, "dim_player"), tables.dim_player,
-            published, tables.fact_player_raid_stats,
-        )
-        raids = upsert_dim_raid(read_gold(spark, folder, "dim_raid"), tables.dim_raid)
-        # Materialised first: the merge reads the folder that the write replaces.
-        merged = tables._replace(
-            dim_player=materialise(players, "dim_player"), dim_raid=materialise(raids, "dim_raid")
-        )
-        return publish(merged, folder, policy)
+    tables = gold_tables(events, **options)
+    published = read_gold(spark, folder, "fact_player_raid_stats").filter(
+        ~((F.col("raid_id") == raid_id) & (F.col("event_date") == F.lit(event_date).cast("date")))
+    )
+    players = merge_players(
+        read_gold(spark, folder, "dim_player"), tables.dim_player,
+        published, tables.fact_player_raid_stats,
+    )
+    raids = upsert_dim_raid(read_gold(spark, folder, "dim_raid"), tables.dim_raid)
+    # Materialised first: the merge reads the folder that the write replaces.
+    merged = tables._replace(
+        dim_player=materialise(players, "dim_player"), dim_raid=materialise(raids, "dim_raid")
+    )
+    return publish(merged, folder, policy)
 
 
 def merge_players(

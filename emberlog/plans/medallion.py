@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog import constants as C
 from emberlog.operators import contract, quality, refine
-from emberlog.plans.gold import built, publish, read_tables
+from emberlog.plans.gold import gold_tables, publish, read_tables
 from emberlog.schemas import EVENT_COLUMNS
 from emberlog.session import materialise
 from emberlog.sources import bronze
@@ -66,8 +66,8 @@ def run_silver(
 def run_gold_stage(
     spark: SparkSession, layers: Layers, policy: str = "reject", **options
 ) -> list[dict]:
-    with built(read_silver(spark, layers.silver), **options) as tables:
-        written = publish(tables, layers.gold, policy)
+    tables = gold_tables(read_silver(spark, layers.silver), **options)
+    written = publish(tables, layers.gold, policy)
     write_table(quality.coherence(*read_tables(spark, layers.gold)), f"{layers.gold}/coherence")
     return [{"stage": "gold", **entry} for entry in written]
 

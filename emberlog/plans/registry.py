@@ -752,8 +752,8 @@ def layer_inventory(spark, folder):
 def gold_publication(spark, folder):
     """All four tables checked, written and counted again from disk."""
     out = scratch_path(spark, "gold")
-    with gold_plan.built(encounter_events(spark, folder), PREFIX, sum_type=SUM) as tables:
-        gold_plan.publish(tables, out)
+    tables = gold_plan.gold_tables(encounter_events(spark, folder), PREFIX, sum_type=SUM)
+    gold_plan.publish(tables, out)
     counts = [
         gold.read_gold(spark, out, name).agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows")
@@ -766,8 +766,8 @@ def gold_publication(spark, folder):
 @query
 def gold_published_stats(spark, folder):
     out = scratch_path(spark, "gold")
-    with gold_plan.built(encounter_events(spark, folder), PREFIX, sum_type=SUM) as tables:
-        gold_plan.publish(tables, out)
+    tables = gold_plan.gold_tables(encounter_events(spark, folder), PREFIX, sum_type=SUM)
+    gold_plan.publish(tables, out)
     return gold.read_gold(spark, out, "fact_player_raid_stats")
 
 

@@ -128,7 +128,8 @@ def events_of(documents: DataFrame) -> DataFrame:
     # The outer form keeps the optimizer from copying the parsing into a size filter
     # below the explode; the rows it adds for empty lists have no position.
     items = unpacked(documents).select(
-        "path", "batch_id", "ingest_timestamp", F.posexplode_outer("items").alias("idx", "text")
+        "path", "modified", "batch_id", "ingest_timestamp",
+        F.posexplode_outer("items").alias("idx", "text"),
     ).filter(F.col("idx").isNotNull())
     extra = F.array_except(F.json_object_keys("text"), known)
     return items.select(
@@ -136,6 +137,7 @@ def events_of(documents: DataFrame) -> DataFrame:
     ).select(
         "e.*",
         "path",
+        "modified",
         "batch_id",
         "ingest_timestamp",
         F.col("idx").cast("bigint").alias("idx"),

@@ -30,12 +30,9 @@ def ingest_batch(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        arrived = documents.select("path", F.col("modified").alias("_arrived")).groupBy("path").agg(
-            F.max("_arrived").alias("_arrived")
-        )
-        accepted = checked.filter("accepted").join(arrived, "path", "left")
+        accepted = checked.filter("accepted")
         # The arrival time of the file, not the clock, so a retry lands in the same folder.
-        packed = bronze.envelopes(accepted, max_events=max_events, stamp=F.col("_arrived"))
+        packed = bronze.envelopes(accepted, max_events=max_events, stamp=F.col("modified"))
         deliver(lambda: bronze.write_envelopes(packed, target, load=load), attempts)
 
         reported = contract.first_errors(checked.filter(~F.col("accepted"))).select(

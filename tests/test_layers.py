@@ -157,25 +157,35 @@ def test_partition_by_partition_equals_all_at_once(spark, layers, tmp_path):
             spark, made.silver, out, part.raid_id, str(part.event_date), player_prefix="player_")
     wanted = [r.raid_id for r in some]
     whole = silver.read_silver(spark, made.silver).filter(F.col("raid_id").isin(wanted))
-    with gold_plan.built(whole, "player_") as tables:
-        for name in gold_plan.GoldTables._fields:
-            assert rows_of(gold.read_gold(spark, out, name)) == rows_of(
-                contract.conform(getattr(tables, name), name).select(
-                    *gold.read_gold(spark, out, name).columns)), name
+    tables = gold_plan.gold_tables(whole, "player_")
+    for name in gold_plan.GoldTables._fields:
+        assert rows_of(gold.read_gold(spark, out, name)) == rows_of(
+            contract.conform(getattr(tables, name), name).select(
+                *gold.read_gold(spark, out, name).columns)), name
     part = gold.read_gold_part(spark, out, "fact_raid_summary", raid_id=wanted[0])
     assert part.first().raid_id == wanted[0]
 
 
+def test_facts_by_date_only(spark, sample, tmp_path):
+    tables = gold_plan.gold_tables(sample, "player_")
+    gold_plan.publish(tables, str(tmp_path), fact_partitions=("event_date",))
+    expected = rows_of(tables.fact_raid_summary)
+    facts_path = tmp_path / "fact_raid_summary"
+    assert all(p.name.startswith("event_date=") for p in facts_path.iterdir() if p.is_dir())
+    assert rows_of(gold.read_gold(spark, str(tmp_path), "fact_raid_summary").select(
+        *tables.fact_raid_summary.columns)) == expected
+
+
 def test_contract_stops_publication_or_sorts_out(spark, make_events, tmp_path):
     rows = [{"event_id": f"e{i}", "raid_id": f"raid{i:03d}" if i else "bad raid",
              "timestamp": datetime(2026, 1, 1), "event_date": "2026-01-01", "event_type": "spell_cast",
              "source_player_id": "player_1", "source_player_name": "A"} for i in range(3)]
-    with gold_plan.built(make_events(*rows)) as tables:
-        with pytest.raises(contract.ContractError):
-            gold_plan.publish(tables, str(tmp_path / "strict"))
-        assert not (tmp_path / "strict").exists()
-        gold_plan.publish(tables, str(tmp_path / "lenient"), "reject")
-        status = {r.raid_id: r.status for r in gold_plan.raid_status(tables).collect()}
+    tables = gold_plan.gold_tables(make_events(*rows))
+    with pytest.raises(contract.ContractError):
+        gold_plan.publish(tables, str(tmp_path / "strict"))
+    assert not (tmp_path / "strict").exists()
+    gold_plan.publish(tables, str(tmp_path / "lenient"), "reject")
+    status = {r.raid_id: r.status for r in gold_plan.raid_status(tables).collect()}
     assert status == {"bad raid": "failed", "raid001": "ok", "raid002": "ok"}
     kept = gold.read_gold(spark, str(tmp_path / "lenient"), "fact_raid_summary")
     assert {r.raid_id for r in kept.collect()} == {"raid001", "raid002"}
