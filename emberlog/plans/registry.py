@@ -661,7 +661,7 @@ _READ_BACK = ("event_id", "event_type", "raid_id", "source_player_id", "damage_a
               "target_entity_health_pct_before")
 
 
-def _written_bronze(spark, folder, per_batch=500, accepted_only=False):
+def _written_bronze(spark, folder, per_batch=500):
     events = encounter_events(spark, folder, per_batch)
     path = scratch_path(spark, "bronze")
     packed = bronze.envelopes(events, stamp=F.col("ingestion_timestamp"))

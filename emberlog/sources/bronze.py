@@ -6,8 +6,6 @@ it (an envelope with ``events``, a bare array, or a single event, possibly prett
 can split; prefer it for anything large.
 """
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -315,7 +315,6 @@ disorder AS (
   GROUP BY raid_id
 )"""
 MD5_ID = "md5(event_id || chr(1) || raid_id)"
-COHERENCE_STATUS = "CASE WHEN {} THEN 'ok' ELSE 'fail' END"
 SHARE_STATUS = (
     "CASE WHEN sum({0}) = 0 THEN 'warn' WHEN abs(sum({0}) - 1) < 0.01 THEN 'ok' ELSE 'fail' END"
 )

@@ -3,10 +3,9 @@ from datetime import datetime
 
 import pytest
 
-from emberlog.operators import contract, refine
+from emberlog.operators import contract
 from emberlog.plans import medallion
 from emberlog.sources import bronze
-from pyspark.sql import functions as F
 
 AS_OF = "2026-01-02 00:00:00"
 UUID = "11111111-1111-4111-8111-111111111111"
