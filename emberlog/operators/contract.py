@@ -346,7 +346,9 @@ def admit(
     verdict = batch_verdict(marked, batch, max_events).select(
         batch, (F.col("status") == "accepted").alias("accepted")
     )
-    return marked.join(verdict, batch, "left")
+    joined = marked.join(verdict, batch, "left")
+    # Rows without a batch id have no verdict and are not accepted.
+    return joined.withColumn("accepted", F.coalesce("accepted", F.lit(False)))
 
 
 def first_errors(

@@ -34,6 +34,13 @@ def _earlier(group: Sequence[str]) -> W:
     )
 
 
+def _rejoin(rows: DataFrame, per_slice: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per-slice values back on the rows; a null group is a group like any other."""
+    right = per_slice.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return rows.join(right, same)
+
+
 def with_running(
     frame: DataFrame,
     group: Sequence[str],
@@ -65,7 +72,7 @@ def with_running(
     )
     inside = W.partitionBy(*group, SLICE).orderBy(*order)
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = rows.join(starts, [*group, SLICE])
+    joined = _rejoin(rows, starts, [*group, SLICE])
     return joined.select(
         *frame.columns,
         (F.col("_rows_before") + F.row_number().over(inside)).alias(number),
@@ -94,7 +101,7 @@ def with_previous(
         SLICE,
         F.lag("_last").over(W.partitionBy(*group).orderBy(SLICE)).alias("_carried"),
     )
-    joined = rows.join(carried, [*group, SLICE])
+    joined = _rejoin(rows, carried, [*group, SLICE])
     first = F.row_number().over(inside) == 1
     return joined.select(
         *frame.columns,

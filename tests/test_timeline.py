@@ -112,6 +112,12 @@ def test_a_dominant_group_spreads_over_slices(spark):
     assert len(sizes) > 1
 
 
+def test_rows_without_a_group_stay(spark):
+    frame = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "raid_id string, at bigint")
+    got = ordered.with_running(frame, ["raid_id"], [F.col("at")]).collect()
+    assert sorted((r.at, r.seq) for r in got) == [(1, 1), (2, 2), (3, 1)]
+
+
 def test_previous_value_crosses_slices(spark):
     frame = spark.range(0, 5000, 1, 4).select(
         F.lit("r").alias("raid_id"), F.col("id").alias("at"), (F.col("id") * 2).alias("x"))
