@@ -55,6 +55,11 @@ def quantised(df: DataFrame, codes: dict[str, Column], bits: int = BITS) -> Data
         *[f"{n}_{x}" for n in codes for x in ("code", "min", "max")])
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def curve_index(cells: list[Column], bits: int = BITS) -> Column:
     """Place of a cell on the Hilbert curve through all cells.
 
@@ -78,15 +83,21 @@ def curve_index(cells: list[Column], bits: int = BITS) -> Column:
     # Gray code: each coordinate takes the exclusive or of all before it.
     gray = F.aggregate(turned, F.array().cast("array<long>"), lambda acc, v: F.concat(
         acc, F.array(v.bitwiseXOR(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long"))))))
-    last = [F.lit(1 << b).cast("long") for b in range(bits - 1, 0, -1)]
-    flip = F.aggregate(
-        F.array(*last), F.lit(0).cast("long"),
-        lambda t, q: F.when(F.element_at(gray, -1).bitwiseAND(q) != 0, t.bitwiseXOR(q - 1)).otherwise(t))
-    coords = F.transform(gray, lambda v: v.bitwiseXOR(flip))
-    places = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(i).alias("i"))
-                       for b in range(bits - 1, -1, -1) for i in range(n)])
-    return F.aggregate(places, F.lit(0).cast("long"), lambda acc, p: F.shiftleft(acc, 1).bitwiseOR(
-        F.call_function("shiftright", F.get(coords, p["i"]), p["b"]).bitwiseAND(F.lit(1).cast("long"))))
+    bits_down = F.array(*[F.lit(1 << b).cast("long") for b in range(bits - 1, 0, -1)])
+
+    def flipped(g: Column) -> Column:
+        tail = F.element_at(g, -1)
+        flip = F.aggregate(bits_down, F.lit(0).cast("long"), lambda t, q: F.when(
+            tail.bitwiseAND(q) != 0, t.bitwiseXOR(q - 1)).otherwise(t))
+        return bound(flip, lambda f: F.transform(g, lambda v: v.bitwiseXOR(f)))
+
+    def interleaved(coords: Column) -> Column:
+        places = [(b, i) for b in range(bits - 1, -1, -1) for i in range(n)]
+        picked = [F.shiftleft(F.shiftright(F.get(coords, F.lit(i)), b).bitwiseAND(F.lit(1).cast("long")), len(places) - 1 - k)
+                  for k, (b, i) in enumerate(places)]
+        return reduce(Column.bitwiseOR, picked)
+
+    return bound(bound(gray, flipped), interleaved)
 
 
 def ranked(df: DataFrame, order: list[str]) -> DataFrame:
@@ -116,11 +127,11 @@ def shard_by_curve(docs: DataFrame, *, shards: int = 8, dimensions: dict[str, Co
     codes = dimensions or {
         "size": size_code(F.col("size")), "source": text_code(F.col("source")), "lang": text_code(F.col("lang"))}
     names = list(codes)
-    narrow = docs.select(
-        F.col("doc_id").cast("long"), "source", "lang",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"))
-    celled = quantised(narrow, codes, bits)
+    narrow = docs.withColumn("size", (F.octet_length(text) + 1).cast("long")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "size", F.crc32(text.cast("binary")).alias("text_crc32"),
+        *[c.alias(f"{n}_code") for n, c in codes.items()])
+    # Texts are read once; bounds, sampling and sorting work on this narrow table.
+    celled = quantised(table(narrow, "sizes"), {n: F.col(f"{n}_code") for n in names}, bits)
     placed = celled.withColumn("curve", curve_index([F.col(f"{n}_cell") for n in names], bits)).select(
         "doc_id", "size", "text_crc32", "curve", *[f"{n}_cell" for n in names])
     rank = ranked(placed, ["curve", "doc_id", "text_crc32"])

@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import hilbert, line_rules, secrets
+from emberlog.llm import hilbert, line_rules, secrets, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score_documents(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
+
+
 def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(_read(spark, folder, "documents"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
@@ -31,6 +36,7 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxic_segments": op1_toxic_segments,
     "op4_secret_ownership": op4_secret_ownership,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_line_rules": op10_line_rules,
