@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import hilbert, line_rules, secrets, toxicity
+from emberlog.llm import hilbert, line_rules, mixing, packing, secrets, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
 
 
+def op3_certified_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(_read(spark, folder, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(_read(spark, folder, "documents"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
@@ -27,6 +32,13 @@ def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
                         live.alias("n_live"), (F.size("spans") - live).cast("long").alias("n_copied"))
 
 
+def op7_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = mixing.mixed(_read(spark, folder, "documents"))
+    return drawn.select("doc_id", "_cell.source", "_cell.lang", "_cell.topic", "_cell.tokens",
+                        F.col("_weight").alias("weight"), F.col("_probability").alias("probability"),
+                        F.col("_kept").alias("kept"))
+
+
 def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert.shard_by_curve(_read(spark, folder, "documents"))
 
@@ -37,7 +49,9 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxic_segments": op1_toxic_segments,
+    "op3_certified_packing": op3_certified_packing,
     "op4_secret_ownership": op4_secret_ownership,
+    "op7_raked_mixture": op7_raked_mixture,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_line_rules": op10_line_rules,
 }
