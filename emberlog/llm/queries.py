@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import hilbert, line_rules, mixing, packing, secrets, toxicity
+from emberlog.llm import hilbert, line_rules, mixing, packing, repeats, secrets, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
 
 
+def op2_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.remove_repeats(_read(spark, folder, "documents"), with_text=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_certified_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(_read(spark, folder, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -49,6 +54,7 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxic_segments": op1_toxic_segments,
+    "op2_repeated_strings": op2_repeated_strings,
     "op3_certified_packing": op3_certified_packing,
     "op4_secret_ownership": op4_secret_ownership,
     "op7_raked_mixture": op7_raked_mixture,
