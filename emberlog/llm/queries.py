@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import hilbert, line_rules, mixing, packing, repeats, secrets, toxicity
+from emberlog.llm import hilbert, line_rules, mixing, packing, repeats, secrets, shingle_join, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
                         live.alias("n_live"), (F.size("spans") - live).cast("long").alias("n_copied"))
 
 
+def op6_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.similar_groups(_read(spark, folder, "documents"))
+
+
 def op7_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
     drawn = mixing.mixed(_read(spark, folder, "documents"))
     return drawn.select("doc_id", "_cell.source", "_cell.lang", "_cell.topic", "_cell.tokens",
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeated_strings": op2_repeated_strings,
     "op3_certified_packing": op3_certified_packing,
     "op4_secret_ownership": op4_secret_ownership,
+    "op6_shingle_join": op6_shingle_join,
     "op7_raked_mixture": op7_raked_mixture,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_line_rules": op10_line_rules,
