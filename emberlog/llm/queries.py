@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import hilbert, line_rules, mixing, packing, repeats, secrets, shingle_join, toxicity
+from emberlog.llm import hilbert, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op7_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("_kept").alias("kept"))
 
 
+def op8_block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_read(spark, folder, "embeddings"))
+
+
 def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert.shard_by_curve(_read(spark, folder, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_ownership": op4_secret_ownership,
     "op6_shingle_join": op6_shingle_join,
     "op7_raked_mixture": op7_raked_mixture,
+    "op8_block_neighbours": op8_block_neighbours,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_line_rules": op10_line_rules,
 }
