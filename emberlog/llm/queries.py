@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import hilbert, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity
+from emberlog.llm import hilbert, html_sites, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
                         live.alias("n_live"), (F.size("spans") - live).cast("long").alias("n_copied"))
 
 
+def op5_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return html_sites.extract(_read(spark, folder, "pages"))
+
+
 def op6_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.similar_groups(_read(spark, folder, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeated_strings": op2_repeated_strings,
     "op3_certified_packing": op3_certified_packing,
     "op4_secret_ownership": op4_secret_ownership,
+    "op5_site_style_tree": op5_site_style_tree,
     "op6_shingle_join": op6_shingle_join,
     "op7_raked_mixture": op7_raked_mixture,
     "op8_block_neighbours": op8_block_neighbours,
