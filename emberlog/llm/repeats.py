@@ -121,8 +121,8 @@ def unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
     return place >> 46, (place >> 14) & 0xFFFFFFFF, (place >> 7) & 0x7F, place & 0x7F
 
 
-RUNS = pa.schema([("a", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()),
-                  ("also", pa.list_(pa.struct([("doc", pa.int64()), ("place", pa.int64())])))])
+RUNS = pa.schema([("a", pa.int64()), ("settled", pa.bool_()), ("c", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()),
+                  ("copied", pa.bool_())])
 
 
 def _runs(batches):
@@ -165,14 +165,14 @@ def _chunk_runs(pieces: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     same_row[1:] = ~new[1:] & (docs[1:] == docs[:-1]) & (place[1:] == place[:-1])
     heads = np.flatnonzero(new)
     rest = np.flatnonzero(~new & ~same_row)
-    # Lists of the rest, by head; rows of one head are contiguous.
-    counts = np.bincount(np.cumsum(new)[rest] - 1, minlength=len(heads)) if len(heads) else np.zeros(0, np.int64)
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    # An identical row can follow another text's: it must not count against its own document.
-    structs = pa.StructArray.from_arrays([pa.array(docs[rest]), pa.array(place[rest])], ["doc", "place"])
-    also = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a[heads]), pa.array(c[heads]), pa.array(docs[heads]), pa.array(place[heads]), also], schema=RUNS)
+    copied = np.zeros(len(heads), bool)
+    copied[np.cumsum(new)[rest] - 1] = True
+    # Settled rows need no partner; a key of their own spreads them evenly.
+    own_key = mixed(docs[rest].view(_U) * _U(31) + place[rest].view(_U)).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (
+        np.concatenate([a[heads], own_key]), np.arange(len(heads) + len(rest)) >= len(heads),
+        np.concatenate([c[heads], np.zeros(len(rest), np.int64)]), np.concatenate([docs[heads], docs[rest]]),
+        np.concatenate([place[heads], place[rest]]), np.concatenate([copied, np.zeros(len(rest), bool)]))], schema=RUNS)
 
 
 def lcp(s: bytes, t: bytes) -> int:
@@ -443,18 +443,17 @@ def merged(places: list[int]) -> list[tuple[int, int]]:
 
 def repeated_places(docs: DataFrame, group_limit: int) -> DataFrame:
     """(doc, place) of every window that starts earlier too; ``docs``: doc, text."""
-    rows = map_arrow(docs, _runs, "a long, c long, doc long, place long, also array<struct<doc:bigint,place:bigint>>")
-    anchor = Window.partitionBy("a")
+    rows = map_arrow(docs, _runs, "a long, settled boolean, c long, doc long, place long, copied boolean")
+    anchor = Window.partitionBy("a", "settled")
     # A pair needs two rows of its anchor, or one that was merged in its task.
     counted = rows.withColumns({
         "rows": F.count(F.lit(1)).over(anchor), "low": F.min("c").over(anchor), "high": F.max("c").over(anchor)})
-    ranked = counted.where((F.col("rows") > 1) | (F.size("also") > 0)).withColumn(
-        "rank", F.rank().over(Window.partitionBy("a", "c").orderBy("doc", "place")))
+    ranked = counted.where("settled or copied or rows > 1").withColumn(
+        "rank", F.rank().over(Window.partitionBy("a", "settled", "c").orderBy("doc", "place")))
     marked = table(ranked.select(
-        "a", "doc", "place", "also", (F.col("rank") == 1).alias("first"), (F.col("low") != F.col("high")).alias("varied"),
-        (F.col("rows") > group_limit).alias("crowded")), "runs")
-    later = marked.where(~F.col("first")).select("doc", "place").unionByName(
-        marked.where(F.size("also") > 0).select(F.explode("also").alias("x")).select("x.doc", "x.place"))
+        "a", "doc", "place", (~F.col("settled") & (F.col("rank") == 1)).alias("first"),
+        (F.col("low") != F.col("high")).alias("varied"), (F.col("rows") > group_limit).alias("crowded")), "runs")
+    later = marked.where(~F.col("first")).select("doc", "place")
     wanted = marked.where("first and varied").withColumn("tag", F.shiftright("place", 46))
     per_doc = wanted.groupBy("doc", "tag").agg(F.collect_list(F.struct("a", "place", "crowded")).alias("runs"))
     # Not the texts but the runs are the small side.
