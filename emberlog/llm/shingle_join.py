@@ -3,20 +3,21 @@
 Two documents link when their sets of three-word shingles have a Jaccard similarity of at
 least ``percent`` in a hundred; groups are the connected components.  The result is exact.
 
-Rare-first order: shingle hashes are counted in 2**16 buckets over the corpus - a table of
+Rare-first order: shingle hashes are counted in 2**18 buckets over the corpus - a table of
 fixed size - and ordered by their bucket's count, then by hash.  Two linked sets share one
 of the first n - ceil(t n) + 1 shingles of that order, so only those prefixes are joined.
 
-Equal sets are one node from the start.  In a group of nodes that share a prefix shingle a
-walk verifies each reached node against those not reached yet: a crowd of near copies costs
-a few sweeps instead of all pairs.  It runs twice:
+Equal sets are one node from the start.  Nodes that share a prefix shingle are screened by
+the length, positional and suffix filters on narrow rows; the texts of those that pass
+travel compressed to where they are verified, in two rounds:
 
 1. every node under its two rarest shared shingles, crowded groups dealt to blocks that all
-   hold the group's smallest node;
-2. under every shared shingle whose group still spans several components.  Members of the
-   largest component are dealt to blocks, the others are brought to each block, and only
-   pairs of different components are looked at - a pair only under its first common
-   shingle, after the length, positional and suffix filters, so that it is verified once.
+   hold the group's smallest node.  In a group a walk verifies each reached node against
+   those not reached yet: a crowd of near copies costs a few sweeps instead of all pairs.
+2. components that still meet under a shared shingle.  The members of the larger one, dealt
+   to blocks, meet the nodes of others that share a shingle with them once, whatever number
+   of shingles they share; small components that meet beside a larger one are compared under
+   their first common shingle.  Pairs inside a component are not looked at again.
 
 Defined results: null and empty texts, and those without a word, have no shingle and are a
 component of their own; texts of one or two words have one shingle; repeated rows are equal
@@ -37,7 +38,9 @@ from pyspark.sql import functions as F
 from emberlog.llm.common import CHUNK_BYTES, batch_of, map_arrow, pieces_of, table
 
 NO_ID = -(1 << 63)
-BUCKETS = 1 << 16
+BITS = 18
+BUCKETS = 1 << BITS
+HISTOGRAM = 16
 BLOCK = 1024
 
 _U = np.uint64
@@ -102,10 +105,10 @@ def shingle_hashes(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarra
 def ordered_sets(texts: list[bytes], size: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text as numbers in rare-first order, and where each text's begin.
 
-    A number is the bucket's rank followed by the other 48 bits of the hash: nothing is lost.
+    A number is the bucket's rank followed by the hash's other bits: nothing is lost.
     """
     hashes, places = shingle_hashes(texts, size)
-    numbers = (ranks[(hashes & _U(BUCKETS - 1)).astype(np.int64)] << _U(48)) | (hashes >> _U(16))
+    numbers = (ranks[(hashes & _U(BUCKETS - 1)).astype(np.int64)] << _U(64 - BITS)) | (hashes >> _U(BITS))
     for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
         numbers[a:b].sort()
     new = np.ones(len(numbers), bool)
@@ -130,8 +133,8 @@ def bucket_ranks(docs: DataFrame, size: int) -> np.ndarray:
 
     total = np.zeros(BUCKETS, np.int64)
     # BUCKETS rows at most.
-    for r in map_arrow(docs, run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        total[r.bucket] = r.n
+    rows = map_arrow(docs, run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    total[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     ranks = np.empty(BUCKETS, _U)
     ranks[np.lexsort((np.arange(BUCKETS), total))] = np.arange(BUCKETS, dtype=_U)
     return ranks
@@ -141,24 +144,31 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def histogram(numbers: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall in each of 16 parts of the hash space."""
+    return np.bincount((numbers & _U(HISTOGRAM - 1)).astype(np.int64), minlength=HISTOGRAM).astype(np.int32)
+
+
 def facts_of(docs: DataFrame, size: int, percent: int, ranks) -> DataFrame:
-    """Per row: size of its set, the set's 128-bit key, and the set's prefix."""
-    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", pa.binary())])
+    """Per row: size of its set, the set's 128-bit key, its prefix, and its histogram over the hash space."""
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", pa.binary()),
+                        ("bins", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for part in pieces_of(batch, "text"):
                 numbers, places = ordered_sets([(t or "").encode() for t in part["text"].to_pylist()], size, ranks.value)
-                columns: dict[str, list] = {k: [] for k in ("n", "k1", "k2", "prefix")}
+                columns: dict[str, list] = {k: [] for k in ("n", "k1", "k2", "prefix", "bins")}
                 for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
                     key = hashlib.blake2b(numbers[a:b].tobytes(), digest_size=16).digest()
                     columns["n"].append(b - a)
                     columns["k1"].append(int.from_bytes(key[:8], "little", signed=True))
                     columns["k2"].append(int.from_bytes(key[8:], "little", signed=True))
                     columns["prefix"].append(numbers[a:a + prefix_length(b - a, percent)].tobytes())
+                    columns["bins"].append(histogram(numbers[a:b]).tobytes())
                 yield batch_of({"doc": part["doc"], **columns}, schema)
 
-    return map_arrow(docs, run, "doc long, n long, k1 long, k2 long, prefix binary")
+    return map_arrow(docs, run, "doc long, n long, k1 long, k2 long, prefix binary, bins binary")
 
 
 def postings_of(classes: DataFrame) -> DataFrame:
@@ -179,66 +189,43 @@ def postings_of(classes: DataFrame) -> DataFrame:
     return map_arrow(classes.select("doc", "n", "prefix"), run, "token long, doc long, n long, pos long")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, size: int, ranks) -> DataFrame:
-    """Whole ordered sets of the wanted documents; texts travel compressed."""
-    packed_schema = pa.schema([("doc", pa.int64()), ("body", pa.binary())])
+def bodies_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Compressed texts of the wanted documents: a quarter of the size of their sets."""
+    schema = pa.schema([("doc", pa.int64()), ("body", pa.binary())])
 
-    def pack(batches):
+    def run(batches):
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in pieces_of(batch, "text"):
-                yield batch_of({"doc": part["doc"], "body": [packer.compress((t or "").encode()) for t in part["text"].to_pylist()]}, packed_schema)
+                yield batch_of({"doc": part["doc"], "body": [packer.compress((t or "").encode()) for t in part["text"].to_pylist()]}, schema)
 
-    schema = pa.schema([("doc", pa.int64()), ("items", pa.binary())])
-
-    def run(batches):
-        unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            ids, texts, held = [], [], 0
-            for doc, body in zip(batch["doc"].to_pylist(), batch["body"].to_pylist(), strict=True):
-                ids.append(doc)
-                texts.append(unpack.decompress(body))
-                held += len(texts[-1])
-                if held > CHUNK_BYTES:
-                    yield made(ids, texts)
-                    ids, texts, held = [], [], 0
-            if ids:
-                yield made(ids, texts)
-
-    def made(ids, texts):
-        numbers, places = ordered_sets(texts, size, ranks.value)
-        return batch_of({"doc": ids, "items": [numbers[a:b].tobytes() for a, b in zip(places[:-1], places[1:], strict=True)]}, schema)
-
-    bodies = map_arrow(docs, pack, "doc long, body binary")
-    joined = bodies.join(wanted.hint("shuffle_hash"), "doc", "left_semi")
     # Rows that share an id all stay: the id is one node, and a link of either counts.
-    return map_arrow(joined, run, "doc long, items binary")
+    return map_arrow(docs, run, "doc long, body binary").join(wanted.hint("shuffle_hash"), "doc", "left_semi")
 
 
 class Group:
-    """Nodes that share a prefix shingle, with what the filters need."""
+    """Nodes that meet, with what the filters need."""
 
-    def __init__(self, docs, positions, items, percent: int):
+    def __init__(self, docs, positions, percent: int, *, bodies=None, size: int = 3, ranks=None, n=None, bins=None):
         self.docs = docs
-        self.pos = np.asarray(positions, np.int64)
-        self.items = [np.frombuffer(i, _U) for i in items]
-        self.n = np.array([len(i) for i in self.items], np.int64)
+        self.pos = np.zeros(len(docs), np.int64) if positions is None else np.asarray(positions, np.int64)
         self.percent = percent
+        if bodies is None:
+            self.n, self.bins = n, bins
+            return
+        unpack = zstandard.ZstdDecompressor()
+        numbers, places = ordered_sets([unpack.decompress(b) for b in bodies], size, ranks)
+        self.items = [numbers[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
+        self.n = np.diff(places)
+        self.bins = np.stack([histogram(i) for i in self.items])
         self.prefixes = [i[: prefix_length(len(i), percent)] for i in self.items]
-        self._bins: np.ndarray | None = None
-
-    def bins(self) -> np.ndarray:
-        """How many shingles of each set fall in 16 parts of the hash space."""
-        if self._bins is None:
-            self._bins = np.stack([np.bincount((i & _U(15)).astype(np.int64), minlength=16) for i in self.items])
-        return self._bins
 
     def needed(self, i: int, others: np.ndarray) -> np.ndarray:
         """Least overlap of a linked pair: ceil(t / (1 + t) * (size + size))."""
         total = self.percent * (self.n[i] + self.n[others])
         return -(-total // (100 + self.percent))
 
-    def candidates(self, i: int, others: np.ndarray, first_only: bool, token: int) -> np.ndarray:
+    def candidates(self, i: int, others: np.ndarray, first_only: bool = False, token: int = 0) -> np.ndarray:
         """Those of ``others`` that pass the length, positional and suffix filters."""
         n, m = self.n[i], self.n[others]
         keep = 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
@@ -251,8 +238,7 @@ class Group:
         keep = before + np.minimum(n - self.pos[i], self.n[others] - self.pos[others]) >= need
         others, need = others[keep], need[keep]
         if len(others):
-            bins = self.bins()
-            apart = np.abs(bins[others] - bins[i]).sum(axis=1)
+            apart = np.abs(self.bins[others] - self.bins[i]).sum(axis=1)
             others = others[(n + self.n[others] - apart) // 2 >= need]
         if first_only and len(others):
             earlier = self.prefixes[i][self.prefixes[i] < _U(token)]
@@ -274,7 +260,7 @@ class Group:
         return others[100 * common >= self.percent * (self.n[i] + self.n[others] - common)]
 
 
-def walk(group: Group, token: int) -> list[tuple[int, int]]:
+def walk(group: Group) -> list[tuple[int, int]]:
     """Edges that connect what is linked inside the group."""
     edges, left = [], np.arange(len(group.docs))
     while len(left):
@@ -282,7 +268,7 @@ def walk(group: Group, token: int) -> list[tuple[int, int]]:
         queue = [seed]
         while queue and len(left):
             i = queue.pop()
-            found = group.linked(i, group.candidates(i, left, False, token))
+            found = group.linked(i, group.candidates(i, left))
             if len(found):
                 edges += [(int(group.docs[i]), int(group.docs[j])) for j in found]
                 queue += found.tolist()
@@ -290,8 +276,11 @@ def walk(group: Group, token: int) -> list[tuple[int, int]]:
     return edges
 
 
-def cross(group: Group, token: int, comps: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-    """Edges between components: from members of side 1 to those of side 2 (or 1, if 2 is absent)."""
+def cross(group: Group, comps: np.ndarray, side: np.ndarray, token: int | None) -> list[tuple[int, int]]:
+    """Edges between components: from members of side 1 to those of side 2 (or 1, if 2 is absent).
+
+    With a token, only pairs of which it is the first common shingle.
+    """
     edges = []
     comps = comps.copy()
     one = np.flatnonzero(side == 1)
@@ -300,7 +289,7 @@ def cross(group: Group, token: int, comps: np.ndarray, side: np.ndarray) -> list
     for k, i in enumerate(one):
         others = one[k + 1:] if within else two
         others = others[comps[others] != comps[i]]
-        others = group.candidates(i, others, True, token)
+        others = group.candidates(i, others, token is not None, token or 0)
         # A few at a time: the first link may make the rest needless.
         step = 16
         while len(others):
@@ -339,13 +328,53 @@ def _edge_batch(edges):
     return batch_of({"u": [e[0] for e in edges], "v": [e[1] for e in edges]}, EDGES)
 
 
-def _walker(percent: int):
+def _screener(percent: int, block: int):
+    """Rows of a shingle that some other row of it could link with, by the narrow filters.
+
+    Rows of crowds beyond a block pass: for them the check would grow with their square.
+    """
+    schema = pa.schema([("token", pa.int64()), ("doc", pa.int64()), ("n", pa.int64()), ("pos", pa.int64())])
+
+    def run(batches):
+        kept: list[pa.Table] = []
+        held = 0
+        for rows in _by_group(batches, ("token",)):
+            rows, bins = rows.select(schema.names), rows["bins"]
+            g = rows.num_rows
+            if g < 2:
+                continue
+            if g <= block:
+                group = Group(rows["doc"].to_numpy(), rows["pos"].to_numpy(), percent, n=rows["n"].to_numpy(),
+                              bins=np.frombuffer(b"".join(bins.to_pylist()), np.int32).reshape(g, HISTOGRAM))
+                good = np.zeros(g, bool)
+                for i in range(g - 1):
+                    # Once a row and all after it are known to stay, nothing is left to learn.
+                    if good[i:].all():
+                        break
+                    found = group.candidates(i, np.arange(i + 1, g))
+                    good[found] = True
+                    good[i] |= bool(len(found))
+                if not good.any():
+                    continue
+                rows = rows.filter(pa.array(good))
+            kept.append(rows)
+            held += rows.num_rows
+            if held > 10_000:
+                yield from pa.concat_tables(kept).cast(schema).combine_chunks().to_batches()
+                kept, held = [], 0
+        if kept:
+            yield from pa.concat_tables(kept).cast(schema).combine_chunks().to_batches()
+
+    return run
+
+
+def _walker(percent: int, size: int, ranks):
     def run(batches):
         edges: list[tuple[int, int]] = []
         for rows in _by_group(batches, ("token", "block")):
             if rows.num_rows > 1:
-                group = Group(rows["doc"].to_numpy(), rows["pos"].to_numpy(), rows["items"].to_pylist(), percent)
-                edges += walk(group, int(np.int64(rows["token"][0].as_py()).view(_U)))
+                edges += walk(Group(rows["doc"].to_numpy(), rows["pos"].to_numpy(), percent, bodies=rows["body"].to_pylist(),
+                                    size=size, ranks=ranks.value))
             if len(edges) > 10_000:
                 yield _edge_batch(edges)
                 edges = []
@@ -354,13 +383,15 @@ def _walker(percent: int):
     return run
 
 
-def _crosser(percent: int):
+def _crosser(percent: int, size: int, ranks, by_token: bool):
     def run(batches):
         edges: list[tuple[int, int]] = []
-        for rows in _by_group(batches, ("token", "unit")):
+        for rows in _by_group(batches, ("key", "a", "b")):
             if rows.num_rows > 1:
-                group = Group(rows["doc"].to_numpy(), rows["pos"].to_numpy(), rows["items"].to_pylist(), percent)
-                edges += cross(group, int(np.int64(rows["token"][0].as_py()).view(_U)), rows["comp"].to_numpy(), rows["side"].to_numpy())
+                group = Group(rows["doc"].to_numpy(), rows["pos"].to_numpy() if by_token else None, percent,
+                              bodies=rows["body"].to_pylist(), size=size, ranks=ranks.value)
+                token = int(np.int64(rows["key"][0].as_py()).view(_U)) if by_token else None
+                edges += cross(group, rows["comp"].to_numpy(), rows["side"].to_numpy(), token)
             if len(edges) > 10_000:
                 yield _edge_batch(edges)
                 edges = []
@@ -388,7 +419,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def first_round(shared: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+def first_round(shared: DataFrame, bodies: DataFrame, block: int, run) -> DataFrame:
     """Edges inside the groups of every node's two rarest shared shingles."""
     rarest = Window.partitionBy("doc").orderBy("pos")
     own = shared.withColumn("_k", F.row_number().over(rarest)).where("_k <= 2").drop("_k")
@@ -397,37 +428,47 @@ def first_round(shared: DataFrame, sets: DataFrame, percent: int, block: int) ->
     dealt = own.join(crowd, "token").withColumn("block", F.when(
         F.col("doc") == F.col("least"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))))
-    rows = dealt.select("token", "doc", "pos", F.explode("block").alias("block")).join(sets, "doc")
-    grouped = rows.select("token", "block", "doc", "pos", "items").repartition("token", "block").sortWithinPartitions("token", "block", "doc")
-    return map_arrow(grouped, _walker(percent), "u long, v long")
+    rows = dealt.select("token", "doc", "pos", F.explode("block").alias("block")).join(bodies, "doc")
+    grouped = rows.select("token", "block", "doc", "pos", "body").repartition("token", "block").sortWithinPartitions("token", "block", "doc")
+    return map_arrow(grouped, run, "u long, v long")
 
 
-def second_round(shared: DataFrame, comps: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, percent: int, block: int, with_large, with_small) -> DataFrame:
     """Edges between components that still meet under a shared shingle."""
-    known = shared.join(comps, shared["doc"] == comps["node"], "left").select(
-        "token", "doc", "pos", F.coalesce("comp", "doc").alias("comp"))
-    sizes = known.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
-    mixed = sizes.groupBy("token").agg(
-        F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp")).alias("most"), F.sum("size").alias("members")
-    ).where("comps > 1").select("token", F.col("most.comp").alias("large"),
-                                F.ceil(F.col("most.size") / block).cast("int").alias("many"),
+    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("total"))
+    labels = comps.join(sizes, "comp").select("node", "comp", "total", F.pmod(
+        F.xxhash64("node"), F.ceil(F.col("total") / block)).cast("int").alias("own"))
+    known = shared.join(labels, shared["doc"] == labels["node"], "left").select(
+        "token", "doc", "n", "pos", F.coalesce("comp", "doc").alias("comp"), F.coalesce("own", F.lit(0)).alias("own"),
+        F.coalesce("total", F.lit(1)).alias("total"))
+    per_comp = known.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"), F.max("total").alias("total"))
+    # The host of a shingle: of the components that meet there, the largest.
+    mixed = per_comp.groupBy("token").agg(
+        F.count(F.lit(1)).alias("comps"), F.max(F.struct("total", "comp", "size")).alias("most"), F.sum("size").alias("members")
+    ).where("comps > 1").select("token", F.col("most.comp").alias("large"), "comps",
                                 F.ceil((F.col("members") - F.col("most.size")) / block).cast("int").alias("few"))
-    rows = known.join(mixed, "token").withColumn("side", F.when(F.col("comp") == F.col("large"), 2).otherwise(1))
-    i = F.pmod(F.xxhash64("doc"), F.when(F.col("side") == 2, F.col("many")).otherwise(F.col("few"))).cast("int")
-    rows = rows.withColumn("own", i)
-    # Units (a, b): small block a against block b of the large component; (a, -1 - b): small
-    # blocks a <= b against each other.
-    every_large, every_small = F.sequence(F.lit(0), F.col("many") - 1), F.sequence(F.lit(0), F.col("few") - 1)
-    own = F.col("own")
-    units = F.when(F.col("side") == 2, F.transform(every_small, lambda a: F.struct(a.alias("a"), own.alias("b"), F.lit(2).alias("side")))).otherwise(
-        F.concat(F.transform(every_large, lambda b: F.struct(own.alias("a"), b.alias("b"), F.lit(1).alias("side"))),
-                 F.transform(every_small, lambda b: F.struct(F.least(own, b).alias("a"), (-1 - F.greatest(own, b)).alias("b"),
-                                                             F.when(own <= b, 1).otherwise(2).alias("side")))))
-    spread = rows.select("token", "doc", "pos", "comp", F.explode(units).alias("u")).select(
-        "token", "doc", "pos", "comp", F.concat_ws(":", "u.a", "u.b").alias("unit"), "u.side")
-    grouped = spread.join(sets, "doc").select("token", "unit", "doc", "pos", "comp", "side", "items").repartition(
-        "token", "unit").sortWithinPartitions("token", "unit", "doc")
-    return map_arrow(grouped, _crosser(percent), "u long, v long")
+    rows = table(known.join(mixed, "token"), "meeting")
+    small = rows.where("comp <> large")
+    # The largest component of a shingle in blocks, with the range of its sizes, and who meets it.
+    large = rows.where("comp = large").groupBy("token", "comp", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    near = (100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
+    meets = table(large.join(small.select("token", F.col("doc").alias("guest"), F.col("comp").alias("home"), "n"), "token").where(near)
+                  .select("comp", "own", "guest", "home").distinct(), "guests")
+    hosts = meets.select("comp", "own").distinct().join(
+        rows.select("doc", "comp", "own").union(labels.select("node", "comp", "own")).distinct(), ["comp", "own"])
+    units = hosts.select(F.col("comp").alias("key"), F.col("own").alias("a"), F.lit(0).alias("b"), "doc", "comp", F.lit(2).alias("side"))
+    units = units.unionByName(meets.select(F.col("comp").alias("key"), F.col("own").alias("a"), F.lit(0).alias("b"),
+                                           F.col("guest").alias("doc"), F.col("home").alias("comp"), F.lit(1).alias("side")))
+    placed = units.join(bodies, "doc").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "doc")
+    edges = map_arrow(placed.select("key", "a", "b", "doc", "comp", "side", "body"), with_large, "u long, v long")
+    # Small components among themselves, under a shingle of at least two of them: blocks a <= b.
+    own = F.pmod(F.xxhash64("doc"), F.col("few")).cast("int")
+    spread = small.where("comps > 2").withColumn("own", own).select("token", "doc", "pos", "comp", "own", F.explode(
+        F.sequence(F.lit(0), F.col("few") - 1)).alias("other")).select(
+        F.col("token").alias("key"), F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "doc", "pos", "comp",
+        F.when(F.col("own") <= F.col("other"), 1).otherwise(2).alias("side"))
+    placed = spread.join(bodies, "doc").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "doc")
+    return edges.unionByName(map_arrow(placed.select("key", "a", "b", "doc", "pos", "comp", "side", "body"), with_small, "u long, v long"))
 
 
 def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
@@ -438,14 +479,18 @@ def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block:
     facts = table(facts_of(source, size, percent, ranks), "facts")
     keys = ["k1", "k2"]
     classes = table(facts.where("n > 0").groupBy(*keys).agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
+        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+        F.first("bins").alias("bins")), "classes")
     postings = postings_of(classes)
     often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
-    shared = table(postings.join(often.hint("shuffle_hash"), "token"), "shared")
-    sets = table(sets_of(source, shared.select("doc").distinct(), size, ranks), "sets")
-    edges = table(first_round(shared, sets, percent, block), "edges1")
+    met = postings.join(often.hint("shuffle_hash"), "token").join(classes.select("doc", "bins"), "doc")
+    screened = met.repartition("token").sortWithinPartitions("token", "doc")
+    shared = table(map_arrow(screened, _screener(percent, block), "token long, doc long, n long, pos long"), "shared")
+    bodies = table(bodies_of(source, shared.select("doc").distinct()), "bodies")
+    edges = table(first_round(shared, bodies, block, _walker(percent, size, ranks)), "edges1")
     comps = components(edges)
-    more = table(second_round(shared, comps, sets, percent, block), "edges2")
+    more = table(second_round(shared, comps, bodies, percent, block, _crosser(percent, size, ranks, False),
+                              _crosser(percent, size, ranks, True)), "edges2")
     # Rows of one id under several sets are one node already; what is left is the graph of all edges.
     if more.limit(1).count():
         comps = components(edges.unionByName(more))
