@@ -131,7 +131,7 @@ def find_secrets(docs: DataFrame, *, owner: Column | None = None, repo: Column |
         "live:boolean>>")))
 
 
-def redact(docs: DataFrame, **options) -> DataFrame:
+def redact(docs: DataFrame, *, max_broadcast: int = 20_000, **options) -> DataFrame:
     """The documents with the live secrets of their texts replaced by ``[kind]``.
 
     Keeps every row and column; ``n_chars`` follows the new text where present.  Widely
@@ -140,6 +140,10 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     spans = find_secrets(docs, **options).where(F.exists("spans", lambda s: s["live"])).select(
         F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), F.col("spans").alias("_spans")
     ).dropDuplicates(["_id", "_crc"])
+    # Few documents hold live secrets; where they are few enough, texts need no shuffle.
+    spans = table(spans, "live")
+    if spans.limit(max_broadcast + 1).count() <= max_broadcast:
+        spans = F.broadcast(spans)
     crc = F.crc32(F.coalesce(docs["text"], F.lit("")).cast("binary"))
     joined_docs = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("_id")) & (crc == F.col("_crc")), "left")
 

@@ -24,14 +24,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import batch_of, held_out, map_arrow, pieces_of
+from emberlog.llm.common import batch_of, held_out, map_arrow, pieces_of, ship_package
 
 WORD = re.compile(r"\w+")
 STEMS = (3, 4, 5, 6)
@@ -259,6 +261,25 @@ def located(text: str, segments: list[tuple[int, int, float]], n_words: int, mod
     return [{"start": spans[f][0], "stop": spans[last][1], "score": s, "surprise": e} for f, last, s, e in strong]
 
 
+def clean_documents(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, **options) -> DataFrame:
+    """The documents whose score is below ``threshold``, with all their columns; no shuffle of texts."""
+    ship_package(docs.sparkSession)
+    constants = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **options))
+
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m, memo = constants.value, {}
+        for texts in parts:
+            scores = []
+            for text in texts:
+                words = WORD.findall((text or "").lower())
+                segments = maximal_segments(*word_scores(words, m.scores, memo))
+                scores.append(probability(*evidence(segments, len(words), m), m))
+            yield pd.Series(scores, dtype="float64")
+
+    score = F.pandas_udf(run, "double")
+    return docs.where(score(F.col("text").cast("string")) < threshold)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, *, labelled: DataFrame | None = None, **options) -> DataFrame:
     """Fits on ``labels`` (texts from ``labelled``, by default the documents) and scores all documents."""
     return score_texts(docs, fit(docs if labelled is None else labelled, labels, **options))
