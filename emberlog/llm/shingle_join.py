@@ -16,8 +16,9 @@ travel compressed to where they are verified, in two rounds:
    those not reached yet: a crowd of near copies costs a few sweeps instead of all pairs.
 2. components that still meet under a shared shingle.  The members of the larger one, dealt
    to blocks, meet the nodes of others that share a shingle with them once, whatever number
-   of shingles they share; small components that meet beside a larger one are compared under
-   their first common shingle.  Pairs inside a component are not looked at again.
+   of shingles they share.  Smaller components that meet beside a larger one are compared
+   too, once for each distinct set of nodes that some shingle brings together.  Pairs inside
+   a component are not looked at again.
 
 Defined results: null and empty texts, and those without a word, have no shingle and are a
 component of their own; texts of one or two words have one shingle; repeated rows are equal
@@ -218,36 +219,24 @@ class Group:
         self.items = [numbers[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
         self.n = np.diff(places)
         self.bins = np.stack([histogram(i) for i in self.items])
-        self.prefixes = [i[: prefix_length(len(i), percent)] for i in self.items]
 
     def needed(self, i: int, others: np.ndarray) -> np.ndarray:
         """Least overlap of a linked pair: ceil(t / (1 + t) * (size + size))."""
         total = self.percent * (self.n[i] + self.n[others])
         return -(-total // (100 + self.percent))
 
-    def candidates(self, i: int, others: np.ndarray, first_only: bool = False, token: int = 0) -> np.ndarray:
+    def candidates(self, i: int, others: np.ndarray) -> np.ndarray:
         """Those of ``others`` that pass the length, positional and suffix filters."""
         n, m = self.n[i], self.n[others]
         keep = 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
         others = others[keep]
-        if not len(others):
-            return others
         need = self.needed(i, others)
-        # Shared before the token at most the smaller position, then it and what follows.
-        before = np.zeros(len(others), np.int64) if first_only else np.minimum(self.pos[i], self.pos[others])
-        keep = before + np.minimum(n - self.pos[i], self.n[others] - self.pos[others]) >= need
+        # Shared before the common shingle at most the smaller position, then what follows.
+        keep = np.minimum(self.pos[i], self.pos[others]) + np.minimum(n - self.pos[i], self.n[others] - self.pos[others]) >= need
         others, need = others[keep], need[keep]
-        if len(others):
-            apart = np.abs(self.bins[others] - self.bins[i]).sum(axis=1)
-            others = others[(n + self.n[others] - apart) // 2 >= need]
-        if first_only and len(others):
-            earlier = self.prefixes[i][self.prefixes[i] < _U(token)]
-            if len(earlier):
-                flat = np.concatenate([self.prefixes[j] for j in others])
-                lengths = np.array([len(self.prefixes[j]) for j in others])
-                hit = earlier[np.minimum(np.searchsorted(earlier, flat), len(earlier) - 1)] == flat
-                others = others[np.add.reduceat(hit, np.cumsum(lengths) - lengths) == 0]
-        return others
+        # Sets whose histograms are far apart cannot share enough.
+        apart = np.abs(self.bins[others] - self.bins[i]).sum(axis=1)
+        return others[(n + self.n[others] - apart) // 2 >= need]
 
     def linked(self, i: int, others: np.ndarray) -> np.ndarray:
         """Those of ``others`` that link with ``i``: exact."""
@@ -276,11 +265,8 @@ def walk(group: Group) -> list[tuple[int, int]]:
     return edges
 
 
-def cross(group: Group, comps: np.ndarray, side: np.ndarray, token: int | None) -> list[tuple[int, int]]:
-    """Edges between components: from members of side 1 to those of side 2 (or 1, if 2 is absent).
-
-    With a token, only pairs of which it is the first common shingle.
-    """
+def cross(group: Group, comps: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Edges between components: from members of side 1 to those of side 2 (or 1, if 2 is absent)."""
     edges = []
     comps = comps.copy()
     one = np.flatnonzero(side == 1)
@@ -289,7 +275,7 @@ def cross(group: Group, comps: np.ndarray, side: np.ndarray, token: int | None)
     for k, i in enumerate(one):
         others = one[k + 1:] if within else two
         others = others[comps[others] != comps[i]]
-        others = group.candidates(i, others, token is not None, token or 0)
+        others = group.candidates(i, others)
         # A few at a time: the first link may make the rest needless.
         step = 16
         while len(others):
@@ -383,15 +369,13 @@ def _walker(percent: int, size: int, ranks):
     return run
 
 
-def _crosser(percent: int, size: int, ranks, by_token: bool):
+def _crosser(percent: int, size: int, ranks):
     def run(batches):
         edges: list[tuple[int, int]] = []
-        for rows in _by_group(batches, ("key", "a", "b")):
+        for rows in _by_group(batches, ("key", "part")):
             if rows.num_rows > 1:
-                group = Group(rows["doc"].to_numpy(), rows["pos"].to_numpy() if by_token else None, percent,
-                              bodies=rows["body"].to_pylist(), size=size, ranks=ranks.value)
-                token = int(np.int64(rows["key"][0].as_py()).view(_U)) if by_token else None
-                edges += cross(group, rows["comp"].to_numpy(), rows["side"].to_numpy(), token)
+                group = Group(rows["doc"].to_numpy(), None, percent, bodies=rows["body"].to_pylist(), size=size, ranks=ranks.value)
+                edges += cross(group, rows["comp"].to_numpy(), rows["side"].to_numpy())
             if len(edges) > 10_000:
                 yield _edge_batch(edges)
                 edges = []
@@ -433,7 +417,7 @@ def first_round(shared: DataFrame, bodies: DataFrame, block: int, run) -> DataFr
     return map_arrow(grouped, run, "u long, v long")
 
 
-def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, percent: int, block: int, with_large, with_small) -> DataFrame:
+def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, percent: int, block: int, run) -> DataFrame:
     """Edges between components that still meet under a shared shingle."""
     sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("total"))
     labels = comps.join(sizes, "comp").select("node", "comp", "total", F.pmod(
@@ -456,19 +440,25 @@ def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, percent
                   .select("comp", "own", "guest", "home").distinct(), "guests")
     hosts = meets.select("comp", "own").distinct().join(
         rows.select("doc", "comp", "own").union(labels.select("node", "comp", "own")).distinct(), ["comp", "own"])
-    units = hosts.select(F.col("comp").alias("key"), F.col("own").alias("a"), F.lit(0).alias("b"), "doc", "comp", F.lit(2).alias("side"))
-    units = units.unionByName(meets.select(F.col("comp").alias("key"), F.col("own").alias("a"), F.lit(0).alias("b"),
+    units = hosts.select(F.col("comp").alias("key"), F.col("own").cast("long").alias("part"), "doc", "comp", F.lit(2).alias("side"))
+    units = units.unionByName(meets.select(F.col("comp").alias("key"), F.col("own").cast("long").alias("part"),
                                            F.col("guest").alias("doc"), F.col("home").alias("comp"), F.lit(1).alias("side")))
-    placed = units.join(bodies, "doc").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "doc")
-    edges = map_arrow(placed.select("key", "a", "b", "doc", "comp", "side", "body"), with_large, "u long, v long")
-    # Small components among themselves, under a shingle of at least two of them: blocks a <= b.
-    own = F.pmod(F.xxhash64("doc"), F.col("few")).cast("int")
-    spread = small.where("comps > 2").withColumn("own", own).select("token", "doc", "pos", "comp", "own", F.explode(
-        F.sequence(F.lit(0), F.col("few") - 1)).alias("other")).select(
-        F.col("token").alias("key"), F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "doc", "pos", "comp",
+    # Smaller components among themselves: blocks a <= b of a shingle's nodes, each set of
+    # nodes once.  A set holds two blocks at most.
+    spread = small.where("comps > 2").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("few")).cast("int")).select(
+        "token", "doc", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("other")).select(
+        "token", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "doc", "comp",
         F.when(F.col("own") <= F.col("other"), 1).otherwise(2).alias("side"))
-    placed = spread.join(bodies, "doc").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "doc")
-    return edges.unionByName(map_arrow(placed.select("key", "a", "b", "doc", "pos", "comp", "side", "body"), with_small, "u long, v long"))
+    together = spread.groupBy("token", "a", "b").agg(F.sort_array(F.collect_set(F.struct("doc", "comp", "side"))).alias("nodes")).where(
+        F.size(F.array_distinct("nodes.comp")) > 1)
+    sets = together.select(F.xxhash64("nodes").alias("key"), F.xxhash64(F.lit(1), "nodes").alias("part"), "nodes").groupBy(
+        "key", "part").agg(F.first("nodes").alias("nodes"))
+    beside = sets.select("key", "part", F.explode("nodes").alias("x")).select("key", "part", "x.*")
+    edges = []
+    for meeting in (units, beside):
+        placed = meeting.join(bodies, "doc").repartition("key", "part").sortWithinPartitions("key", "part", "doc")
+        edges.append(map_arrow(placed.select("key", "part", "doc", "comp", "side", "body"), run, "u long, v long"))
+    return edges[0].unionByName(edges[1])
 
 
 def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
@@ -489,8 +479,7 @@ def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block:
     bodies = table(bodies_of(source, shared.select("doc").distinct()), "bodies")
     edges = table(first_round(shared, bodies, block, _walker(percent, size, ranks)), "edges1")
     comps = components(edges)
-    more = table(second_round(shared, comps, bodies, percent, block, _crosser(percent, size, ranks, False),
-                              _crosser(percent, size, ranks, True)), "edges2")
+    more = table(second_round(shared, comps, bodies, percent, block, _crosser(percent, size, ranks)), "edges2")
     # Rows of one id under several sets are one node already; what is left is the graph of all edges.
     if more.limit(1).count():
         comps = components(edges.unionByName(more))
