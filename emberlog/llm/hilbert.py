@@ -33,8 +33,10 @@ def text_code(column: Column, width: int = 6) -> Column:
 
 
 def size_code(column: Column) -> Column:
-    """Binary magnitude of a size, in half steps."""
-    return F.floor(2 * F.log2(F.greatest(column, F.lit(1)).cast("double"))).cast("double")
+    """Binary magnitude of a size in half steps: its number of bits twice, and its second bit."""
+    bits = F.length(F.bin(F.greatest(column.cast("long"), F.lit(2).cast("long"))))
+    second = F.substring(F.bin(F.greatest(column.cast("long"), F.lit(2).cast("long"))), 2, 1).cast("int")
+    return (2 * bits + second).cast("double")
 
 
 def quantised(df: DataFrame, codes: dict[str, Column], bits: int = BITS) -> DataFrame:

@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import hilbert, html_sites, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity
+from emberlog.llm import (
+    hilbert, html_sites, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity,
+)
+from emberlog.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_line_rules": op10_line_rules,
 }
-
-ORACLES: dict[str, str] = {}
