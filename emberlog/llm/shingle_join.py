@@ -207,36 +207,19 @@ def bodies_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 class Group:
     """Nodes that meet, with what the filters need."""
 
-    def __init__(self, docs, positions, percent: int, *, bodies=None, size: int = 3, ranks=None, n=None, bins=None):
+    def __init__(self, docs, positions, percent: int, bodies, size: int, ranks):
         self.docs = docs
         self.pos = np.zeros(len(docs), np.int64) if positions is None else np.asarray(positions, np.int64)
         self.percent = percent
-        if bodies is None:
-            self.n, self.bins = n, bins
-            return
         unpack = zstandard.ZstdDecompressor()
         numbers, places = ordered_sets([unpack.decompress(b) for b in bodies], size, ranks)
         self.items = [numbers[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
         self.n = np.diff(places)
         self.bins = np.stack([histogram(i) for i in self.items])
 
-    def needed(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Least overlap of a linked pair: ceil(t / (1 + t) * (size + size))."""
-        total = self.percent * (self.n[i] + self.n[others])
-        return -(-total // (100 + self.percent))
-
     def candidates(self, i: int, others: np.ndarray) -> np.ndarray:
         """Those of ``others`` that pass the length, positional and suffix filters."""
-        n, m = self.n[i], self.n[others]
-        keep = 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
-        others = others[keep]
-        need = self.needed(i, others)
-        # Shared before the common shingle at most the smaller position, then what follows.
-        keep = np.minimum(self.pos[i], self.pos[others]) + np.minimum(n - self.pos[i], self.n[others] - self.pos[others]) >= need
-        others, need = others[keep], need[keep]
-        # Sets whose histograms are far apart cannot share enough.
-        apart = np.abs(self.bins[others] - self.bins[i]).sum(axis=1)
-        return others[(n + self.n[others] - apart) // 2 >= need]
+        return others[possible(self.n[i], self.n[others], self.pos[i], self.pos[others], self.bins[i], self.bins[others], self.percent)]
 
     def linked(self, i: int, others: np.ndarray) -> np.ndarray:
         """Those of ``others`` that link with ``i``: exact."""
@@ -314,6 +297,19 @@ def _edge_batch(edges):
     return batch_of({"u": [e[0] for e in edges], "v": [e[1] for e in edges]}, EDGES)
 
 
+def possible(n, m, p, q, bins, others, percent: int) -> np.ndarray:
+    """Which pairs pass the length, positional and suffix filters; all arguments by pair."""
+    need = -(-percent * (n + m) // (100 + percent))
+    fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    # Shared before the common shingle at most the smaller position, then what follows.
+    fits &= np.minimum(p, q) + np.minimum(n - p, m - q) >= need
+    # Sets whose histograms are far apart cannot share enough.
+    return fits & ((n + m - np.abs(bins - others).sum(axis=1)) // 2 >= need)
+
+
+SMALL_GROUP = 8
+
+
 def _screener(percent: int, block: int):
     """Rows of a shingle that some other row of it could link with, by the narrow filters.
 
@@ -321,35 +317,104 @@ def _screener(percent: int, block: int):
     """
     schema = pa.schema([("token", pa.int64()), ("doc", pa.int64()), ("n", pa.int64()), ("pos", pa.int64())])
 
-    def run(batches):
-        kept: list[pa.Table] = []
-        held = 0
-        for rows in _by_group(batches, ("token",)):
-            rows, bins = rows.select(schema.names), rows["bins"]
-            g = rows.num_rows
-            if g < 2:
+    def settle(rows: pa.Table) -> pa.Table:
+        token, n, pos = (rows[c].to_numpy() for c in ("token", "n", "pos"))
+        bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.int32).reshape(len(n), HISTOGRAM)
+        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        sizes = np.diff(np.concatenate([starts, [len(token)]]))
+        good = np.zeros(len(n), bool)
+        # Small groups of one size together.
+        for g in range(2, SMALL_GROUP + 1):
+            own = starts[sizes == g]
+            for i in range(g):
+                for j in range(i + 1, g):
+                    x, y = own + i, own + j
+                    fits = possible(n[x], n[y], pos[x], pos[y], bins[x], bins[y], percent)
+                    good[x[fits]] = True
+                    good[y[fits]] = True
+        for start, g in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist(), strict=True):
+            if g > block:
+                good[start:start + g] = True
                 continue
-            if g <= block:
-                group = Group(rows["doc"].to_numpy(), rows["pos"].to_numpy(), percent, n=rows["n"].to_numpy(),
-                              bins=np.frombuffer(b"".join(bins.to_pylist()), np.int32).reshape(g, HISTOGRAM))
-                good = np.zeros(g, bool)
-                for i in range(g - 1):
-                    # Once a row and all after it are known to stay, nothing is left to learn.
-                    if good[i:].all():
-                        break
-                    found = group.candidates(i, np.arange(i + 1, g))
-                    good[found] = True
-                    good[i] |= bool(len(found))
-                if not good.any():
-                    continue
-                rows = rows.filter(pa.array(good))
-            kept.append(rows)
-            held += rows.num_rows
-            if held > 10_000:
-                yield from pa.concat_tables(kept).cast(schema).combine_chunks().to_batches()
-                kept, held = [], 0
-        if kept:
-            yield from pa.concat_tables(kept).cast(schema).combine_chunks().to_batches()
+            for i in range(start, start + g - 1):
+                # Once a row and all after it are known to stay, nothing is left to learn.
+                if good[i:start + g].all():
+                    break
+                y = np.arange(i + 1, start + g)
+                fits = possible(n[i], n[y], pos[i], pos[y], bins[i], bins[y], percent)
+                good[y[fits]] = True
+                good[i] |= bool(fits.any())
+        return rows.select(schema.names).filter(pa.array(good)).cast(schema)
+
+    def run(batches):
+        for rows in _whole_groups(batches, ("token",), 20_000):
+            yield from settle(rows).combine_chunks().to_batches()
+
+    return run
+
+
+def _whole_groups(batches, keys: tuple[str, ...], least: int):
+    """Tables of about ``least`` rows that hold whole groups of consecutive rows with equal keys."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < least:
+            continue
+        rows = pa.Table.from_batches(held)
+        same = np.all([rows[k].to_numpy() == rows[k][-1].as_py() for k in keys], axis=0)
+        cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+        if cut:
+            yield rows.slice(0, cut)
+            rows = rows.slice(cut)
+        held, size = rows.to_batches(), rows.num_rows
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+PRINT = 256
+
+
+def prints_of(bodies: DataFrame, size: int, ranks) -> DataFrame:
+    """(doc, n, bins): sizes and fine histograms of the sets of compressed texts."""
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("bins", pa.binary())])
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            docs, bodies = batch["doc"].to_pylist(), batch["body"].to_pylist()
+            # One text at a time bounds memory; the fixed cost is small beside a text's.
+            out = []
+            for body in bodies:
+                numbers, _ = ordered_sets([unpack.decompress(body)], size, ranks.value)
+                out.append((len(numbers), np.bincount((numbers & _U(PRINT - 1)).astype(np.int64), minlength=PRINT).astype(np.int32).tobytes()))
+            yield batch_of({"doc": docs, "n": [o[0] for o in out], "bins": [o[1] for o in out]}, schema)
+
+    return map_arrow(bodies, run, "doc long, n long, bins binary")
+
+
+MEETING = "key long, part long, doc long, comp long, side int"
+
+
+def _unit_screener(percent: int):
+    """Rows of a unit that some row of another component could link with, by size and fine histogram."""
+    schema = pa.schema([("key", pa.int64()), ("part", pa.int64()), ("doc", pa.int64()), ("comp", pa.int64()), ("side", pa.int32())])
+
+    def run(batches):
+        for rows in _by_group(batches, ("key", "part")):
+            n, comp, side = (rows[c].to_numpy() for c in ("n", "comp", "side"))
+            bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.int32).reshape(len(n), PRINT)
+            one, two = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
+            good = np.zeros(len(n), bool)
+            for k, i in enumerate(one):
+                y = two if len(two) else one[k + 1:]
+                y = y[comp[y] != comp[i]]
+                fits = possible(n[i], n[y], 0, 0, bins[i], bins[y], percent)
+                good[y[fits]] = True
+                good[i] |= bool(fits.any())
+            if good.any():
+                kept = rows.select(schema.names).filter(pa.array(good)).cast(schema)
+                yield from kept.combine_chunks().to_batches()
 
     return run
 
@@ -359,8 +424,8 @@ def _walker(percent: int, size: int, ranks):
         edges: list[tuple[int, int]] = []
         for rows in _by_group(batches, ("token", "block")):
             if rows.num_rows > 1:
-                edges += walk(Group(rows["doc"].to_numpy(), rows["pos"].to_numpy(), percent, bodies=rows["body"].to_pylist(),
-                                    size=size, ranks=ranks.value))
+                edges += walk(Group(rows["doc"].to_numpy(), rows["pos"].to_numpy(), percent, rows["body"].to_pylist(),
+                                    size, ranks.value))
             if len(edges) > 10_000:
                 yield _edge_batch(edges)
                 edges = []
@@ -374,7 +439,7 @@ def _crosser(percent: int, size: int, ranks):
         edges: list[tuple[int, int]] = []
         for rows in _by_group(batches, ("key", "part")):
             if rows.num_rows > 1:
-                group = Group(rows["doc"].to_numpy(), None, percent, bodies=rows["body"].to_pylist(), size=size, ranks=ranks.value)
+                group = Group(rows["doc"].to_numpy(), None, percent, rows["body"].to_pylist(), size, ranks.value)
                 edges += cross(group, rows["comp"].to_numpy(), rows["side"].to_numpy())
             if len(edges) > 10_000:
                 yield _edge_batch(edges)
@@ -417,7 +482,8 @@ def first_round(shared: DataFrame, bodies: DataFrame, block: int, run) -> DataFr
     return map_arrow(grouped, run, "u long, v long")
 
 
-def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, percent: int, block: int, run) -> DataFrame:
+def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, prints: DataFrame, percent: int, block: int,
+                 screen, run) -> DataFrame:
     """Edges between components that still meet under a shared shingle."""
     sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("total"))
     labels = comps.join(sizes, "comp").select("node", "comp", "total", F.pmod(
@@ -456,6 +522,10 @@ def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, percent
     beside = sets.select("key", "part", F.explode("nodes").alias("x")).select("key", "part", "x.*")
     edges = []
     for meeting in (units, beside):
+        # Fine histograms are much smaller than texts: only what passes them needs its text.
+        sketched = meeting.join(prints, "doc").repartition("key", "part").sortWithinPartitions("key", "part", "doc")
+        meeting = table(map_arrow(sketched.select("key", "part", "doc", "comp", F.col("side").cast("int").alias("side"), "n", "bins"),
+                                  screen, MEETING), "units")
         placed = meeting.join(bodies, "doc").repartition("key", "part").sortWithinPartitions("key", "part", "doc")
         edges.append(map_arrow(placed.select("key", "part", "doc", "comp", "side", "body"), run, "u long, v long"))
     return edges[0].unionByName(edges[1])
@@ -479,7 +549,9 @@ def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block:
     bodies = table(bodies_of(source, shared.select("doc").distinct()), "bodies")
     edges = table(first_round(shared, bodies, block, _walker(percent, size, ranks)), "edges1")
     comps = components(edges)
-    more = table(second_round(shared, comps, bodies, percent, block, _crosser(percent, size, ranks)), "edges2")
+    prints = table(prints_of(bodies, size, ranks), "prints")
+    more = table(second_round(shared, comps, bodies, prints, percent, block, _unit_screener(percent),
+                              _crosser(percent, size, ranks)), "edges2")
     # Rows of one id under several sets are one node already; what is left is the graph of all edges.
     if more.limit(1).count():
         comps = components(edges.unionByName(more))
