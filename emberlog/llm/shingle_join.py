@@ -36,13 +36,15 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import CHUNK_BYTES, batch_of, map_arrow, pieces_of, table
+from emberlog.llm.common import batch_of, map_arrow, pieces_of, table
 
 NO_ID = -(1 << 63)
 BITS = 18
 BUCKETS = 1 << BITS
 HISTOGRAM = 16
 BLOCK = 1024
+# Hashing takes some twenty bytes of working memory for each byte of a chunk.
+CHUNK = 1 << 20
 
 _U = np.uint64
 _BASE = 0xD1342543DE82EF95 | 1
@@ -55,7 +57,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(2 * CHUNK_BYTES, n) + 1
+    size = max(CHUNK + (CHUNK >> 2), n) + 1
     if size not in _powers:
         _powers.clear()
         made = []
@@ -126,7 +128,7 @@ def bucket_ranks(docs: DataFrame, size: int) -> np.ndarray:
     def run(batches):
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for part in pieces_of(batch, "text"):
+            for part in pieces_of(batch, "text", CHUNK):
                 hashes, _ = shingle_hashes([(t or "").encode() for t in part["text"].to_pylist()], size)
                 counts += np.bincount((hashes & _U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
         own = np.flatnonzero(counts)
@@ -157,7 +159,7 @@ def facts_of(docs: DataFrame, size: int, percent: int, ranks) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in pieces_of(batch, "text"):
+            for part in pieces_of(batch, "text", CHUNK):
                 numbers, places = ordered_sets([(t or "").encode() for t in part["text"].to_pylist()], size, ranks.value)
                 columns: dict[str, list] = {k: [] for k in ("n", "k1", "k2", "prefix", "bins")}
                 for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
@@ -197,7 +199,7 @@ def bodies_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for part in pieces_of(batch, "text"):
+            for part in pieces_of(batch, "text", CHUNK):
                 yield batch_of({"doc": part["doc"], "body": [packer.compress((t or "").encode()) for t in part["text"].to_pylist()]}, schema)
 
     # Rows that share an id all stay: the id is one node, and a link of either counts.
