@@ -51,9 +51,20 @@ def silver_key(raid_id: Column, event_date: Column, batch_id: Column) -> Column:
     )
 
 
+def padded(number: Column, width: int) -> Column:
+    """A number as text with leading zeros; longer numbers keep all their digits."""
+    text = number.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def chunk_file_name(raid_id: Column, chunk: Column) -> Column:
     """File name of one replay chunk with a zero-padded index."""
-    return F.concat(raid_id, F.lit("_batch_"), F.lpad(chunk.cast("string"), 4, "0"), F.lit(".json"))
+    return F.concat(raid_id, F.lit("_batch_"), padded(chunk, 4), F.lit(".json"))
+
+
+def chunk_number(batch_id: Column) -> Column:
+    """Index of a replay chunk as a number, from its batch id."""
+    return F.regexp_extract(batch_id, r"_batch_(\d+)$", 1).try_cast("bigint")
 
 
 def derived_id(*parts: Column) -> Column:

@@ -123,30 +123,24 @@ def massive_hit_rate(events: DataFrame) -> DataFrame:
 def batch_cardinality(events: DataFrame, batch: str = "batch_id") -> DataFrame:
     """Distinct raids, types and participants of each batch.
 
-    One pass collects the distinct (batch, value) pairs of all three attributes; the
-    second counts them, so no row is multiplied by an expanding distinct.
+    Events are first counted per combination of the three values, with a map-side combine;
+    only those few rows are then spread to one row per value.
     """
-    pairs = events.select(
-        batch,
-        F.inline(
-            F.array(*[
-                F.struct(F.lit(c).alias("attribute"), F.col(c).alias("value"))
-                for c in ("raid_id", "event_type", "source_player_id")
-            ])
-        ),
-    )
-    seen = pairs.filter(F.col("value").isNotNull()).groupBy(batch, "attribute", "value").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    names = ("raid_id", "event_type", "source_player_id")
+    combined = events.groupBy(batch, *names).agg(F.count(F.lit(1)).alias("rows"))
+    # The first of a combination's three rows carries its count, so that each event counts once.
+    pairs = combined.select(batch, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("attribute"), F.col(c).alias("value"),
+                 (F.col("rows") if i == 0 else F.lit(0).cast("bigint")).alias("rows"))
+        for i, c in enumerate(names)
+    ])))
+    seen = pairs.groupBy(batch, "attribute", "value").agg(F.sum("rows").alias("rows"))
 
     def distinct(name: str):
-        return F.count_if(F.col("attribute") == name)
-
-    def rows(name: str):
-        return F.sum(F.when(F.col("attribute") == name, F.col("rows")))
+        return F.count_if((F.col("attribute") == name) & F.col("value").isNotNull())
 
     return seen.groupBy(batch).agg(
-        rows("event_type").alias("events"),
+        F.sum("rows").alias("events"),
         distinct("raid_id").alias("raids"),
         distinct("event_type").alias("event_types"),
         distinct("source_player_id").alias("players"),
@@ -175,7 +169,7 @@ def consolidated_raids(
     return joined.select(
         "raid_id",
         "event_date",
-        F.left(F.col("boss_name"), F.lit(16)).alias("boss_name"),
+        "boss_name",
         "difficulty",
         "raid_outcome",
         "total_damage",

@@ -108,13 +108,14 @@ def check_stats(stats: DataFrame) -> DataFrame:
 
 
 def check_raid_size(summary: DataFrame, dim_raid: DataFrame) -> DataFrame:
-    """No raid has more participants than its registered size."""
+    """No raid has more participants than its registered size; an unregistered raid fails."""
     joined = summary.select("raid_id", "n_players").join(
-        dim_raid.select("raid_id", "raid_size"), "raid_id"
+        dim_raid.select("raid_id", "raid_size"), "raid_id", "left"
     )
+    fits = F.coalesce(F.col("n_players") <= F.col("raid_size"), F.lit(False))
     return _rows(
         joined,
-        _row("raid_size", F.col("raid_id"), ok_if(F.col("n_players") <= F.col("raid_size")),
+        _row("raid_size", F.col("raid_id"), ok_if(fits),
              F.col("n_players"), "<= raid_size"),
     )
 

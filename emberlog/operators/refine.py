@@ -43,7 +43,9 @@ def parse_text_events(raw: DataFrame) -> DataFrame:
             typed = coercion.typed_sql(name, T.StringType(), want)
             failed.append(f"if({name} IS NOT NULL AND {typed} IS NULL, '{name}', NULL)")
     names = f"filter(array({', '.join(failed)}), x -> x IS NOT NULL)"
-    trimmed = raw.withColumns({name: F.expr(f"trim({name})") for name in text})
+    trimmed = raw.withColumns({
+        name: F.btrim(F.col(name), F.lit(C.WHITE_SPACE)) for name in text
+    })
     return cast_types(trimmed.withColumn(UNCAST, F.expr(names)))
 
 

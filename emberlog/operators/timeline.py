@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog import constants as C
 from emberlog.functions.numbers import whole_millis_between
-from emberlog.session import materialise
+from emberlog.session import materialise, small_side
 from emberlog.operators.ordered import with_previous, with_running
 
 _MONEY = "decimal(20,6)"
@@ -27,10 +27,11 @@ def chunked(
 def elapsed(events: DataFrame, group: str = "raid_id") -> DataFrame:
     """Milliseconds since the first event of the encounter.
 
-    The start comes from an aggregation with a map-side combine and is joined back, so a
-    dominant raid is never gathered in one place.
+    The start comes from an aggregation with a map-side combine and is joined back: sent to
+    all tasks where it was counted to be small, so that events stay in place, and joined
+    with a shuffle otherwise.
     """
-    starts = events.groupBy(group).agg(F.min("timestamp").alias("_start"))
+    starts = small_side(events.groupBy(group).agg(F.min("timestamp").alias("_start")), "starts")
     return (
         events.join(starts, group, "left")
         .withColumn("elapsed_ms", whole_millis_between(F.col("_start"), F.col("timestamp")))
@@ -43,7 +44,7 @@ def boss_timeline(
     max_hp: float | Column,
     thresholds: Sequence[float] = C.BOSS_PHASE_THRESHOLDS,
 ) -> DataFrame:
-    """Boss health and phase after each damaging hit.
+    """Boss health and phase after each damaging hit on a boss, per raid and boss.
 
     Health only falls, so "one phase step per hit, when at or under the next threshold"
     has a closed form: phase *k* starts at the first hit at or under threshold *k*, but at
@@ -51,13 +52,14 @@ def boss_timeline(
     """
     full = (max_hp if isinstance(max_hp, Column) else F.lit(max_hp)).cast(_MONEY)
     hits = events.filter(
-        (F.col("event_type") == "combat_damage") & (F.col("damage_amount") != 0)
+        (F.col("event_type") == "combat_damage") & (F.col("damage_amount") > 0)
+        & (F.col("target_entity_type") == "boss")
     ).select(
         "raid_id", "event_id", "timestamp", "target_entity_id", "damage_amount",
         full.alias("max_hp"),
     )
     run = with_running(
-        hits, ["raid_id"], [F.col("timestamp"), F.col("event_id")],
+        hits, ["raid_id", "target_entity_id"], [F.col("timestamp"), F.col("event_id")],
         number="hit", sums={"dealt": ("damage_amount", _MONEY)},
     )
 
@@ -74,15 +76,20 @@ def boss_timeline(
         F.min(F.when(F.col("hp_pct_after") <= limit, F.col("hit"))).alias(f"_at{i}")
         for i, limit in enumerate(thresholds)
     ]
-    firsts = run.groupBy("raid_id").agg(F.count(F.lit(1)).alias("_hits"), *reached)
+    firsts = run.groupBy("raid_id", "target_entity_id").agg(F.count(F.lit(1)).alias("_hits"), *reached)
     steps: list[Column] = []
     for i in range(len(thresholds)):
         at = F.col(f"_at{i}")
         # A raid that never gets there has a null step, and so have all later phases.
         steps.append(at if not steps else F.when(at.isNotNull(), F.greatest(at, steps[-1] + 1)))
-    firsts = firsts.select("raid_id", *[s.alias(f"_step{i}") for i, s in enumerate(steps)])
-
-    joined = run.join(firsts, "raid_id", "left")
+    firsts = firsts.select(
+        "raid_id", F.col("target_entity_id").alias("_boss"),
+        *[s.alias(f"_step{i}") for i, s in enumerate(steps)],
+    )
+    firsts = small_side(firsts, "phases")
+    joined = run.join(firsts.withColumnRenamed("raid_id", "_raid"),
+                      (F.col("raid_id") == F.col("_raid"))
+                      & F.col("target_entity_id").eqNullSafe(F.col("_boss")), "left")
     phase = F.lit(1)
     starts = F.lit(False)
     for i in range(len(thresholds)):

@@ -146,7 +146,8 @@ def run_gold_partition(
     Dimensions are merged into what is already published, and running the same partition
     again changes nothing.
     """
-    events = read_silver_partition(spark, silver, raid_id, event_date)
+    # Facts of a partition that cannot be read whole would look complete.
+    events = read_silver_partition(spark, silver, raid_id, event_date, strict=True)
     tables = gold_tables(events, **options)
     published = read_gold(spark, folder, "fact_player_raid_stats").filter(
         ~((F.col("raid_id") == raid_id) & (F.col("event_date") == F.lit(event_date).cast("date")))

@@ -15,6 +15,9 @@ from emberlog.sources.files import write_table
 from emberlog.sources.silver import read_silver, read_silver_or_empty, touched_only, write_silver
 
 
+DOCUMENT = "_document"
+
+
 @dataclass(frozen=True)
 class Layers:
     """Folders of the layers."""
@@ -92,7 +95,13 @@ def checked_events(
     documents: DataFrame, as_of: str | None = None, mode: str = "batch",
     max_events: int = C.MAX_EVENTS_PER_BATCH, check_ids: bool = True,
 ) -> DataFrame:
-    """Events of raw documents with ``errors`` and ``accepted`` from the full contract."""
-    typed = typed_events(documents, as_of)
+    """Events of raw documents with ``errors`` and ``accepted`` from the full contract.
+
+    In ``batch`` mode a document is accepted or refused as a whole (``_document``: its path
+    and batch id).
+    """
+    typed = typed_events(documents, as_of).withColumn(
+        DOCUMENT, F.concat_ws("#", "path", "batch_id")
+    )
     rules = contract.event_rules(as_of, check_ids, from_text=True)
-    return contract.admit(contract.mark(typed, rules), mode, max_events=max_events)
+    return contract.admit(contract.mark(typed, rules), mode, DOCUMENT, max_events)

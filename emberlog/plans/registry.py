@@ -15,7 +15,7 @@ from emberlog.operators import (
 from emberlog.plans import gold as gold_plan
 from emberlog.plans import medallion
 from emberlog.schemas import DIM_PLAYER_SCHEMA
-from emberlog.session import scratch_path
+from emberlog.session import materialise, scratch_path
 from emberlog.sources import bronze, files, gold, silver
 from emberlog.sources.sample_events import encounter_events, with_redelivery
 from emberlog.streaming import delivery, feed, ingest
@@ -184,24 +184,33 @@ def dim_raid_upsert(spark, folder):
 
 @query
 def dim_player_versions(spark, folder):
-    """Two committed versions of the dimension, read back together."""
-    first, second = _two_loads(spark, folder)
-    table = gold.VersionedTable(spark, scratch_path(spark, "dim_player"), DIM_PLAYER_SCHEMA)
-    table.merge(dimensions.dim_player(first), upsert.upsert_dim_player, ["player_id"])
-    table.merge(dimensions.dim_player(second), upsert.upsert_dim_player, ["player_id"])
-    frames = [
-        table.read(n).withColumn("version", F.lit(n).cast("bigint")) for n in (1, table.version)
-    ]
-    return profile.stack_tables(*frames)
+    """The dimension on disk after each of two loads."""
+    return profile.stack_tables(*[
+        frame.withColumn("version", F.lit(n).cast("bigint")) for n, frame, _ in _merged_loads(spark, folder)
+    ])
 
 
 @query
 def dim_player_history(spark, folder):
-    first, second = _two_loads(spark, folder)
-    table = gold.VersionedTable(spark, scratch_path(spark, "dim_player"), DIM_PLAYER_SCHEMA)
-    table.merge(dimensions.dim_player(first), upsert.upsert_dim_player, ["player_id"])
-    table.merge(dimensions.dim_player(second), upsert.upsert_dim_player, ["player_id"])
-    return table.history().select("version", "operation", "rows")
+    """Rows the dimension table holds after each load."""
+    return profile.stack_tables(*[
+        frame.agg(
+            F.lit(n).cast("bigint").alias("version"), F.lit("create" if n == 1 else "upsert").alias("operation"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        for n, frame, _ in _merged_loads(spark, folder)
+    ])
+
+
+def _merged_loads(spark, folder):
+    """(load, table after it, rows) for two loads merged into one table."""
+    path = scratch_path(spark, "dim_player")
+    for n, events in enumerate(_two_loads(spark, folder), 1):
+        rows = gold.merge_table(
+            spark, path, dimensions.dim_player(events), upsert.upsert_dim_player, ["player_id"], DIM_PLAYER_SCHEMA
+        )
+        # A copy, as the next load replaces the table.
+        yield n, materialise(spark.read.schema(DIM_PLAYER_SCHEMA).parquet(path), "load"), rows
 
 
 # --- Silver ----------------------------------------------------------------------------
@@ -604,7 +613,7 @@ def class_role_conformity(spark, folder):
 def order_checks(spark, folder):
     events = encounter_events(spark, folder)
     disorder = timeline.out_of_order(events, ["raid_id"], ["ingestion_timestamp", "event_id"])
-    return quality.check_order(disorder, 100).filter("check_id != 'time_order'")
+    return quality.check_order(disorder, 100)
 
 
 # --- keys and scalar functions ---------------------------------------------------------
@@ -717,11 +726,25 @@ def replay_batches(spark, folder):
     events = bronze.read_events(spark, path, "lines")
     return events.select(
         paths.raid_of(F.col("path")).alias("raid_id"),
-        paths.path_value(F.col("path"), "batch_index").alias("batch_index"),
+        F.substring_index("batch_id", "_", -1).alias("batch_index"),
         "event_id",
     )
 
 
+@query
+def replay_single_events(spark, folder):
+    """All events as one raid, a chunk each: indexes outgrow their zero padding."""
+    path = scratch_path(spark, "replay")
+    events = encounter_events(spark, folder).withColumn("raid_id", F.lit("raid001"))
+    bronze.write_replay(bronze.replay_chunks(events, 1, "replay"), path)
+    events = bronze.read_events(spark, path, "lines")
+    chunk = paths.chunk_number(F.col("batch_id"))
+    return events.select(
+        "raid_id", "event_id", chunk.alias("chunk"),
+        paths.chunk_file_name(F.col("raid_id"), chunk).alias("chunk_file"),
+    )
+
+
 @query
 def silver_round_trip(spark, folder):
     path = scratch_path(spark, "silver")
@@ -804,6 +827,53 @@ def stream_ingest(spark, folder):
     return events.select("event_id", "event_type", "raid_id", "batch_id")
 
 
+@query
+def ingest_rejects(spark, folder):
+    """What ingest accepts and refuses, event by event, in row and in batch mode."""
+    events = encounter_events(spark, folder).repartition("raid_id", "batch_id")
+    landing = scratch_path(spark, "landing")
+    bronze.write_envelopes(bronze.envelopes(events, stamp=F.col("ingestion_timestamp")), landing)
+    parts = []
+    for mode in ("row", "batch"):
+        root = scratch_path(spark, f"ingest-{mode}")
+        ingest.ingest_stream(
+            spark, landing, f"{root}/bronze", f"{root}/rejects", f"{root}/checkpoint",
+            layout="lines", max_files=20, as_of=AS_OF, check_ids=False, mode=mode,
+        ).awaitTermination()
+        accepted = bronze.read_events(spark, f"{root}/bronze", "lines").select(
+            "event_id", F.lit("accepted").alias("status"),
+            F.lit(None).cast("string").alias("reasons"), F.lit(None).cast("string").alias("batch_reasons"),
+        )
+        refused = spark.read.parquet(f"{root}/rejects").select(
+            "event_id", F.lit("refused").alias("status"), "reasons", "batch_reasons"
+        )
+        parts.append(accepted.unionByName(refused).select(F.lit(mode).alias("mode"), "*"))
+    return profile.stack_tables(*parts)
+
+
+@query
+def bronze_shapes(spark, folder):
+    """Documents of every shape, one made from each event."""
+    events = encounter_events(spark, folder).select("event_id", "event_type")
+    event = F.to_json(F.struct("event_id", "event_type"))
+    kind = (F.substring_index("event_id", "_", -1).cast("bigint") % 9).cast("int")
+    bodies = F.array(
+        F.concat(F.lit("["), event, F.lit("]")),
+        F.concat(F.lit('{"batch_id":"x","events":['), event, F.lit("]}")),
+        event,
+        F.concat(F.lit('{\n  "events": [\n    '), event, F.lit("\n  ]\n}\n")),
+        F.concat(F.lit("\n\t["), event, F.lit("]\r\n")),
+        F.lit("[]"), F.lit(" \n\t "), F.concat(F.lit("["), event), F.lit('{"events": 3}'),
+    )
+    documents = events.select(
+        F.concat(F.lit("raid_id=raid001/batch_"), "event_id", F.lit(".json")).alias("path"),
+        F.get(bodies, kind).alias("body"),
+    ).withColumn("bytes", F.octet_length("body").cast("bigint"))
+    return bronze.batch_report(documents).select(
+        F.col("batch_id").alias("event_id"), "shape", "event_count", "status"
+    )
+
+
 @query
 def stream_refine(spark, folder):
     """Bronze read as a stream in several micro-batches, every event twice."""
@@ -847,12 +917,12 @@ def delivery_totals(spark, folder):
 
 @query
 def replay_order(spark, folder):
-    """Position of every stored chunk in its raid, from file names alone."""
+    """Position of every stored chunk in its raid, by chunk number."""
     path = scratch_path(spark, "replay")
     bronze.write_replay(
         bronze.replay_chunks(encounter_events(spark, folder), CHUNK, "replay"), path
     )
     plan = feed.replay_plan(spark, path)
     return plan.select(
-        "raid_id", "position", paths.path_value(F.col("path"), "batch_index").alias("batch_index")
+        "raid_id", "position", F.substring_index("batch_id", "_", -1).alias("batch_index")
     )

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Time zone: operators compare and truncate instants as UTC.
 # Dynamic partition overwrite: re-running a load replaces only the partitions it touches.
@@ -56,6 +57,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+SMALL_ROWS = 100_000
+
+
+def small_side(df, name: str, rows: int = SMALL_ROWS):
+    """``df`` written once, and marked for broadcast only if it was counted to have few rows."""
+    table = materialise(df, name)
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def materialise(df, name: str):
     """Write ``df`` once to the shared folder and read it back.
 

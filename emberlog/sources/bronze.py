@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog import constants as C
-from emberlog.functions.paths import batch_id_of, bronze_key, raid_of
+from emberlog.functions.paths import batch_id_of, bronze_key, padded, raid_of
 from emberlog.operators.contract import EXTRA_KEYS
 from emberlog.operators.timeline import chunked
 from emberlog.schemas import EVENT_COLUMNS, RAW_EVENT_SCHEMA
@@ -18,6 +18,7 @@ from emberlog.sources.files import JSON_TIMES, write_table
 
 LAYOUTS = ("document", "lines")
 BRONZE_PARTITIONS = ("raid_id", "ingest_date")
+EVENT_TEXT = "_event_text"
 
 
 def _text_options(source, layout: str):
@@ -27,7 +28,10 @@ def _text_options(source, layout: str):
     return source.option("wholetext", "true") if layout == "document" else source
 
 
-def _described(text: DataFrame) -> DataFrame:
+def _described(text: DataFrame, layout: str) -> DataFrame:
+    if layout == "lines":
+        # A blank line is no document.
+        text = text.filter(F.btrim(F.col("value"), F.lit(C.WHITE_SPACE)) != "")
     return text.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("bytes"),
@@ -38,7 +42,7 @@ def _described(text: DataFrame) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
     """JSON values below a folder as text, with file path, size and time."""
-    return _described(_text_options(spark.read.format("text"), layout).load(path))
+    return _described(_text_options(spark.read.format("text"), layout).load(path), layout)
 
 
 def stream_documents(
@@ -48,7 +52,7 @@ def stream_documents(
     source = _text_options(spark.readStream.format("text"), layout)
     if max_files:
         source = source.option("maxFilesPerTrigger", str(max_files))
-    return _described(source.load(path))
+    return _described(source.load(path), layout)
 
 
 _ENVELOPE = "batch_id string, ingest_timestamp string, events array<string>"
@@ -57,21 +61,21 @@ _ENVELOPE = "batch_id string, ingest_timestamp string, events array<string>"
 def unpacked(documents: DataFrame) -> DataFrame:
     """Shape, batch id and list of raw event texts of each document.
 
-    ``shape`` is ``envelope``, ``array``, ``single`` or ``malformed``; ``items`` is null
-    for a malformed document and empty for an empty batch.  A well-formed envelope or
+    ``shape`` is ``envelope``, ``array``, ``single``, ``blank`` or ``malformed``; ``items`` is
+    null for a blank or malformed document and empty for an empty batch.  A well-formed envelope or
     array is parsed once; only the other cases look at the text again.
     """
-    body = F.trim(F.col("body"))
+    body = F.btrim(F.col("body"), F.lit(C.WHITE_SPACE))
     is_array = body.startswith("[")
     parsed = (
         documents.withColumn("body", body)
-        .filter(F.col("body") != "")
         .withColumn("_env", F.when(~is_array, F.from_json("body", _ENVELOPE)))
         .withColumn("_list", F.when(is_array, F.from_json("body", "array<string>")))
     )
     keys = F.json_object_keys("body")
     shape = (
-        F.when(is_array, F.when(F.col("_list").isNull(), "malformed").otherwise("array"))
+        F.when(F.col("body") == "", "blank")
+        .when(is_array, F.when(F.col("_list").isNull(), "malformed").otherwise("array"))
         .when(F.col("_env.events").isNotNull(), "envelope")
         .when(keys.isNull(), "malformed")
         .when(~F.array_contains(keys, "events"), "single")
@@ -101,25 +105,40 @@ def document_status(batches: DataFrame, max_events: int = C.MAX_EVENTS_PER_BATCH
     """``ok``, or why a document cannot be a batch."""
     return (
         F.when(F.col("shape") == "malformed", "malformed")
-        .when(F.col("event_count") == 0, "empty")
+        .when((F.col("shape") == "blank") | (F.col("event_count") == 0), "empty")
         .when(F.col("event_count") > max_events, "too_many_events")
         .otherwise("ok")
     )
 
 
-def batch_report(documents: DataFrame, max_events: int = C.MAX_EVENTS_PER_BATCH) -> DataFrame:
-    """One row per document: batch id, shape, size and status."""
+def batch_report(
+    documents: DataFrame, max_events: int = C.MAX_EVENTS_PER_BATCH, files: DataFrame | None = None
+) -> DataFrame:
+    """One row per document: batch id, shape, size and status.
+
+    A file without a byte has no document to read; with ``files`` (a listing with ``path``
+    and ``length``) such files are reported as empty too.
+    """
     batches = unpacked(documents)
-    return batches.select(
+    report = batches.select(
         "path", "batch_id", "shape", "event_count", "bytes",
         document_status(batches, max_events).alias("status"),
     )
+    if files is None:
+        return report
+    void = files.filter(F.col("length") == 0).select(
+        "path", batch_id_of(F.col("path")).alias("batch_id"), F.lit("blank").alias("shape"),
+        F.lit(0).cast("bigint").alias("event_count"), F.col("length").alias("bytes"),
+        F.lit("empty").alias("status"),
+    )
+    return report.unionByName(void)
 
 
 def events_of(documents: DataFrame) -> DataFrame:
     """One row per event, every contract field as text, with batch id and position.
 
-    ``_extra_keys`` lists fields the contract does not know.  The raid of the path is used
+    ``_extra_keys`` lists fields the contract does not know, ``_event_text`` is the event as
+    it came.  The raid of the path is used
     only when the event names none.
     """
     known = F.lit(list(EVENT_COLUMNS))
@@ -134,6 +153,7 @@ def events_of(documents: DataFrame) -> DataFrame:
         F.from_json("text", RAW_EVENT_SCHEMA).alias("e"), "*"
     ).select(
         "e.*",
+        F.col("text").alias(EVENT_TEXT),
         "path",
         "modified",
         "batch_id",
@@ -229,9 +249,7 @@ def envelopes(
         F.struct(F.col(index).alias("_i"), F.struct(*fields).alias("event")).alias("entry"),
     ).groupBy("raid_id", "batch_id", "_piece", "_split").agg(
         F.max("ingest_timestamp").alias("ingest_timestamp"),
-        F.transform(F.array_sort(F.collect_list("entry"), _by_index), lambda e: e["event"]).alias(
-            "events"
-        ),
+        F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["event"]).alias("events"),
     )
     starts = F.sequence(F.lit(1), F.size("events"), F.lit(max_events))
     cut = grouped.select(
@@ -248,12 +266,6 @@ def envelopes(
     )
 
 
-def _by_index(left: Column, right: Column) -> Column:
-    return (
-        F.when(left["_i"] < right["_i"], -1).when(left["_i"] > right["_i"], 1).otherwise(0)
-    )
-
-
 def write_envelopes(
     packed: DataFrame, path: str, mode: str = "append", load: str | None = None
 ) -> int:
@@ -284,21 +296,24 @@ def replay_chunks(events: DataFrame, size: int, source: str) -> DataFrame:
     numbered = chunked(events.select(*fields), size)
     packed = numbered.groupBy("raid_id", "chunk").agg(
         F.array_sort(
-            F.collect_list(F.struct(F.col("seq").alias("_i"), F.struct(*fields).alias("event"))),
-            _by_index,
+            F.collect_list(F.struct(F.col("seq").alias("_i"), F.struct(*fields).alias("event")))
         ).alias("entries")
     )
     return packed.select(
         "raid_id",
-        F.lpad(F.col("chunk").cast("string"), 4, "0").alias("batch_index"),
+        "chunk",
+        F.concat("raid_id", F.lit("_batch_"), padded(F.col("chunk"), 4)).alias("batch_id"),
         F.lit(source).alias("batch_source"),
         F.transform("entries", lambda e: e["event"]).alias("events"),
     )
 
 
 def write_replay(chunks: DataFrame, path: str) -> int:
-    """One folder per raid and chunk index, so a replay can follow the path order."""
-    return write_table(chunks, path, ("raid_id", "batch_index"), "overwrite", fmt="json")
+    """Chunks one per line below their raid, many to a file, in chunk order inside it.
+
+    The batch id of a chunk tells its raid and number; a replay follows the number.
+    """
+    return write_table(chunks, path, ("raid_id",), "overwrite", fmt="json", sort=["chunk"])
 
 
 # --- run catalogue ---------------------------------------------------------------------

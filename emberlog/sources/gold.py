@@ -1,6 +1,5 @@
 """The analytical tables as Parquet, and their versioned form."""
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +8,7 @@ from pyspark.sql import types as T
 
 from emberlog.operators.upsert import duplicate_keys
 from emberlog.schemas import GOLD_PARTITIONS, GOLD_SCHEMAS
+from emberlog.session import materialise
 from emberlog.sources.files import exists, read_or_empty, write_table
 
 
@@ -69,86 +69,15 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return frame
 
 
-def merge_into(source: DataFrame, name: str, keys: Sequence[str], immutable: Sequence[str] = ()) -> None:
-    """The same merge as ``operators.upsert.upsert`` inside a catalogue with MERGE support.
+def merge_table(
+    spark: SparkSession, path: str, source: DataFrame, merge, keys: Sequence[str], schema: T.StructType
+) -> int:
+    """Replace a plain Parquet table by ``merge(current, source)``; returns its rows.
 
-    Plain Parquet tables do not have it; use :class:`VersionedTable` for those.
+    The merged rows are written beside the table first, as the merge reads what the write
+    replaces.  Duplicate source keys are refused.
     """
-    fixed = set(keys) | set(immutable)
-    condition = None
-    for key in keys:
-        part = F.col(f"{name}.{key}") == F.col(f"source.{key}")
-        condition = part if condition is None else condition & part
-    assignments = {c: F.col(f"source.{c}") for c in source.columns if c not in fixed}
-    (
-        source.alias("source").mergeInto(name, condition)
-        .whenMatched().update(assignments).whenNotMatched().insertAll().merge()
-    )
-
-
-class VersionedTable:
-    """Parquet table whose every write is a new folder plus one commit record.
-
-    A version counts only once its commit record exists, and a record can be created only
-    once, so readers never see half a write and of two concurrent writers one fails.  The
-    folder a reader uses is never overwritten.
-    """
-
-    COMMIT = "version bigint, committed_at timestamp, operation string, rows bigint, folder string"
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def history(self) -> DataFrame:
-        """Commits so far: version, time, operation, rows, folder."""
-        if not exists(self.spark, f"{self.path}/_log"):
-            return self.spark.createDataFrame([], self.COMMIT)
-        reader = self.spark.read.schema(self.COMMIT).option("recursiveFileLookup", "true")
-        return reader.json(f"{self.path}/_log")
-
-    def _commit_of(self, version: int | None):
-        log = self.history()
-        if version is not None:
-            log = log.filter(F.col("version") == version)
-        rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
-
-    @property
-    def version(self) -> int:
-        """Latest committed version, 0 before the first."""
-        last = self._commit_of(None)
-        return last["version"] if last else 0
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """Latest or a past version; an empty table before the first commit."""
-        commit = self._commit_of(version)
-        if commit is None:
-            if version is not None:
-                raise ValueError(f"{self.path} has no version {version}")
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{commit['folder']}")
-
-    def commit(self, frame: DataFrame, operation: str, as_of: str | None = None) -> int:
-        """Write a full new version and return its number."""
-        number = self.version + 1
-        folder = f"v={number}-{uuid.uuid4().hex[:8]}"
-        typed = frame.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        )
-        rows = write_table(typed, f"{self.path}/{folder}", mode="errorifexists")
-        moment = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-        self.spark.range(1).select(
-            F.lit(number).cast("bigint").alias("version"),
-            moment.alias("committed_at"),
-            F.lit(operation).alias("operation"),
-            F.lit(rows).cast("bigint").alias("rows"),
-            F.lit(folder).alias("folder"),
-        ).coalesce(1).write.mode("errorifexists").json(f"{self.path}/_log/{number:010d}")
-        return number
-
-    def merge(self, source: DataFrame, merge, keys: Sequence[str]) -> int:
-        """Commit ``merge(current, source)``; duplicate source keys are refused."""
-        if not duplicate_keys(source, keys).isEmpty():
-            raise ValueError(f"source holds a key more than once: {', '.join(keys)}")
-        operation = "upsert" if self.version else "create"
-        return self.commit(merge(self.read(), source), operation)
+    if not duplicate_keys(source, keys).isEmpty():
+        raise ValueError(f"source holds a key more than once: {', '.join(keys)}")
+    merged = materialise(merge(read_or_empty(spark, path, schema), source), "merged")
+    return write_table(merged.select(*schema.names), path)

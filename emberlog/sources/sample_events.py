@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.constants import PLAYER_CLASSES
+from emberlog.functions.paths import padded
 from emberlog.schemas import EVENT_SCHEMA
 
 PLAYERS = 25
@@ -29,7 +30,7 @@ def as_encounter_events(stream: DataFrame, per_batch: int = EVENTS_PER_BATCH) ->
     boss = F.concat(F.lit("boss_"), day.cast("string"))
 
     def player(number):
-        return F.concat(F.lit("player_"), F.lpad(number.cast("string"), 3, "0"))
+        return F.concat(F.lit("player_"), padded(number, 3))
 
     is_error = kind == "error"
     is_death = is_error & (k < 50)
@@ -46,10 +47,10 @@ def as_encounter_events(stream: DataFrame, per_batch: int = EVENTS_PER_BATCH) ->
         "event_id": F.concat(F.lit("ev_"), F.col("event_id").cast("string")),
         "event_type": event_type,
         "timestamp": F.col("ts"),
-        "raid_id": F.concat(F.lit("raid"), F.lpad(day.cast("string"), 3, "0")),
+        "raid_id": F.concat(F.lit("raid"), padded(day, 3)),
         "source_player_id": F.when(is_error, boss).otherwise(player(slot)),
         "source_player_name": F.when(is_error, "Boss").otherwise(
-            F.concat(F.lit("P"), F.lpad(slot.cast("string"), 3, "0"))
+            F.concat(F.lit("P"), padded(slot, 3))
         ),
         "source_player_role": F.when(is_error, F.lit(None))
         .when(slot % 10 == 0, "tank")
@@ -89,7 +90,7 @@ def as_encounter_events(stream: DataFrame, per_batch: int = EVENTS_PER_BATCH) ->
     return stream.select(
         *columns,
         F.to_date("ts").alias("event_date"),
-        F.concat(F.lit("b"), F.lpad(batch.cast("string"), 9, "0")).alias("batch_id"),
+        F.concat(F.lit("b"), padded(batch, 9)).alias("batch_id"),
         (F.col("event_id") % per_batch).alias("idx"),
     )
 

@@ -1,12 +1,15 @@
 """The typed event table, partitioned by raid and date."""
 
-from pyspark.sql import DataFrame, SparkSession
+import warnings
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.operators.profile import partitions
 from emberlog.operators.refine import as_silver
 from emberlog.schemas import SILVER_PARTITIONS, SILVER_SCHEMA
-from emberlog.sources.files import exists, read_or_empty, write_table
+from emberlog.sources.files import exists, inventory, read_or_empty, write_table
 
 
 def write_silver(events: DataFrame, path: str, mode: str = "overwrite") -> dict:
@@ -29,11 +32,14 @@ def read_silver_or_empty(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, SILVER_SCHEMA).select(*SILVER_SCHEMA.names)
 
 
-def read_silver_partition(spark: SparkSession, path: str, raid_id: str, event_date: str) -> DataFrame:
+def read_silver_partition(
+    spark: SparkSession, path: str, raid_id: str, event_date: str, strict: bool = False
+) -> DataFrame:
     """One partition, addressed by its folder, skipping unreadable files.
 
-    Raises ValueError when there is no such partition and RuntimeError when none of its
-    files can be read.
+    Files that gave no row are counted in a warning; ``strict`` refuses them.  Raises
+    ValueError when there is no such partition and RuntimeError when none of its files can
+    be read.
     """
     folder = f"{path.rstrip('/')}/raid_id={raid_id}/event_date={event_date}"
     if not exists(spark, folder):
@@ -41,10 +47,18 @@ def read_silver_partition(spark: SparkSession, path: str, raid_id: str, event_da
     found = (
         spark.read.schema(SILVER_SCHEMA).option("basePath", path)
         .option("ignoreCorruptFiles", "true").parquet(folder)
-    ).select(*SILVER_SCHEMA.names)
-    if found.isEmpty():
-        raise RuntimeError(f"no readable Silver file for raid_id={raid_id}, event_date={event_date}")
-    return found
+    )
+    listed = inventory(spark, folder, "*.parquet").count()
+    read = found.select(F.col("_metadata.file_path")).distinct().count()
+    where = f"raid_id={raid_id}, event_date={event_date}"
+    if not read:
+        raise RuntimeError(f"no readable Silver file for {where}")
+    if read < listed:
+        said = f"{listed - read} of {listed} Silver files of {where} gave no row"
+        if strict:
+            raise RuntimeError(said)
+        warnings.warn(said, RuntimeWarning, stacklevel=2)
+    return found.select(*SILVER_SCHEMA.names)
 
 
 def silver_partitions(spark: SparkSession, path: str) -> DataFrame:
@@ -55,10 +69,12 @@ def silver_partitions(spark: SparkSession, path: str) -> DataFrame:
 def touched_only(silver: DataFrame, events: DataFrame) -> DataFrame:
     """Silver rows in the partitions that ``events`` fall into.
 
-    A semi join on the partition columns, so other folders are pruned at run time.
+    A semi join on the partition columns, so other folders are pruned at run time; rows
+    without a raid or date match their like.
     """
-    touched = events.select(*SILVER_PARTITIONS).distinct()
-    return silver.join(touched, list(SILVER_PARTITIONS), "left_semi")
+    touched = events.select(*[F.col(c).alias(f"_{c}") for c in SILVER_PARTITIONS]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SILVER_PARTITIONS]
+    return silver.join(touched, reduce(Column.__and__, same), "left_semi")
 
 
 def preview(silver: DataFrame, n: int = 3) -> DataFrame:

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from emberlog.functions.paths import batch_id_of, raid_of
+from emberlog.functions.paths import chunk_number, raid_of
 from emberlog.operators.ordered import with_running
 from emberlog.operators.refine import live_feed
 from emberlog.plans.medallion import typed_events
-from emberlog.sources.bronze import stream_documents
-from emberlog.sources.files import inventory
+from emberlog.session import materialise
+from emberlog.sources.bronze import read_documents, stream_documents, unpacked
 
 
 def feed(
@@ -38,15 +38,29 @@ def subscribe(
 
 
 def replay_plan(spark: SparkSession, path: str, max_batches: int | None = None) -> DataFrame:
-    """Stored batch files in path order per raid, with their position; bounded if asked.
-
-    Only file names are read.
-    """
-    files = inventory(spark, path, "*.json").select(
-        "path", "length",
+    """Stored chunks in the order of their number per raid, with their position; bounded if asked."""
+    chunks = unpacked(read_documents(spark, path, "lines")).select(
+        "path", "event_count", "batch_id", chunk_number(F.col("batch_id")).alias("chunk"),
         F.coalesce(raid_of(F.col("path")), F.lit("unknown")).alias("raid_id"),
-        batch_id_of(F.col("path")).alias("batch_id"),
     )
     if max_batches is not None:
-        files = files.orderBy("path").limit(max_batches)
-    return with_running(files, ["raid_id"], [F.col("path")], number="position")
+        chunks = chunks.orderBy("raid_id", "chunk", "batch_id").limit(max_batches)
+    return with_running(chunks, ["raid_id"], [F.col("chunk"), F.col("batch_id")], number="position")
+
+
+def replay_batches(
+    spark: SparkSession, path: str, send: Callable[[DataFrame], None],
+    max_batches: int | None = None, step: int = 1000,
+) -> int:
+    """Hand stored chunks over in order, ``step`` positions of every raid at a time.
+
+    ``send`` gets the documents of a step with their position; it is called for the next
+    step only after it returned.  Returns the number of chunks handed over.
+    """
+    plan = materialise(replay_plan(spark, path, max_batches), "replay")
+    last = plan.agg(F.max("position")).first()[0] or 0
+    documents = unpacked(read_documents(spark, path, "lines")).select("path", "batch_id", "items")
+    for first in range(1, last + 1, step):
+        due = plan.filter(F.col("position").between(first, first + step - 1))
+        send(due.join(documents, ["path", "batch_id"]))
+    return plan.count()

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from emberlog import constants as C
 from emberlog.operators import contract, refine
-from emberlog.plans.medallion import checked_events, silver_input
+from emberlog.plans.medallion import DOCUMENT, checked_events, silver_input
 from emberlog.schemas import SILVER_PARTITIONS
 from emberlog.sources import bronze
 from emberlog.sources.files import write_table
@@ -15,6 +15,29 @@ from emberlog.sources.silver import read_silver_or_empty, touched_only
 from emberlog.streaming.delivery import deliver
 
 
+def refused_events(
+    checked: DataFrame, mode: str = "batch", max_events: int = C.MAX_EVENTS_PER_BATCH
+) -> DataFrame:
+    """Every event that is not accepted, with its text, place, own faults and its batch's.
+
+    ``reasons`` lists all rules the event breaks; ``batch_reasons`` says why its document
+    was refused as a whole (batch mode), also for events without a fault of their own.
+    """
+    faults = F.array_join(
+        F.transform(contract.ERRORS, lambda e: F.concat(e["rule"], F.lit(":"), e["column"])), ","
+    )
+    rows = checked.filter(~F.col("accepted")).select(
+        "path", DOCUMENT, "batch_id", "idx", "event_id", faults.alias("reasons"),
+        F.col(bronze.EVENT_TEXT).alias("event"),
+    )
+    if mode != "batch":
+        return rows.withColumn("batch_reasons", F.lit(None).cast("string")).drop(DOCUMENT)
+    verdicts = contract.batch_verdict(checked, DOCUMENT, max_events).select(
+        DOCUMENT, F.col("reasons").alias("batch_reasons")
+    )
+    return rows.join(verdicts, DOCUMENT, "left").drop(DOCUMENT)
+
+
 def ingest_batch(
     documents: DataFrame, load: str, target: str, rejects: str,
     mode: str = "batch", as_of: str | None = None, check_ids: bool = True,
@@ -22,6 +45,9 @@ def ingest_batch(
 ) -> None:
     """One micro-batch: check, append what is accepted, append what is not with reasons.
 
+    ``batch`` mode judges each document as a whole.  A file is never divided between
+    micro-batches, so the verdict does not depend on how files arrive.
+
     Both writes go to folders named after ``load``, so repeating a micro-batch replaces
     its own output instead of adding to it.
     """
@@ -35,25 +61,11 @@ def ingest_batch(
         packed = bronze.envelopes(accepted, max_events=max_events, stamp=F.col("modified"))
         deliver(lambda: bronze.write_envelopes(packed, target, load=load), attempts)
 
-        reported = contract.first_errors(checked.filter(~F.col("accepted"))).select(
-            "batch_id", F.col("idx").cast("bigint").alias("idx"), "event_id",
-            F.col("broken_rules").alias("reason"),
-        )
-        verdicts = contract.batch_verdict(checked, max_events=max_events)
-        whole = verdicts.filter(F.col("status") == "rejected").select(
-            "batch_id", F.lit(None).cast("bigint").alias("idx"),
-            F.lit(None).cast("string").alias("event_id"), F.col("reasons").alias("reason"),
-        )
+        refused = refused_events(checked, mode, max_events)
         unusable = bronze.batch_report(documents, max_events).filter(
             F.col("status").isin("malformed", "empty")
-        ).select(
-            "batch_id", F.lit(None).cast("bigint").alias("idx"),
-            F.lit(None).cast("string").alias("event_id"), F.col("status").alias("reason"),
-        )
-        rows = reported.unionByName(unusable)
-        if mode == "batch":
-            rows = rows.unionByName(whole)
-        keyed = rows.withColumn("load", F.lit(load))
+        ).select("path", "batch_id", F.col("status").alias("reasons"))
+        keyed = refused.unionByName(unusable, allowMissingColumns=True).withColumn("load", F.lit(load))
         deliver(lambda: write_table(keyed, rejects, ("load",)), attempts)
     finally:
         checked.unpersist()
@@ -84,17 +96,26 @@ def _started(writer, checkpoint: str, name: str, continuous: str | None) -> Stre
     return writer.trigger(availableNow=True).start()
 
 
-def refine_batch(documents: DataFrame, silver: str, as_of: str | None = None) -> int:
+def refine_batch(
+    documents: DataFrame, silver: str, as_of: str | None = None, rejects: str | None = None,
+    load: str = "0",
+) -> int:
     """One micro-batch to Silver, adding only ids its partitions do not hold yet.
 
-    Exact across micro-batches however late a repeat arrives, needs no state, and a
-    repeated micro-batch finds its own rows and adds nothing.
+    A repeat of an event is found however late it arrives, as long as it names the same
+    raid and date; needs no state, and a repeated micro-batch finds its own rows and adds
+    nothing.  Events without a readable time or raid have no partition: with ``rejects``
+    they go there under ``load``, else to Silver's null partition.
     """
     spark = documents.sparkSession
     refined = refine.as_silver(refine.refine(silver_input(documents, as_of))).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
+        if rejects is not None:
+            lost = F.col("event_date").isNull() | F.col("raid_id").isNull()
+            write_table(refined.filter(lost).withColumn("load", F.lit(load)), rejects, ("load",))
+            refined = refined.filter(~lost)
         held = touched_only(read_silver_or_empty(spark, silver), refined)
         fresh = refine.not_yet_in(refined, held)
         return write_table(fresh, silver, SILVER_PARTITIONS, "append", sort=["timestamp"])
@@ -105,13 +126,13 @@ def refine_batch(documents: DataFrame, silver: str, as_of: str | None = None) ->
 def refine_stream(
     spark: SparkSession, source: str, silver: str, checkpoint: str, layout: str = "lines",
     max_files: int | None = None, name: str = "refine", continuous: str | None = None,
-    as_of: str | None = None,
+    as_of: str | None = None, rejects: str | None = None,
 ) -> StreamingQuery:
-    """Stream of Bronze files into Silver with exact de-duplication."""
+    """Stream of Bronze files into Silver, de-duplicated within raid and date."""
     documents = bronze.stream_documents(spark, source, layout, max_files)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        refine_batch(batch, silver, as_of)
+        refine_batch(batch, silver, as_of, rejects, f"{name}-{epoch:08d}")
 
     return _started(documents.writeStream.foreachBatch(handle), checkpoint, name, continuous)
 

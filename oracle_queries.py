@@ -43,7 +43,7 @@ ev AS (
         WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) END AS target_entity_health_pct_after,
       CAST(20 + k % 60 AS BIGINT) AS server_latency_ms,
       CASE WHEN event_type = 'signup' THEN 'mana' END AS resource_type,
-      'b' || lpad(CAST(event_id // 500 AS VARCHAR), 9, '0') AS batch_id,
+      'b' || printf('%09d', event_id // 500) AS batch_id,
       event_id % 500 AS idx,
       k
     FROM (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS INT) AS k FROM events)
@@ -211,7 +211,7 @@ BROKEN_LIST = "concat_ws(',', " + ", ".join(
 MARKED = f"""
 marked AS (
   SELECT *, {BROKEN_LIST} AS broken,
-    'b' || lpad(CAST(n // 10 AS VARCHAR), 9, '0') AS small_batch, n % 10 AS small_idx FROM ev
+    'b' || printf('%09d', n // 10) AS small_batch, n % 10 AS small_idx FROM ev
 ),
 verdict AS (
   SELECT small_batch AS batch_id, count(*) AS event_count,
@@ -378,7 +378,7 @@ ORACLES = {
             WHEN impact_score >= 40 THEN 'average' ELSE 'low' END AS impact_band,
           'unknown' AS style_cluster FROM scored""", SUMM, STATS, IMPACT),
     "consolidated_view": q(
-        """SELECT s.raid_id, s.event_date, left('Unknown Boss', 16) AS boss_name,
+        """SELECT s.raid_id, s.event_date, 'Unknown Boss' AS boss_name,
           'Normal' AS difficulty, raid_outcome, total_damage, total_healing, raid_dps, raid_hps,
           total_player_deaths,
           CAST(n_players AS VARCHAR) || '/' || CAST(n_players AS VARCHAR) AS players,
@@ -613,7 +613,7 @@ ORACLES = {
     "raid_size_checks": q("""SELECT 'raid_size' AS check_id, s.raid_id AS scope,
         CASE WHEN n_players <= raid_size THEN 'ok' ELSE 'fail' END AS status,
         CAST(n_players AS VARCHAR) AS observed, '<= raid_size' AS expected
-        FROM summ s JOIN older o ON s.raid_id = o.raid_id""",
+        FROM summ s LEFT JOIN older o ON s.raid_id = o.raid_id""",
         SUMM, dim_raids("older", f"{FIRST} AND {PLAYERS}")),
     "label_checks": q("""SELECT 'known_player_class' AS check_id, 'all' AS scope,
         CASE WHEN count(*) FILTER (player_class = 'unknown') = 0 THEN 'ok' ELSE 'warn' END AS status,
@@ -648,6 +648,8 @@ ORACLES = {
     "order_checks": q("""SELECT 'unique_ids' AS check_id, raid_id AS scope,
         CASE WHEN repeated_ids = 0 THEN 'ok' ELSE 'fail' END AS status,
         CAST(repeated_ids AS VARCHAR) AS observed, '0' AS expected FROM disorder UNION ALL
+        SELECT 'time_order', raid_id, CASE WHEN out_of_order = 0 THEN 'ok' ELSE 'fail' END,
+        CAST(out_of_order AS VARCHAR), '0' FROM disorder UNION ALL
         SELECT 'enough_events', raid_id, CASE WHEN events >= 100 THEN 'ok' ELSE 'fail' END,
         CAST(events AS VARCHAR), '>= 100' FROM disorder""", DISORDER.format(source="ev")),
     "path_keys": q(f"""SELECT event_id,
@@ -658,7 +660,7 @@ ORACLES = {
         batch_id AS named_batch, substr(md5('x/' || event_id), 1, 8) AS hashed_batch,
         raid_id AS raid_from_path, raid_id AS raid_from_folder,
         strftime(timestamp, '%Y-%m-%d') AS date_from_path,
-        raid_id || '_batch_' || lpad(CAST(idx AS VARCHAR), 4, '0') || '.json' AS chunk_file,
+        raid_id || '_batch_' || printf('%04d', idx) || '.json' AS chunk_file,
         substr({MD5_ID}, 1, 8) || '-' || substr({MD5_ID}, 9, 4) || '-' || substr({MD5_ID}, 13, 4)
           || '-' || substr({MD5_ID}, 17, 4) || '-' || substr({MD5_ID}, 21, 12) AS derived_id
         FROM ev"""),
@@ -689,8 +691,11 @@ ORACLES = {
     "bronze_landing_totals": q("""SELECT raid_id, '2024-02-01' AS ingest_date, 'ok' AS status,
         count(*) AS events FROM ev GROUP BY raid_id"""),
     "replay_batches": q("""SELECT raid_id, event_id,
-        lpad(CAST((row_number() OVER (PARTITION BY raid_id ORDER BY timestamp, event_id) - 1) // 25 + 1
-          AS VARCHAR), 4, '0') AS batch_index FROM ev"""),
+        printf('%04d', (row_number() OVER (PARTITION BY raid_id ORDER BY timestamp, event_id) - 1) // 25 + 1)
+          AS batch_index FROM ev"""),
+    "replay_single_events": q("""SELECT 'raid001' AS raid_id, event_id, k AS chunk,
+        'raid001_batch_' || printf('%04d', k) || '.json' AS chunk_file FROM (
+          SELECT event_id, row_number() OVER (ORDER BY timestamp, event_id) AS k FROM ev)"""),
     "silver_round_trip": q(f"""SELECT event_id, event_type, raid_id, source_player_id,
         damage_amount, target_entity_health_pct_before, {MASSIVE} AS is_massive_hit,
         {LATENCY} AS ingest_latency_ms, event_date FROM refined""", REFINED),
@@ -712,6 +717,19 @@ ORACLES = {
         SUMM.replace("FROM ev ", "FROM refined ")),
     "stream_ingest": q("""SELECT event_id, event_type, raid_id, small_batch AS batch_id
         FROM marked WHERE broken = ''""", MARKED),
+    "ingest_rejects": q("""SELECT 'row' AS mode, event_id,
+        CASE WHEN broken = '' THEN 'accepted' ELSE 'refused' END AS status,
+        nullif(broken, '') AS reasons, CAST(NULL AS VARCHAR) AS batch_reasons FROM marked
+        UNION ALL SELECT 'batch', event_id,
+        CASE WHEN bad = 0 THEN 'accepted' ELSE 'refused' END, CASE WHEN bad > 0 THEN broken END,
+        CASE WHEN bad > 0 THEN 'invalid_events' END FROM (
+          SELECT *, count(*) FILTER (broken <> '') OVER (PARTITION BY raid_id, batch_id) AS bad
+          FROM marked)""", MARKED),
+    "bronze_shapes": q("""SELECT event_id,
+        ['array', 'envelope', 'single', 'envelope', 'array', 'array', 'blank', 'malformed', 'malformed'][kind + 1] AS shape,
+        CAST([1, 1, 1, 1, 1, 0, 0, 0, 0][kind + 1] AS BIGINT) AS event_count,
+        ['ok', 'ok', 'ok', 'ok', 'ok', 'empty', 'empty', 'malformed', 'malformed'][kind + 1] AS status
+        FROM (SELECT event_id, CAST(n % 9 AS INT) AS kind FROM ev)"""),
     "stream_refine": q(f"""SELECT event_id, event_type, raid_id, event_date, damage_amount,
         {MASSIVE} AS is_massive_hit FROM refined""", REFINED),
     "stream_feed": q("""SELECT raid_id, event_type, count(*) AS events,
@@ -723,7 +741,7 @@ ORACLES = {
         {pct("count(*) FILTER (status = 'accepted')", 'count(*)')} AS success_pct FROM judged""",
         MARKED),
     "replay_order": q("""SELECT raid_id, position,
-        lpad(CAST(position AS VARCHAR), 4, '0') AS batch_index FROM (
+        printf('%04d', position) AS batch_index FROM (
           SELECT raid_id, unnest(range(1, (count(*) + 24) // 25 + 1)) AS position
           FROM ev GROUP BY raid_id)"""),
 }

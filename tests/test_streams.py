@@ -78,16 +78,61 @@ def test_ingest_stream(spark, tmp_path):
     ingest.ingest_stream(*args, max_files=2, as_of=AS_OF).awaitTermination()
     events = bronze.read_events(spark, str(tmp_path / "b"), "lines")
     assert {(r.event_id[-1], r.batch_id) for r in events.collect()} == {("1", "good"), ("2", "good")}
-    reasons = {(r.batch_id, r.idx, r.reason) for r in spark.read.parquet(str(tmp_path / "r")).collect()}
+    refused = spark.read.parquet(str(tmp_path / "r")).collect()
+    reasons = {(r.batch_id, r.idx, r.reasons) for r in refused}
     assert ("empty", None, "empty") in reasons and ("text", None, "malformed") in reasons
-    assert ("mixed", None, "mixed_raids") in reasons and ("bad", None, "invalid_events") in reasons
+    whole = {(r.batch_id, r.idx): r.batch_reasons for r in refused}
+    assert whole[("mixed", 0)] == whole[("mixed", 1)] == "mixed_raids"
+    assert whole[("bad", 0)] == whole[("bad", 1)] == "invalid_events"
     assert any(b == "bad" and i == 1 and r.startswith("required:event_type") for b, i, r in reasons)
+    # The event itself is kept.
+    assert json.loads(next(r.event for r in refused if (r.batch_id, r.idx) == ("bad", 0))) == event(3)
     # A later file is picked up alone.
     (landing / "batch_later.json").write_text(json.dumps([event(6)]))
     ingest.ingest_stream(*args, max_files=2, as_of=AS_OF).awaitTermination()
     assert bronze.read_events(spark, str(tmp_path / "b"), "lines").count() == 3
 
 
+def test_every_refused_event_is_kept(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "batch_many.json").write_text(json.dumps([{"event_id": f"e{i}"} for i in range(8)] + [event(1)]))
+    for mode, accepted in (("row", 1), ("batch", 0)):
+        root = tmp_path / mode
+        ingest.ingest_stream(spark, str(landing), str(root / "b"), str(root / "r"), str(root / "c"), as_of=AS_OF,
+                             mode=mode).awaitTermination()
+        refused = spark.read.parquet(str(root / "r"))
+        assert refused.count() == 9 - accepted
+        assert refused.filter("event is null or idx is null").isEmpty()
+
+
+def test_verdict_does_not_depend_on_micro_batches(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "one.json").write_text(json.dumps({"batch_id": "x", "events": [event(1)]}))
+    (landing / "two.json").write_text(json.dumps({"batch_id": "x", "events": [event(2), {"event_id": "e"}]}))
+    found = []
+    for n in (1, None):
+        root = tmp_path / str(n)
+        ingest.ingest_stream(spark, str(landing), str(root / "b"), str(root / "r"), str(root / "c"), max_files=n,
+                             as_of=AS_OF).awaitTermination()
+        found.append(sorted(r.event_id for r in bronze.read_events(spark, str(root / "b"), "lines").collect()))
+    assert found[0] == found[1] and len(found[0]) == 1
+
+
+def test_rows_without_a_partition(spark, tmp_path):
+    raw = [{**event(1), "timestamp": "never"}, event(2)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(raw))
+    documents = bronze.read_documents(spark, str(tmp_path / "in"))
+    for _ in range(2):
+        ingest.refine_batch(documents, str(tmp_path / "s"), AS_OF)
+        ingest.refine_batch(documents, str(tmp_path / "s2"), AS_OF, str(tmp_path / "r"), "load-1")
+    assert silver.read_silver(spark, str(tmp_path / "s")).count() == 2
+    assert silver.read_silver(spark, str(tmp_path / "s2")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 1
+
+
 def test_ingest_retry_replaces_its_own_output(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
@@ -116,8 +161,11 @@ def test_replay_plan(spark, sample, tmp_path):
     path = str(tmp_path / "replay")
     bronze.write_replay(bronze.replay_chunks(sample, 10, "tests"), path)
     plan = feed.replay_plan(spark, path).orderBy("raid_id", "position").collect()
-    assert all(f"batch_index={r.position:04d}" in r.path for r in plan)
+    assert all(r.batch_id == f"{r.raid_id}_batch_{r.position:04d}" for r in plan)
     assert feed.replay_plan(spark, path, max_batches=4).count() == 4
+    sent = []
+    assert feed.replay_batches(spark, path, lambda df: sent.append(df.select("position").distinct().collect()), step=1) == len(plan)
+    assert [{r.position for r in step} for step in sent] == [{i + 1} for i in range(max(r.position for r in plan))]
     sizes = bronze.batch_report(bronze.read_documents(spark, path, "lines"))
     assert sizes.filter("event_count > 10").isEmpty()
     assert sizes.agg(F.sum("event_count")).first()[0] == sample.count()

@@ -19,10 +19,11 @@ def many_slices(spark):
     spark.conf.set(key, "true")
 
 
-def hits(make_events, amounts, raid="raid001"):
+def hits(make_events, amounts, raid="raid001", boss="boss_1", kind="boss"):
     return make_events(*[
         {"event_id": f"e{i:05d}", "raid_id": raid, "timestamp": T0 + timedelta(seconds=i // 2),
-         "event_type": "combat_damage", "damage_amount": a, "target_entity_id": "boss_1"}
+         "event_type": "combat_damage", "damage_amount": a, "target_entity_id": boss,
+         "target_entity_type": kind}
         for i, a in enumerate(amounts)
     ])
 
@@ -68,6 +69,14 @@ def test_timeline_against_a_loop(make_events, amounts, thresholds):
     assert got == loop(amounts, 200.0, thresholds)
 
 
+def test_only_hits_on_a_boss_count_and_each_boss_has_its_own_health(make_events):
+    events = hits(make_events, [40.0, 10.0]).unionByName(hits(make_events, [90.0], kind="player", boss="player_1")).unionByName(
+        hits(make_events, [5.0, -3.0], boss="boss_2"))
+    rows = timeline.boss_timeline(events, 100.0).orderBy("target_entity_id", "hit").collect()
+    assert [(r.target_entity_id, r.hit, r.hp_pct_after) for r in rows] == [
+        ("boss_1", 1, 60.0), ("boss_1", 2, 50.0), ("boss_2", 1, 95.0)]
+
+
 def test_transitions(make_events):
     line = timeline.boss_timeline(hits(make_events, [40.0, 40.0, 5.0]), 100.0)
     got = timeline.boss_transitions(line).orderBy("phase").collect()

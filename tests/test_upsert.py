@@ -70,26 +70,15 @@ def test_limited_update_columns(spark):
     assert got[0] == ("a", "Ann", "mage", "dps", D[2], D[4], 5)
 
 
-def test_versions(spark, tmp_path):
-    table = gold.VersionedTable(spark, str(tmp_path / "dim"), DIM_PLAYER_SCHEMA)
-    assert table.version == 0 and table.read().isEmpty()
-    assert table.merge(players(spark, *OLD), upsert.upsert_dim_player, ["player_id"]) == 1
-    assert table.merge(players(spark, *NEW), upsert.upsert_dim_player, ["player_id"]) == 2
-    assert table.read(1).count() == 2 and table.read().count() == 3
-    history = [(r.version, r.operation, r.rows) for r in table.history().orderBy("version").collect()]
-    assert history == [(1, "create", 2), (2, "upsert", 3)]
+def test_merge_into_a_table(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    args = (upsert.upsert_dim_player, ["player_id"], DIM_PLAYER_SCHEMA)
+    assert gold.merge_table(spark, path, players(spark, *OLD), *args) == 2
+    assert gold.merge_table(spark, path, players(spark, *NEW), *args) == 3
+    assert as_rows(spark.read.schema(DIM_PLAYER_SCHEMA).parquet(path)) == as_rows(
+        upsert.upsert_dim_player(players(spark, *OLD), players(spark, *NEW)))
     with pytest.raises(ValueError):
-        table.read(9)
-    with pytest.raises(ValueError):
-        table.merge(players(spark, OLD[0], OLD[0]), upsert.upsert_dim_player, ["player_id"])
-    assert table.version == 2
-
-
-def test_uncommitted_data_is_invisible(spark, tmp_path):
-    table = gold.VersionedTable(spark, str(tmp_path / "dim"), DIM_PLAYER_SCHEMA)
-    table.commit(players(spark, *OLD), "create")
-    players(spark, *NEW).write.parquet(str(tmp_path / "dim" / "v=2-halfway"))
-    assert table.version == 1 and table.read().count() == 2
+        gold.merge_table(spark, path, players(spark, OLD[0], OLD[0]), *args)
 
 
 def test_catalogue_table(spark, tmp_path):
