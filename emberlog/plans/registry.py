@@ -874,6 +874,93 @@ def bronze_shapes(spark, folder):
     )
 
 
+def _documents_with(spark, folder, **extra):
+    """One single-event document per event, with further JSON fields."""
+    events = encounter_events(spark, folder)
+    fields = [F.col(c) for c in ("event_id", "event_type", "raid_id", "timestamp")]
+    fields += [value.alias(name) for name, value in extra.items()]
+    return events.select(
+        F.concat(F.lit("x/batch_"), "event_id", F.lit(".json")).alias("path"),
+        F.current_timestamp().alias("modified"), F.lit(0).cast("bigint").alias("bytes"),
+        F.to_json(F.struct(*fields)).alias("body"),
+    )
+
+
+def _number(name="event_id"):
+    return F.substring_index(name, "_", -1).cast("bigint")
+
+
+@query
+def extra_fields(spark, folder):
+    """Events with a field the contract does not know break the ``extra`` rule."""
+    zone = F.when(_number() % 4 == 0, "north")
+    documents = _documents_with(spark, folder, zone=zone)
+    rules = contract.event_rules(AS_OF, check_ids=False, from_text=True)
+    marked = contract.mark(medallion.typed_events(documents, AS_OF), rules)
+    broken = F.exists(contract.ERRORS, lambda e: e["rule"] == "extra")
+    return marked.select("event_id", broken.alias("has_extra"), F.array_join(contract.EXTRA_KEYS, ",").alias("extra"))
+
+
+@query
+def flag_arrays(spark, folder):
+    """Quality flags: a list loses its nulls, an absent list becomes empty."""
+    flags = F.when(_number() % 3 == 0, F.array(F.lit("late"), F.lit(None).cast("string"), F.col("event_type"))).when(
+        _number() % 3 == 1, F.array().cast("array<string>"))
+    typed = medallion.typed_events(_documents_with(spark, folder, data_quality_flags=flags), AS_OF)
+    return typed.select("event_id", F.array_join("data_quality_flags", ",").alias("flags"),
+                        F.size("data_quality_flags").cast("bigint").alias("n_flags"))
+
+
+@query
+def column_checks(spark, folder):
+    return quality.check_columns(encounter_events(spark, folder), ["event_id", "raid_id", "zone"])
+
+
+@query
+def stamped_players(spark, folder):
+    players = dimensions.dim_player(encounter_events(spark, folder))
+    return dimensions.stamped(players.select("player_id", "total_raids"), AS_OF).withColumn(
+        "ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+@query
+def landing_totals(spark, folder):
+    documents = bronze.read_documents(spark, _written_bronze(spark, folder), "lines")
+    totals = bronze.landing_totals(bronze.landing_plan(documents, "2024-02-01"))
+    return totals.select("status", "events")
+
+
+@query
+def gold_part(spark, folder):
+    """One raid's folder of a published fact table, read with its partition columns."""
+    out = scratch_path(spark, "gold")
+    tables = gold_plan.gold_tables(encounter_events(spark, folder), PREFIX, sum_type=SUM)
+    gold_plan.publish(tables, out)
+    return gold.read_gold_part(spark, out, "fact_player_raid_stats", raid_id="raid007")
+
+
+@query
+def gold_partition_rerun(spark, folder):
+    """All facts after one published partition was computed and published again."""
+    root = scratch_path(spark, "partition")
+    silver.write_silver(encounter_events(spark, folder), f"{root}/silver")
+    gold_plan.run_gold(spark, f"{root}/silver", f"{root}/gold", player_prefix=PREFIX, sum_type=SUM)
+    gold_plan.run_gold_partition(
+        spark, f"{root}/silver", f"{root}/gold", "raid007", "2024-01-07", player_prefix=PREFIX, sum_type=SUM
+    )
+    return gold.read_gold(spark, f"{root}/gold", "fact_player_raid_stats")
+
+
+@query
+def single_batch_refine(spark, folder):
+    """Silver after refining one batch alone, twice."""
+    root = scratch_path(spark, "batch")
+    layers = medallion.Layers(_written_bronze(spark, folder), f"{root}/s", f"{root}/g", f"{root}/r")
+    for _ in range(2):
+        medallion.run_silver(spark, layers, batch_id="b000000001", as_of=AS_OF)
+    return silver.read_silver(spark, layers.silver).select("event_id", "raid_id", "event_date", "damage_amount")
+
+
 @query
 def stream_refine(spark, folder):
     """Bronze read as a stream in several micro-batches, every event twice."""

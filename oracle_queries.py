@@ -730,6 +730,24 @@ ORACLES = {
         CAST([1, 1, 1, 1, 1, 0, 0, 0, 0][kind + 1] AS BIGINT) AS event_count,
         ['ok', 'ok', 'ok', 'ok', 'ok', 'empty', 'empty', 'malformed', 'malformed'][kind + 1] AS status
         FROM (SELECT event_id, CAST(n % 9 AS INT) AS kind FROM ev)"""),
+    "extra_fields": q("""SELECT event_id, n % 4 = 0 AS has_extra,
+        CASE WHEN n % 4 = 0 THEN 'zone' ELSE '' END AS extra FROM ev"""),
+    "flag_arrays": q("""SELECT event_id, CASE WHEN n % 3 = 0 THEN 'late,' || event_type ELSE '' END AS flags,
+        CAST(CASE WHEN n % 3 = 0 THEN 2 ELSE 0 END AS BIGINT) AS n_flags FROM ev"""),
+    "column_checks": q("""SELECT 'columns' AS check_id, 'all' AS scope, 'fail' AS status, 'zone' AS observed,
+        'none absent' AS expected UNION ALL
+        SELECT 'has_rows', 'all', CASE WHEN count(*) > 0 THEN 'ok' ELSE 'fail' END,
+        CAST(least(count(*), 1) AS VARCHAR), '> 0' FROM ev"""),
+    "stamped_players": q("""SELECT player_id, total_raids, TIMESTAMP '2024-01-30 00:00:00' AS ingested_at FROM dim""",
+        dim_players("dim")),
+    "landing_totals": q("SELECT 'ok' AS status, count(*) AS events FROM ev"),
+    "gold_part": q("""SELECT * REPLACE (
+        CAST(round(CAST(crit_rate AS DECIMAL(38,12)), 6) AS DOUBLE) AS crit_rate) FROM stats
+        WHERE raid_id = 'raid007'""", SUMM, STATS),
+    "gold_partition_rerun": q("""SELECT * REPLACE (
+        CAST(round(CAST(crit_rate AS DECIMAL(38,12)), 6) AS DOUBLE) AS crit_rate) FROM stats""", SUMM, STATS),
+    "single_batch_refine": q(f"""SELECT event_id, raid_id, event_date, damage_amount FROM ev
+        WHERE batch_id = 'b000000001' AND NOT {BAD_HEALTH} AND NOT {BAD_AFTER}"""),
     "stream_refine": q(f"""SELECT event_id, event_type, raid_id, event_date, damage_amount,
         {MASSIVE} AS is_massive_hit FROM refined""", REFINED),
     "stream_feed": q("""SELECT raid_id, event_type, count(*) AS events,
