@@ -85,3 +85,29 @@ def test_extra_columns_and_empty_table(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, template int")
     assert [r.text for r in sites.extract(pages).collect()] == ["a", "a"]
     assert sites.extract(pages.where("false")).count() == 0
+
+
+WORDS = ["river", "stone", "cloud", "amber", "wheel", "north", "candle", "meadow", "signal", "harbour"]
+
+
+def own_words(i, k):
+    return " ".join(WORDS[(i * 7 + j * (i + k + 1)) % 10] + str(i * 31 + j * k) for j in range(25))
+
+
+def test_tree_decides_inside_articles(spark):
+    """A branch with an opaque name that recurs in articles goes; a misnamed part with the page's own text stays."""
+    def body(i, text):
+        return (f"<body><article><h1>T{i}</h1><p>{text}</p><div class=x7><p>Spread the word about us</p></div>"
+                f"<section class=social-notice><p>Part {i} {text[::-1]}</p></section>"
+                f"<div class=share>Share T{i}</div><div class=comments><p>{own_words(i, 5)}</p></div></article></body>")
+
+    texts = [own_words(i, 1) for i in range(30)]
+    rows = [(i, "http://h/", body(i, t)) for i, t in enumerate(texts)]
+    # Copies of one page are no recurrence, nor are near copies that differ outside their main part.
+    rows += [(100 + i, "http://g/", body(0, texts[0])) for i in range(40)]
+    rows += [(200 + i, "http://f/", body(i, texts[0]).replace(texts[0][::-1], "short")) for i in range(40)]
+    got = {r.page_id: r.text for r in sites.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == f"T{i}\n{text}\nPart {i} {text[::-1]}"
+    assert got[100] == got[139] == f"T0\n{texts[0]}\nSpread the word about us"
+    assert got[203] == f"T3\n{texts[0]}\nSpread the word about us"
