@@ -45,6 +45,8 @@ HISTOGRAM = 16
 BLOCK = 1024
 # Hashing takes some twenty bytes of working memory for each byte of a chunk.
 CHUNK = 1 << 20
+# Shingles that a block of nodes holds about at most, beside its number of rows.
+WEIGHT = 1 << 20
 
 _U = np.uint64
 _BASE = 0xD1342543DE82EF95 | 1
@@ -214,9 +216,18 @@ class Group:
         self.pos = np.zeros(len(docs), np.int64) if positions is None else np.asarray(positions, np.int64)
         self.percent = percent
         unpack = zstandard.ZstdDecompressor()
-        numbers, places = ordered_sets([unpack.decompress(b) for b in bodies], size, ranks)
-        self.items = [numbers[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
-        self.n = np.diff(places)
+        self.items: list[np.ndarray] = []
+        texts: list[bytes] = []
+        held = 0
+        # Texts in slices: hashing takes a multiple of their size.
+        for k, body in enumerate(bodies, 1):
+            texts.append(unpack.decompress(body))
+            held += len(texts[-1])
+            if held >= CHUNK or k == len(bodies):
+                numbers, places = ordered_sets(texts, size, ranks)
+                self.items += [numbers[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
+                texts, held = [], 0
+        self.n = np.array([len(i) for i in self.items], np.int64)
         self.bins = np.stack([histogram(i) for i in self.items])
 
     def candidates(self, i: int, others: np.ndarray) -> np.ndarray:
@@ -312,11 +323,8 @@ def possible(n, m, p, q, bins, others, percent: int) -> np.ndarray:
 SMALL_GROUP = 8
 
 
-def _screener(percent: int, block: int):
-    """Rows of a shingle that some other row of it could link with, by the narrow filters.
-
-    Rows of crowds beyond a block pass: for them the check would grow with their square.
-    """
+def _screener(percent: int):
+    """Rows of a shingle that some other row of it could link with, by the narrow filters."""
     schema = pa.schema([("token", pa.int64()), ("doc", pa.int64()), ("n", pa.int64()), ("pos", pa.int64())])
 
     def settle(rows: pa.Table) -> pa.Table:
@@ -335,9 +343,6 @@ def _screener(percent: int, block: int):
                     good[x[fits]] = True
                     good[y[fits]] = True
         for start, g in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist(), strict=True):
-            if g > block:
-                good[start:start + g] = True
-                continue
             for i in range(start, start + g - 1):
                 # Once a row and all after it are known to stay, nothing is left to learn.
                 if good[i:start + g].all():
@@ -470,12 +475,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def blocks_of(rows, weight, block: int):
+    """How many blocks hold ``rows`` nodes of ``weight`` shingles, about ``block`` nodes and WEIGHT shingles each."""
+    return F.ceil(F.greatest(rows / block, weight / WEIGHT, F.lit(1.0))).cast("int")
+
+
 def first_round(shared: DataFrame, bodies: DataFrame, block: int, run) -> DataFrame:
     """Edges inside the groups of every node's two rarest shared shingles."""
     rarest = Window.partitionBy("doc").orderBy("pos")
     own = shared.withColumn("_k", F.row_number().over(rarest)).where("_k <= 2").drop("_k")
-    crowd = own.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("doc").alias("least")).where("members > 1").withColumn(
-        "blocks", F.ceil(F.col("members") / block).cast("int"))
+    crowd = own.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("doc").alias("least"), F.sum("n").alias("_w")).where(
+        "members > 1").select("token", "least", blocks_of(F.col("members"), F.col("_w"), block).alias("blocks"))
     dealt = own.join(crowd, "token").withColumn("block", F.when(
         F.col("doc") == F.col("least"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))))
@@ -487,30 +497,38 @@ def first_round(shared: DataFrame, bodies: DataFrame, block: int, run) -> DataFr
 def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, prints: DataFrame, percent: int, block: int,
                  screen, run) -> DataFrame:
     """Edges between components that still meet under a shared shingle."""
-    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("total"))
+    weighed = comps.join(prints.select(F.col("doc").alias("node"), "n").groupBy("node").agg(F.max("n").alias("n")), "node", "left")
+    sizes = weighed.groupBy("comp").agg(F.count(F.lit(1)).alias("total"), F.sum(F.coalesce("n", F.lit(0))).alias("_w"))
     labels = comps.join(sizes, "comp").select("node", "comp", "total", F.pmod(
-        F.xxhash64("node"), F.ceil(F.col("total") / block)).cast("int").alias("own"))
+        F.xxhash64("node"), blocks_of(F.col("total"), F.col("_w"), block)).cast("int").alias("own"))
     known = shared.join(labels, shared["doc"] == labels["node"], "left").select(
         "token", "doc", "n", "pos", F.coalesce("comp", "doc").alias("comp"), F.coalesce("own", F.lit(0)).alias("own"),
         F.coalesce("total", F.lit(1)).alias("total"))
-    per_comp = known.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"), F.max("total").alias("total"))
+    per_comp = known.groupBy("token", "comp").agg(
+        F.count(F.lit(1)).alias("size"), F.max("total").alias("total"), F.sum("n").alias("weight"))
     # The host of a shingle: of the components that meet there, the largest.
     mixed = per_comp.groupBy("token").agg(
-        F.count(F.lit(1)).alias("comps"), F.max(F.struct("total", "comp", "size")).alias("most"), F.sum("size").alias("members")
+        F.count(F.lit(1)).alias("comps"), F.max(F.struct("total", "comp", "size", "weight")).alias("most"),
+        F.sum("size").alias("members"), F.sum("weight").alias("weights")
     ).where("comps > 1").select("token", F.col("most.comp").alias("large"), "comps",
-                                F.ceil((F.col("members") - F.col("most.size")) / block).cast("int").alias("few"))
+                                blocks_of(F.col("members") - F.col("most.size"), F.col("weights") - F.col("most.weight"), block).alias("few"))
     rows = table(known.join(mixed, "token"), "meeting")
     small = rows.where("comp <> large")
     # The largest component of a shingle in blocks, with the range of its sizes, and who meets it.
     large = rows.where("comp = large").groupBy("token", "comp", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     near = (100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
     meets = table(large.join(small.select("token", F.col("doc").alias("guest"), F.col("comp").alias("home"), "n"), "token").where(near)
-                  .select("comp", "own", "guest", "home").distinct(), "guests")
-    hosts = meets.select("comp", "own").distinct().join(
-        rows.select("doc", "comp", "own").union(labels.select("node", "comp", "own")).distinct(), ["comp", "own"])
-    units = hosts.select(F.col("comp").alias("key"), F.col("own").cast("long").alias("part"), "doc", "comp", F.lit(2).alias("side"))
-    units = units.unionByName(meets.select(F.col("comp").alias("key"), F.col("own").cast("long").alias("part"),
-                                           F.col("guest").alias("doc"), F.col("home").alias("comp"), F.lit(1).alias("side")))
+                  .select("comp", "own", "guest", "home", "n").distinct(), "guests")
+    # Guests of a block are dealt to blocks too, each of which meets all hosts of the block.
+    crowds = meets.groupBy("comp", "own").agg(F.count(F.lit(1)).alias("_g"), F.sum("n").alias("_w")).select(
+        "comp", "own", blocks_of(F.col("_g"), F.col("_w"), block).alias("tables"))
+    hosts = crowds.join(rows.select("doc", "comp", "own").union(labels.select("node", "comp", "own")).distinct(), ["comp", "own"])
+    place = lambda t: (F.col("own").cast("long") * (1 << 31) + t).alias("part")
+    units = hosts.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("tables") - 1))).select(
+        F.col("comp").alias("key"), place(F.col("_t")), "doc", "comp", F.lit(2).alias("side"))
+    units = units.unionByName(meets.join(crowds, ["comp", "own"]).select(
+        F.col("comp").alias("key"), place(F.pmod(F.xxhash64("guest"), F.col("tables"))),
+        F.col("guest").alias("doc"), F.col("home").alias("comp"), F.lit(1).alias("side")))
     # Smaller components among themselves: blocks a <= b of a shingle's nodes, each set of
     # nodes once.  A set holds two blocks at most.
     spread = small.where("comps > 2").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("few")).cast("int")).select(
@@ -544,10 +562,14 @@ def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block:
         F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
         F.first("bins").alias("bins")), "classes")
     postings = postings_of(classes)
-    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
-    met = postings.join(often.hint("shuffle_hash"), "token").join(classes.select("doc", "bins"), "doc")
+    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    known = postings.join(often.hint("shuffle_hash"), "token")
+    # Crowds beyond a block are not screened, as that would grow with their square, nor gathered.
+    crowds = known.where(F.col("_n") > block).select("token", "doc", "n", "pos")
+    met = known.where(F.col("_n") <= block).drop("_n").join(classes.select("doc", "bins"), "doc")
     screened = met.repartition("token").sortWithinPartitions("token", "doc")
-    shared = table(map_arrow(screened, _screener(percent, block), "token long, doc long, n long, pos long"), "shared")
+    shared = table(map_arrow(screened.select("token", "doc", "n", "pos", "bins"), _screener(percent),
+                             "token long, doc long, n long, pos long").unionByName(crowds), "shared")
     bodies = table(bodies_of(source, shared.select("doc").distinct()), "bodies")
     edges = table(first_round(shared, bodies, block, _walker(percent, size, ranks)), "edges1")
     comps = components(edges)

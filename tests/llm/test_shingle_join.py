@@ -1,7 +1,9 @@
 import random
 import re
 
+import numpy as np
 import pytest
+import zstandard
 
 from emberlog.llm import shingle_join
 
@@ -95,3 +97,45 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7)], "u long, v long")
     got = {r.node: r.comp for r in shingle_join.components(edges).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def crowd_rows():
+    """Near copies of one text, far apart from each other in part, so that components meet."""
+    rng, base, rows = random.Random(8), ["w%d" % i for i in range(100)], []
+    for i in range(240):
+        words = list(base)
+        for _ in range(rng.randint(0, 12)):
+            words[rng.randrange(100)] = "x%d" % rng.randrange(10_000)
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_no_task_holds_a_crowd(spark, monkeypatch, tmp_path):
+    """Crowds beyond a block are not gathered by the screener, and guests are dealt to blocks."""
+    most = {"_whole_groups": "token", "_by_group": "key"}
+    for name, key in most.items():
+        def noted(batches, keys, *rest, real=getattr(shingle_join, name), name=name):
+            for rows in real(batches, keys, *rest):
+                counts = rows.group_by(list(keys)).aggregate([([], "count_all")])["count_all"].to_pylist()
+                with open(tmp_path / name, "a") as out:
+                    out.write(f"{max(counts)}\n")
+                yield rows
+        monkeypatch.setattr(shingle_join, name, noted)
+    rows = crowd_rows()
+    assert found(spark, rows, block=8) == brute(rows)
+    largest = {p.name: max(map(int, p.read_text().split())) for p in tmp_path.iterdir()}
+    assert largest.get("_whole_groups", 0) <= 8
+    # Hosts and guests, each a block dealt by hash.
+    assert 0 < largest["_by_group"] <= 50
+
+
+def test_sets_in_slices(monkeypatch):
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(20)]
+    ranks = np.arange(shingle_join.BUCKETS, dtype=np.uint64)
+    bodies = [zstandard.ZstdCompressor().compress(t.encode()) for t in texts]
+    want = shingle_join.Group(np.arange(20), None, 90, bodies, 3, ranks)
+    sizes, hashed = [], shingle_join.ordered_sets
+    monkeypatch.setattr(shingle_join, "CHUNK", 500)
+    monkeypatch.setattr(shingle_join, "ordered_sets", lambda t, *a: sizes.append(sum(map(len, t))) or hashed(t, *a))
+    got = shingle_join.Group(np.arange(20), None, 90, bodies, 3, ranks)
+    assert max(sizes) < 1000 and [i.tolist() for i in got.items] == [i.tolist() for i in want.items]
