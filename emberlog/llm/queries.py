@@ -47,7 +47,7 @@ def op5_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
-    return shingle_join.similar_groups(_read(spark, folder, "documents"))
+    return shingle_join.similar_groups(_read(spark, folder, "documents"), null_least=False)
 
 
 def op7_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,8 +22,10 @@ travel compressed to where they are verified, in two rounds:
 
 Defined results: null and empty texts, and those without a word, have no shingle and are a
 component of their own; texts of one or two words have one shingle; repeated rows are equal
-sets; rows that share an id are one node; a null id is a node of its own.  Only doc_id and
-text are read.
+sets; rows that share an id are linked; rows with a null id are documents of their own.  Nodes
+are numbered distinct sets, whatever ids they have, so null ids link nothing.  A component is
+named by its least id; a null orders first among the ids, or last (``null_least``).  Only
+doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -156,7 +158,7 @@ def histogram(numbers: np.ndarray) -> np.ndarray:
 
 def facts_of(docs: DataFrame, size: int, percent: int, ranks) -> DataFrame:
     """Per row: size of its set, the set's 128-bit key, its prefix, and its histogram over the hash space."""
-    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", pa.binary()),
+    schema = pa.schema([("doc", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", pa.binary()),
                         ("bins", pa.binary())])
 
     def run(batches):
@@ -171,9 +173,9 @@ def facts_of(docs: DataFrame, size: int, percent: int, ranks) -> DataFrame:
                     columns["k2"].append(int.from_bytes(key[8:], "little", signed=True))
                     columns["prefix"].append(numbers[a:a + prefix_length(b - a, percent)].tobytes())
                     columns["bins"].append(histogram(numbers[a:b]).tobytes())
-                yield batch_of({"doc": part["doc"], **columns}, schema)
+                yield batch_of({"doc": part["doc"], "digest": part["digest"], **columns}, schema)
 
-    return map_arrow(docs, run, "doc long, n long, k1 long, k2 long, prefix binary, bins binary")
+    return map_arrow(docs, run, "doc long, digest binary, n long, k1 long, k2 long, prefix binary, bins binary")
 
 
 def postings_of(classes: DataFrame) -> DataFrame:
@@ -195,17 +197,24 @@ def postings_of(classes: DataFrame) -> DataFrame:
 
 
 def bodies_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Compressed texts of the wanted documents: a quarter of the size of their sets."""
-    schema = pa.schema([("doc", pa.int64()), ("body", pa.binary())])
+    """(doc, body): compressed texts, a quarter of the size of their sets, of the wanted nodes.
+
+    ``wanted``: doc, id and digest of one row of each node.
+    """
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("body", pa.binary())])
 
     def run(batches):
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in pieces_of(batch, "text", CHUNK):
-                yield batch_of({"doc": part["doc"], "body": [packer.compress((t or "").encode()) for t in part["text"].to_pylist()]}, schema)
+                yield batch_of({"id": part["doc"], "digest": part["digest"], "body": [packer.compress((t or "").encode()) for t in part["text"].to_pylist()]}, schema)
 
-    # Rows that share an id all stay: the id is one node, and a link of either counts.
-    return map_arrow(docs, run, "doc long, body binary").join(wanted.hint("shuffle_hash"), "doc", "left_semi")
+    # Copies without an id are one row, lest they meet under one key.
+    unnamed = docs.where("doc is null").groupBy("digest").agg(F.first("text").alias("text"))
+    rows = docs.where("doc is not null").select("doc", "text", "digest").unionByName(
+        unnamed.select(F.lit(NO_ID).alias("doc"), "text", "digest"))
+    return map_arrow(rows, run, "id long, digest binary, body binary").join(
+        wanted.hint("shuffle_hash"), ["id", "digest"]).select("doc", "body")
 
 
 class Group:
@@ -551,16 +560,41 @@ def second_round(shared: DataFrame, comps: DataFrame, bodies: DataFrame, prints:
     return edges[0].unionByName(edges[1])
 
 
-def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row."""
+def digest_of(text) -> object:
+    """128 bits that stand for a text; null is the empty one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def same_id(facts: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Edges between the sets of rows that share an id; absent if no id has two sets."""
+    key = F.struct("k1", "k2")
+    named = facts.where("n > 0 and doc is not null")
+    split = table(named.groupBy("doc").agg(F.min(key).alias("a"), F.max(key).alias("b")).where("a <> b").select("doc", "a"), "split")
+    if not split.limit(1).count():
+        return None
+    pairs = named.select("doc", "k1", "k2").join(split, "doc").where("struct(k1, k2) <> a").select(
+        "k1", "k2", F.col("a.k1").alias("_k1"), F.col("a.k2").alias("_k2")).distinct()
+    first = classes.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("doc").alias("v"))
+    return pairs.join(classes.select("k1", "k2", F.col("doc").alias("u")), ["k1", "k2"]).join(first, ["_k1", "_k2"]).select("u", "v")
+
+
+def linked(docs: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+    """(doc, digest, n, comp, least, unnamed, heir) of every row.
+
+    ``comp`` is the component (null without a shingle), ``least`` its least id, ``unnamed``
+    whether it has rows without an id, ``heir`` the least digest of those.
+    """
     spark = docs.sparkSession
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"), digest_of(text).alias("digest"))
     ranks = spark.sparkContext.broadcast(bucket_ranks(source, size))  # BUCKETS numbers
     facts = table(facts_of(source, size, percent, ranks), "facts")
     keys = ["k1", "k2"]
+    # One row of each set lends its text; nodes are numbers of their own, as ids may be null or shared.
     classes = table(facts.where("n > 0").groupBy(*keys).agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        F.first("bins").alias("bins")), "classes")
+        F.min(F.struct(F.coalesce("doc", F.lit(NO_ID)).alias("id"), "digest")).alias("row"), F.min("doc").alias("least"),
+        F.min(F.when(F.col("doc").isNull(), F.col("digest"))).alias("heir"), F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"), F.first("bins").alias("bins")).withColumn("doc", F.monotonically_increasing_id()), "classes")
     postings = postings_of(classes)
     often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     known = postings.join(often.hint("shuffle_hash"), "token")
@@ -570,29 +604,53 @@ def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block:
     screened = met.repartition("token").sortWithinPartitions("token", "doc")
     shared = table(map_arrow(screened.select("token", "doc", "n", "pos", "bins"), _screener(percent),
                              "token long, doc long, n long, pos long").unionByName(crowds), "shared")
-    bodies = table(bodies_of(source, shared.select("doc").distinct()), "bodies")
+    wanted = shared.select("doc").distinct().join(classes.select("doc", "row.id", "row.digest"), "doc")
+    bodies = table(bodies_of(source, wanted), "bodies")
     edges = table(first_round(shared, bodies, block, _walker(percent, size, ranks)), "edges1")
     comps = components(edges)
     prints = table(prints_of(bodies, size, ranks), "prints")
     more = table(second_round(shared, comps, bodies, prints, percent, block, _unit_screener(percent),
                               _crosser(percent, size, ranks)), "edges2")
-    # Rows of one id under several sets are one node already; what is left is the graph of all edges.
-    if more.limit(1).count():
-        comps = components(edges.unionByName(more))
-    named = classes.join(comps, classes["doc"] == comps["node"], "left").select(*keys, F.coalesce("comp", "doc").alias("comp"))
-    result = facts.select("doc", "n", *keys).join(named, keys, "left")
-    component = F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc"))
-    null = lambda c: F.when(c != NO_ID, c)
-    return result.select(null(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), null(component).alias("component_id"))
+    known = same_id(facts, classes)
+    every = edges.unionByName(more) if known is None else edges.unionByName(more).unionByName(known)
+    if known is not None or more.limit(1).count():
+        comps = components(every)
+    # A set outside all components names itself; the others take their component's names.
+    joint = comps.join(classes.select(F.col("doc").alias("node"), "least", "heir"), "node").groupBy("comp").agg(
+        F.min("least").alias("_least"), F.min("heir").alias("_heir"))
+    labels = comps.join(joint, "comp")
+    within = lambda ours, own: F.when(F.col("node").isNotNull(), F.col(ours)).otherwise(F.col(own)).alias(own)
+    named = classes.join(labels, classes["doc"] == labels["node"], "left").select(
+        *keys, F.coalesce("comp", "doc").alias("comp"), within("_least", "least"), within("_heir", "heir"))
+    return facts.select("doc", "digest", "n", *keys).join(named, keys, "left").select(
+        "doc", "digest", "n", "comp", "least", F.col("heir").isNotNull().alias("unnamed"), "heir")
+
+
+def similar_groups(docs: DataFrame, *, size: int = 3, percent: int = 90, block: int = BLOCK, null_least: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row.
+
+    A component with rows without an id is named null, or by its least id where
+    ``null_least`` is false; it is null then only if no row of it has an id.
+    """
+    rows = linked(docs, size, percent, block)
+    name = F.when(~F.col("unnamed"), F.col("least")) if null_least else F.col("least")
+    return rows.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+                       F.when(F.col("n") > 0, name).otherwise(F.col("doc")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, *, size: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
     """The documents without near duplicates: the smallest id of each group stays.
 
-    Rows that repeat an id are one document and stay or go together; documents without a
-    shingle all stay.
+    Rows that repeat an id are one document and stay or go together; of a group without any
+    id one row stays; documents without a shingle all stay.
     """
-    groups = similar_groups(docs, **options)
-    extra = groups.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(extra, docs["doc_id"] == F.col("_gone"), "left_anti")
+    rows = table(linked(docs, size, percent, block), "linked")
+    extra = rows.where("n > 0 and doc <> least").select(F.col("doc").alias("_gone")).distinct()
+    stay = docs.where("doc_id is not null").join(extra, F.col("doc_id") == F.col("_gone"), "left_anti")
+    unnamed = rows.where("doc is null and (n = 0 or (least is null and digest = heir))").select(
+        F.col("digest").alias("_digest"), (F.col("n") > 0).alias("_one")).distinct()
+    if not unnamed.limit(1).count():
+        return stay
+    alone = docs.where("doc_id is null").withColumn("_digest", digest_of(F.col("text").cast("string"))).join(unnamed, "_digest")
+    one = alone.where("_one").dropDuplicates(["_digest"])
+    return stay.unionByName(one.select(docs.columns)).unionByName(alone.where("not _one").select(docs.columns))

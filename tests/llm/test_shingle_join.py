@@ -139,3 +139,18 @@ def test_sets_in_slices(monkeypatch):
     monkeypatch.setattr(shingle_join, "ordered_sets", lambda t, *a: sizes.append(sum(map(len, t))) or hashed(t, *a))
     got = shingle_join.Group(np.arange(20), None, 90, bodies, 3, ranks)
     assert max(sizes) < 1000 and [i.tolist() for i in got.items] == [i.tolist() for i in want.items]
+
+
+def test_null_ids_link_nothing(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a + " end"), (3, a), (None, a), (5, b), (6, b), (None, b + " end"), (None, c), (None, c), (None, c + " x"),
+            (8, "own words of this"), (8, b), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in shingle_join.similar_groups(docs, null_least=False).collect()}
+    assert got == {(1, 58, 1), (2, 59, 1), (3, 58, 1), (None, 58, 1), (5, 58, 5), (6, 58, 5), (None, 59, 5), (None, 58, None),
+                   (None, 59, None), (8, 2, 5), (8, 58, 5), (None, 0, None)}
+    kept = [tuple(r) for r in shingle_join.one_of_each(docs).collect()]
+    assert sorted(k[0] for k in kept if k[0] is not None) == [1, 5]
+    unnamed = [k[1] for k in kept if k[0] is None]
+    assert len(unnamed) == 3 and unnamed.count(None) == 1 and unnamed.count("") == 1
+    assert next(t for t in unnamed if t).startswith("c0 c1")
