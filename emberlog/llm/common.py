@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -66,11 +65,6 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), np.uint8), ends
 
 
-def text_tag(text: bytes) -> int:
-    """Sixteen bits that tell apart different texts stored under one id."""
-    return zlib.crc32(text) & 0xFFFF
-
-
 def batch_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

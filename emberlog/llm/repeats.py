@@ -24,7 +24,7 @@ instead, with the same result.
 
 Defined results: null and empty texts, and those shorter than a window, lose nothing; rows
 that repeat both id and text are one document and get the same result each; different texts
-under one id are told apart by a 16-bit checksum and ordered by it; a null id orders first.
+under one id are told apart by 64 bits of a hash and ordered by them; a null id orders first.
 Only doc_id and text are read.
 """
 
@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import CHUNK_BYTES, batch_of, map_arrow, pieces_of, table, text_tag
+from emberlog.llm.common import CHUNK_BYTES, batch_of, map_arrow, pieces_of, table
 
 LENGTH = 100
 GRAM = 20
@@ -112,17 +112,24 @@ def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return grams[at], check, first, last, at
 
 
-def packed_place(tag, start, count, offset):
-    """Tag, first window, number of windows, and the anchor's distance from the first, in one number."""
-    return (tag << 46) | (start << 14) | (count << 7) | offset
+def text_tag(text: bytes) -> int:
+    """Tells apart different texts stored under one id, or without an id."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+def packed_place(start, count, offset):
+    """First window, number of windows, and the anchor's distance from the first, in one number."""
+    return (start << 14) | (count << 7) | offset
 
 
 def unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
-    return place >> 46, (place >> 14) & 0xFFFFFFFF, (place >> 7) & 0x7F, place & 0x7F
+    """Anchor, first window, number of windows, and the anchor's distance from the first."""
+    start, offset = place >> 14, place & 0x7F
+    return start + offset, start, (place >> 7) & 0x7F, offset
 
 
-RUNS = pa.schema([("a", pa.int64()), ("settled", pa.bool_()), ("c", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()),
-                  ("copied", pa.bool_())])
+RUNS = pa.schema([("a", pa.int64()), ("settled", pa.bool_()), ("c", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()),
+                  ("place", pa.int64()), ("copied", pa.bool_())])
 
 
 def _runs(batches):
@@ -155,24 +162,24 @@ def _chunk_runs(pieces: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     base = np.array([p[2] for p in pieces], np.int64) - np.concatenate([[0], ends[:-1]])
     docs = np.array([p[0] for p in pieces], np.int64)[own]
     tags = np.array([p[1] for p in pieces], np.int64)[own]
-    place = packed_place(tags, first + base[own], last - first + 1, at - first)
+    place = packed_place(first + base[own], last - first + 1, at - first)
     a, c = a.view(np.int64), c.view(np.int64)
-    order = np.lexsort((place, docs, c, a))
-    a, c, docs, place = a[order], c[order], docs[order], place[order]
+    order = np.lexsort((place, tags, docs, c, a))
+    a, c, docs, tags, place = a[order], c[order], docs[order], tags[order], place[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
     same_row = np.zeros(len(a), bool)
-    same_row[1:] = ~new[1:] & (docs[1:] == docs[:-1]) & (place[1:] == place[:-1])
+    same_row[1:] = ~new[1:] & (docs[1:] == docs[:-1]) & (tags[1:] == tags[:-1]) & (place[1:] == place[:-1])
     heads = np.flatnonzero(new)
     rest = np.flatnonzero(~new & ~same_row)
     copied = np.zeros(len(heads), bool)
     copied[np.cumsum(new)[rest] - 1] = True
     # Settled rows need no partner; a key of their own spreads them evenly.
-    own_key = mixed(docs[rest].view(_U) * _U(31) + place[rest].view(_U)).view(np.int64)
+    own_key = mixed((docs[rest].view(_U) * _U(31) + tags[rest].view(_U)) * _U(31) + place[rest].view(_U)).view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (
         np.concatenate([a[heads], own_key]), np.arange(len(heads) + len(rest)) >= len(heads),
         np.concatenate([c[heads], np.zeros(len(rest), np.int64)]), np.concatenate([docs[heads], docs[rest]]),
-        np.concatenate([place[heads], place[rest]]), np.concatenate([copied, np.zeros(len(rest), bool)]))], schema=RUNS)
+        np.concatenate([tags[heads], tags[rest]]), np.concatenate([place[heads], place[rest]]), np.concatenate([copied, np.zeros(len(rest), bool)]))], schema=RUNS)
 
 
 def lcp(s: bytes, t: bytes) -> int:
@@ -285,9 +292,9 @@ def deep_shallow(rows: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> t
     return order, shared
 
 
-def later_windows(a: np.ndarray, docs: np.ndarray, places: np.ndarray, segments: list[bytes]) -> np.ndarray:
+def later_windows(a: np.ndarray, docs: np.ndarray, tags: np.ndarray, places: np.ndarray, segments: list[bytes]) -> np.ndarray:
     """Matrix (run, window) of the windows that equal one of an earlier run; runs sorted by anchor."""
-    tags, starts, counts, offsets = unpacked(places)
+    anchors, _, counts, offsets = unpacked(places)
     n = len(a)
     right, left = np.zeros((n, 104), np.uint8), np.zeros((n, 104), np.uint8)
     right_len, left_len = np.zeros(n, np.int64), offsets.copy()
@@ -303,7 +310,7 @@ def later_windows(a: np.ndarray, docs: np.ndarray, places: np.ndarray, segments:
     r_rank, l_rank, earlier = np.empty(n, np.int64), np.empty(n, np.int64), np.empty(n, np.int64)
     r_rank[r_order] = np.arange(n)
     l_rank[l_order] = np.arange(n)
-    earlier[np.lexsort((starts + offsets, tags, docs))] = np.arange(n)
+    earlier[np.lexsort((anchors, tags, docs))] = np.arange(n)
     later = np.zeros((n, WIDTH), bool)
     for d in range(WIDTH):
         own = np.flatnonzero((offsets - counts < d) & (d <= offsets))
@@ -316,7 +323,8 @@ def later_windows(a: np.ndarray, docs: np.ndarray, places: np.ndarray, segments:
     return later
 
 
-GONE = pa.schema([("doc", pa.int64()), ("place", pa.int64())])
+GONE = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64())])
+GONE_SQL = "doc long, tag long, place long"
 
 
 def _sorted_runs(batches):
@@ -325,19 +333,19 @@ def _sorted_runs(batches):
     size = 0
 
     def settle(rows: pa.Table) -> pa.RecordBatch:
-        a, docs, places = (rows[c].to_numpy() for c in ("a", "doc", "place"))
-        order = np.lexsort((places, docs, a))
+        a, docs, tags, places = (rows[c].to_numpy() for c in ("a", "doc", "tag", "place"))
+        order = np.lexsort((places, tags, docs, a))
         keep = np.ones(len(order), bool)
-        keep[1:] = np.any([x[order][1:] != x[order][:-1] for x in (a, docs, places)], axis=0)
+        keep[1:] = np.any([x[order][1:] != x[order][:-1] for x in (a, docs, tags, places)], axis=0)
         order = order[keep]
-        a, docs, places = a[order], docs[order], places[order]
+        a, docs, tags, places = a[order], docs[order], tags[order], places[order]
         segments = rows["segment"].to_pylist()
-        later = later_windows(a, docs, places, [segments[i] for i in order])
-        tags, starts, _, _ = unpacked(places)
+        later = later_windows(a, docs, tags, places, [segments[i] for i in order])
+        _, starts, _, _ = unpacked(places)
         edges = np.diff(np.pad(later, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, begin = np.nonzero(edges == 1)
         _, end = np.nonzero(edges == -1)
-        return batch_of({"doc": docs[row], "place": packed_place(tags[row], starts[row] + begin, end - begin, 0)}, GONE)
+        return batch_of({"doc": docs[row], "tag": tags[row], "place": packed_place(starts[row] + begin, end - begin, 0)}, GONE)
 
     for batch in batches:
         held.append(batch)
@@ -371,7 +379,7 @@ def compressed(docs: DataFrame) -> DataFrame:
 
 def _segments(batches):
     """Bytes of the runs wanted of each text; for runs of crowded anchors a row per window."""
-    schema = pa.schema([("a", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("segment", pa.binary()),
+    schema = pa.schema([("a", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64()), ("segment", pa.binary()),
                         ("w1", pa.int64()), ("w2", pa.int64())])
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
@@ -384,11 +392,11 @@ def _segments(batches):
                 if r["crowded"]:
                     for s in range(start, start + count):
                         digest = hashlib.blake2b(text[s:s + LENGTH], digest_size=16).digest()
-                        rows.append((r["a"], doc, packed_place(tag, s, 1, 0), None,
+                        rows.append((r["a"], doc, tag, packed_place(s, 1, 0), None,
                                      int.from_bytes(digest[:8], "little", signed=True),
                                      int.from_bytes(digest[8:], "little", signed=True)))
                 else:
-                    rows.append((r["a"], doc, r["place"], text[start:start + count - 1 + LENGTH], None, None))
+                    rows.append((r["a"], doc, tag, r["place"], text[start:start + count - 1 + LENGTH], None, None))
             size += len(text)
             if size > CHUNK_BYTES or len(rows) > 50_000:
                 yield batch_of(dict(zip(schema.names, zip(*rows, strict=True), strict=True)) if rows else
@@ -442,37 +450,37 @@ def merged(places: list[int]) -> list[tuple[int, int]]:
 
 
 def repeated_places(docs: DataFrame, group_limit: int) -> DataFrame:
-    """(doc, place) of every window that starts earlier too; ``docs``: doc, text."""
-    rows = map_arrow(docs, _runs, "a long, settled boolean, c long, doc long, place long, copied boolean")
+    """(doc, tag, place) of every window that starts earlier too; ``docs``: doc, text."""
+    rows = map_arrow(docs, _runs, "a long, settled boolean, c long, doc long, tag long, place long, copied boolean")
     anchor = Window.partitionBy("a", "settled")
     # A pair needs two rows of its anchor, or one that was merged in its task.
     counted = rows.withColumns({
         "rows": F.count(F.lit(1)).over(anchor), "low": F.min("c").over(anchor), "high": F.max("c").over(anchor)})
     ranked = counted.where("settled or copied or rows > 1").withColumn(
-        "rank", F.rank().over(Window.partitionBy("a", "settled", "c").orderBy("doc", "place")))
+        "rank", F.rank().over(Window.partitionBy("a", "settled", "c").orderBy("doc", "tag", "place")))
     marked = table(ranked.select(
-        "a", "doc", "place", (~F.col("settled") & (F.col("rank") == 1)).alias("first"),
+        "a", "doc", "tag", "place", (~F.col("settled") & (F.col("rank") == 1)).alias("first"),
         (F.col("low") != F.col("high")).alias("varied"), (F.col("rows") > group_limit).alias("crowded")), "runs")
-    later = marked.where(~F.col("first")).select("doc", "place")
-    wanted = marked.where("first and varied").withColumn("tag", F.shiftright("place", 46))
+    later = marked.where(~F.col("first")).select("doc", "tag", "place")
+    wanted = marked.where("first and varied")
     per_doc = wanted.groupBy("doc", "tag").agg(F.collect_list(F.struct("a", "place", "crowded")).alias("runs"))
     # Not the texts but the runs are the small side.
     segments = map_arrow(
         compressed(docs).join(per_doc.hint("shuffle_hash"), ["doc", "tag"]).select("doc", "tag", "body", "runs"), _segments,
-        "a long, doc long, place long, segment binary, w1 long, w2 long")
+        "a long, doc long, tag long, place long, segment binary, w1 long, w2 long")
     grouped = segments.where(F.col("segment").isNotNull()).repartition("a").sortWithinPartitions("a")
-    gone = later.unionByName(map_arrow(grouped.select("a", "doc", "place", "segment"), _sorted_runs, "doc long, place long"))
+    gone = later.unionByName(map_arrow(grouped.select("a", "doc", "tag", "place", "segment"), _sorted_runs, GONE_SQL))
     if marked.where("first and varied and crowded").limit(1).count():
-        window = Window.partitionBy("w1", "w2").orderBy("doc", "place")
+        window = Window.partitionBy("w1", "w2").orderBy("doc", "tag", "place")
         crowded = segments.where(F.col("w1").isNotNull()).withColumn("rank", F.rank().over(window))
-        gone = gone.unionByName(crowded.where("rank > 1").select("doc", "place"))
+        gone = gone.unionByName(crowded.where("rank > 1").select("doc", "tag", "place"))
     return gone
 
 
 def remove_repeats(docs: DataFrame, *, with_text: bool = True, group_limit: int = 50_000) -> DataFrame:
     """Per document: bytes, removed bytes, their spans, and the remaining bytes (``kept``) with their digest."""
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
-    gone = repeated_places(source, group_limit).withColumn("tag", F.shiftright("place", 46))
+    gone = repeated_places(source, group_limit)
     per_doc = gone.groupBy("doc", "tag").agg(F.collect_list("place").alias("gone"))
     texts = compressed(source)
     joined = texts.join(per_doc.hint("shuffle_hash"), ["doc", "tag"], "left").select("doc", "body", "gone")

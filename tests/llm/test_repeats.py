@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -119,3 +120,25 @@ def test_deep_shallow_orders_groups():
         i, j = order[k - 1], order[k]
         expected = -1 if groups[i] != groups[j] else repeats.lcp(strings[i], strings[j])
         assert shared[k] == expected
+
+
+def test_many_texts_without_an_id(spark):
+    """Texts that share a null id and 16 bits of checksum keep what is their own."""
+    passage = "".join(chr(97 + i * i % 26) + chr(97 + i % 23) for i in range(100))
+    by_crc, pair = {}, None
+    for i in range(5000):
+        text = " ".join(hashlib.sha256(b"%d %d" % (i, k)).hexdigest() for k in range(4))
+        # The second text is the one a passage of which came before.
+        for t in (text, text[:120] + passage + text[120:]):
+            other = by_crc.setdefault(zlib.crc32(t.encode()) & 0xFFFF, t)
+            if other is not t and (passage in t) != (passage in other):
+                pair = sorted([t, other], key=len)
+        if pair:
+            break
+    rows = [(None, pair[0]), (None, pair[1]), (None, "x" * 30 + passage), (7, passage + "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_bytes, r.n_removed) for r in repeats.remove_repeats(docs).collect()}
+    assert (None, len(pair[0]), 0) in got
+    removed = sorted(r[2] for r in got if r[1] != len(pair[0]))
+    # The passage stays once, in one of the texts without an id.
+    assert removed == [0, 200, 200] and (7, 203, 200) in got
