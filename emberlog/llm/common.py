@@ -69,3 +69,21 @@ def batch_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+
+HEAVY_KEYS = 10_000
+
+
+def weighted_join(rows: DataFrame, side: DataFrame, keys: list[str], load: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with the one row per key that ``side`` holds, safe against hot keys.
+
+    ``side[load]`` says how many of the ``total`` rows have the key.  Fewer than
+    ``HEAVY_KEYS`` keys can each have more than ``total / HEAVY_KEYS`` rows, so those are
+    broadcast whatever the size of the input, and no key left for the shuffled join has
+    more rows than that.
+    """
+    heavy = F.col(load) * HEAVY_KEYS > total
+    hot = F.broadcast(side.where(heavy).drop(load))
+    light = side.where(~heavy).drop(load)
+    at_once = rows.join(hot, keys)
+    shuffled = rows.join(hot.select(*keys), keys, "left_anti").join(light, keys)
+    return at_once.unionByName(shuffled)

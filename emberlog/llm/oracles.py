@@ -111,8 +111,19 @@ FROM cut
 """
 
 
+COPIES = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS whole,
+    translate(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') AS norm FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
+FROM texts WINDOW best AS (PARTITION BY norm ORDER BY length(whole) DESC, doc_id NULLS LAST)
+"""
+
+
 ORACLES = {
     "op2_repeated_strings": REPEATS,
     "op6_shingle_join": SHINGLES,
     "op9_hilbert_shards": curve_sql(),
+    "op11_exact_copies": COPIES,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.llm import (
-    hilbert, html_sites, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity,
+    exact_copies, hilbert, html_sites, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity,
 )
 from emberlog.llm.oracles import ORACLES
 
@@ -69,6 +69,11 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.clean_lines(_read(spark, folder, "documents"), with_text=False)
 
 
+def op11_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
+    grouped = exact_copies.groups(_read(spark, folder, "documents"))
+    return grouped.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxic_segments": op1_toxic_segments,
     "op2_repeated_strings": op2_repeated_strings,
@@ -80,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_neighbours": op8_block_neighbours,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_line_rules": op10_line_rules,
+    "op11_exact_copies": op11_exact_copies,
 }

@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, small, name):
     assert rows_of(frame.columns, frame.collect()) == rows_of(columns, result.fetchall())
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_every_operator_has_a_query(spark, small, number):
     name = next(q for q in queries.QUERIES if q.startswith(f"op{number}_"))
     assert queries.QUERIES[name](spark, small).count() > 0
