@@ -17,7 +17,6 @@ each on its own; an empty table gives no rows.  Only doc_id and text are read.
 
 from __future__ import annotations
 
-import base64
 import zlib
 
 import numpy as np
@@ -26,22 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.common import batch_of, map_arrow, pieces_of, table
+from emberlog.llm.tokens import ByteIds
 
 LENGTH = 1024
 SEPARATOR = 2
 
 
-def encoder():
-    """Byte-level BPE of ``byte_bpe_50k.json``; its rank file gives the same ids at twice the speed.
-
-    Special strings in a text are ordinary text.
-    """
-    import public_tokenizers
-    import tiktoken
-
-    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+def encoder() -> ByteIds:
+    """Byte-level BPE of ``byte_bpe_50k.json``; special strings in a text are ordinary text."""
+    return ByteIds()
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -59,7 +51,7 @@ def tokenised(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for part in pieces_of(batch, "text"):
                 rows = []
                 for doc, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    ids = np.append(code.encode_to_numpy(text or "", disallowed_special=()), SEPARATOR).astype("<u4")
+                    ids = np.append(code.ids(text or ""), SEPARATOR).astype("<u4")
                     first = len(ids) % length or length
                     cuts = [0, *range(first, len(ids) + 1, length)]
                     rows += [(doc, i, a, b - a, zlib.crc32(ids[a:b].tobytes()))

@@ -22,6 +22,17 @@ def test_ids_equal_the_tokenizer_file():
         assert code.encode_ordinary(text) == reference.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\t" * 2_000_000, "a" + "\n" * 2_000_000, "w" * 2_000_000])
+def test_very_long_runs(text):
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    assert packing.encoder().encode_ordinary(text) == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_pack_a_text_of_blanks(spark):
+    check(spark, [(1, "x" + " " * 1_500_000 + "y"), (2, "short")])
+
+
 def check(spark, rows, length=1024, **options):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = packing.pack(docs, length=length, **options).collect()
