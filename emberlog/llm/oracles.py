@@ -121,9 +121,42 @@ FROM texts WINDOW best AS (PARTITION BY norm ORDER BY length(whole) DESC, doc_id
 """
 
 
+COLLOCATIONS = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM runs
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM runs
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM runs),
+f AS (SELECT lang, size, phrase, count(*) AS c FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND c >= 10),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+parts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM cuts),
+scores AS (
+  SELECT p.*, u.c AS l, v.c AS r, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(u.c AS HUGEINT) * v.c) AS BIGINT) AS score
+  FROM parts p JOIN f u ON u.lang = p.lang AND u.phrase = p.x JOIN f v ON v.lang = p.lang AND v.phrase = p.y),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM candidates WHERE size = 3)
+  GROUP BY lang, phrase),
+kept AS (
+  SELECT q.* FROM lowest q LEFT JOIN around o ON o.lang = q.lang AND o.phrase = q.phrase AND q.size = 2
+  WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 ORACLES = {
     "op2_repeated_strings": REPEATS,
     "op6_shingle_join": SHINGLES,
     "op9_hilbert_shards": curve_sql(),
     "op11_exact_copies": COPIES,
+    "op12_collocations": COLLOCATIONS,
 }

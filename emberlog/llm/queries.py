@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.llm import (
-    alignment, exact_copies, hilbert, html_sites, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity,
+    alignment, collocations, exact_copies, hilbert, html_sites, line_rules, mixing, neighbours, packing, repeats, secrets, shingle_join, toxicity,
 )
 from emberlog.llm.oracles import ORACLES
 
@@ -74,6 +74,10 @@ def op11_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
     return grouped.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_read(spark, folder, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_documents(_read(spark, folder, "documents"))
 
@@ -90,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_line_rules": op10_line_rules,
     "op11_exact_copies": op11_exact_copies,
+    "op12_collocations": op12_collocations,
     "op13_token_alignment": op13_token_alignment,
 }
