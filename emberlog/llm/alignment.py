@@ -18,7 +18,7 @@ than ten thousand pairs that are each in more than a ten-thousandth of the posti
 Defined results: texts null, empty, or that one of the tokenizers does not give back byte for
 byte (space first) have no tokens: zeros and an empty checksum; repeated rows and rows with a
 null id count each for itself; an empty table gives no rows.  Only doc_id and text are read.
-A task holds the tokens of about ``CHUNK_BYTES`` of text, or of one longer text.
+A task holds the tokens of about ``SLICE`` bytes of text, or of one longer text.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from emberlog.llm.common import map_arrow, pieces_of, table, weighted_join
 from emberlog.llm.tokens import ByteIds, PieceIds
 
+# Aligning takes some hundred bytes of working memory for each byte of a slice.
+SLICE = 1 << 20
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
                     ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int64())),
                     ("times", pa.list_(pa.int64()))])
@@ -66,32 +68,49 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at_a, first[at_a] + within
 
 
+_NOTHING = np.zeros(0, np.int64)
+
+
+class Flat:
+    """Byte strings by number, joined by array operations."""
+
+    def __init__(self, strings: list[bytes]):
+        self.length = np.array([len(x) for x in strings], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        length = self.length[numbers]
+        ends = np.cumsum(length)
+        return self.data[np.repeat(self.start[numbers] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Aligner:
     """Aligns lists of texts; holds both vocabularies."""
 
     def __init__(self, byte_files: tuple[str | None, str | None] = (None, None), piece_file: str | None = None):
         self.a, self.b = ByteIds(*byte_files), PieceIds(piece_file)
-        self.length_a, self.length_b = (np.array([len(t) for t in x.tokens], np.int64) for x in (self.a, self.b))
         self.n_a, self.n_b = len(self.a.tokens), len(self.b.tokens)
+        self.bytes_a, self.bytes_b = (Flat(x.tokens) for x in (self.a, self.b))
         # What each id is written as after no sign, a comma, a bar or a semicolon; A's ids, then B's.
         numbers = [str(i).encode() for i in (*range(self.n_a), *range(self.n_b))]
-        self.written = [sign + number for sign in (b"", b",", b"|", b";") for number in numbers]
+        self.written = Flat([sign + number for sign in (b"", b",", b"|", b";") for number in numbers])
 
     def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of A and B of each text; None where a text has no tokens."""
-        given = self.b.ids([t or "" for t in texts])
-        out: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for text, b in zip(texts, given, strict=True):
-            own = None
-            if text:
-                spaced = f" {text}"
-                raw = spaced.encode()
-                if b"".join(map(self.b.tokens.__getitem__, b.tolist())) == raw:
-                    a = self.a.ids(spaced).astype(np.int64)
-                    if b"".join(map(self.a.tokens.__getitem__, a.tolist())) == raw:
-                        own = a, b
-            out.append(own)
-        return out
+        spaced = [f" {t}" if t else "" for t in texts]
+        sides = ([self.a.ids(t) if t else _NOTHING for t in spaced], self.b.ids([t or "" for t in texts]))
+        raw = [t.encode() for t in spaced]
+        sizes = np.array([len(r) for r in raw], np.int64)
+        fits = sizes > 0
+        for flat, side in zip((self.bytes_a, self.bytes_b), sides, strict=True):
+            # Texts whose token bytes have another length differ anyway; the others are compared byte by byte.
+            fits &= np.array([flat.length[ids].sum() for ids in side], np.int64) == sizes
+            at = np.flatnonzero(fits)
+            if len(at):
+                same = flat.joined(np.concatenate([side[i] for i in at])) == np.frombuffer(b"".join(raw[i] for i in at), np.uint8)
+                fits[at] = np.logical_and.reduceat(same, np.cumsum(sizes[at]) - sizes[at])
+        return [(a, b) if ok else None for a, b, ok in zip(*sides, fits.tolist(), strict=True)]
 
     def align(self, texts: list[str | None]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, checksum, pairs, times) of each text; a pair is A id * n_b + B id."""
@@ -105,7 +124,7 @@ class Aligner:
         count_a, count_b = (np.array([len(own[k]) for own in whole]) for k in (0, 1))
         a, b = (np.concatenate([own[k] for own in whole]) for k in (0, 1))
         doc_a, doc_b = (np.repeat(np.arange(len(whole)), n) for n in (count_a, count_b))
-        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        ends_a, ends_b = np.cumsum(self.bytes_a.length[a]), np.cumsum(self.bytes_b.length[b])
         group_a, group_b = coalesced(ends_a, ends_b)
         at_a, at_b = links(ends_a, ends_b)
         documents = len(whole)
@@ -124,10 +143,11 @@ class Aligner:
         sign = np.zeros(len(order), np.int64)
         sign[1:] = np.where(doc[1:] != doc[:-1], 0, np.where(group[1:] != group[:-1], 3, np.where(kind[1:] != kind[:-1], 2, 1)))
         ids = np.concatenate([a, b + self.n_a])[order]
-        written = list(map(self.written.__getitem__, (sign * (self.n_a + self.n_b) + ids).tolist()))
-        stops = np.cumsum(count_a + count_b).tolist()
+        marked = sign * (self.n_a + self.n_b) + ids
+        written = self.written.joined(marked)
+        stops = np.cumsum(self.written.length[marked])[np.cumsum(count_a + count_b) - 1].tolist()
         for i, (x, y) in enumerate(zip([0, *stops], stops, strict=False)):
-            checksum = hashlib.sha256(b"".join(written[x:y])).hexdigest()
+            checksum = hashlib.sha256(written[x:y]).hexdigest()
             yield (int(count_a[i]), int(count_b[i]), int(n_groups[i]), int(n_links[i]), checksum,
                    pairs[cuts[i]:cuts[i + 1]], times[cuts[i]:cuts[i + 1]])
 
@@ -139,7 +159,7 @@ def aligned(docs: DataFrame, **files) -> DataFrame:
         aligner = None
         for batch in batches:
             aligner = aligner or Aligner(**files)
-            for part in pieces_of(batch, "text"):
+            for part in pieces_of(batch, "text", SLICE):
                 rows = aligner.align(part["text"].to_pylist())
                 columns = list(zip(*rows, strict=True)) if rows else [()] * 7
                 yield pa.RecordBatch.from_arrays(
