@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from emberlog.llm.common import map_arrow, pieces_of, table, weighted_join
 from emberlog.llm.tokens import ByteIds, PieceIds
 
-# Aligning takes some hundred bytes of working memory for each byte of a slice.
-SLICE = 1 << 20
+# Arrays of small slices stay in the processor's caches.
+SLICE = 1 << 18
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
                     ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int64())),
                     ("times", pa.list_(pa.int64()))])

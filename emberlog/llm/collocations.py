@@ -3,9 +3,11 @@
 SON partitioning over documents dealt to ``shards`` shards by a hash:
 
 1. Each shard is mined completely.  Tasks combine what they read into (shard, phrase hash,
-   count), Spark adds these up, and a shard keeps what reaches its own support: the global
-   support lowered in proportion to its share of the language's words, rounded up.  A phrase
-   with global support must reach that in at least one shard.
+   count), as sorted blocks of one bucket of hashes each; a bucket's blocks meet in one task
+   and are added up, and a shard keeps what reaches its own support: the global support
+   lowered in proportion to its share of the language's words, rounded up.  A phrase with
+   global support must reach that in at least one shard.  The number of buckets follows the
+   number of words, so a bucket stays at some four million phrases.
 2. The union of the locally frequent hashes is laid into a bit map, built in blocks by Spark
    and bounded by ``filter_bits`` (sent to the tasks; 32 MB at most).
 3. All phrases whose hash is marked are counted over the whole corpus, as text, exactly.
@@ -18,13 +20,13 @@ step 3; results stay the same and its shuffle is at most that of counting all ph
 
 Cuts, containment and ranks work on the frequent phrases only.  The counts of a phrase's
 parts are looked up in a join that broadcasts the parts asked for most, so that one word
-beginning a third of all phrases is no hot key; a language's first rows are limited in each
-task before they are compared.
+beginning a third of all phrases is no hot key; a language's first rows are found in parts
+before they are compared.
 
 Defined results: null text counts as empty, null language as ``und``; repeated rows count
 each; words never cross the separators; an empty table gives no rows.  Only text, lang and
 doc_id are read (doc_id for dealing alone).  A task holds the words of about ``CHUNK_BYTES``
-of text, or of one longer text.
+of text, or of one longer text, ``HELD`` combined phrases, and one bucket.
 """
 
 from __future__ import annotations
@@ -44,8 +46,11 @@ from emberlog.session import small_side
 
 SUPPORT, SHARE, FIRST = 10, 50, 2000
 SHARDS = 3
+PARTS = 16
 FILTER_BITS = 28
 BLOCK_BITS = 18
+# Phrases that a task combines before they travel, and phrases of one bucket of hashes.
+HELD, BUCKET = 1 << 22, 1 << 22
 # Separators of pieces and of words, as the contract fixes them.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
@@ -104,7 +109,7 @@ class Phrases:
         self.hashes.append(_mixed(h + np.uint64(len(members))))
 
     def all_hashes(self) -> np.ndarray:
-        return np.concatenate(self.hashes).view(np.int64)
+        return np.concatenate(self.hashes)
 
     def all_counts(self) -> np.ndarray:
         return np.concatenate(self.counts)
@@ -136,31 +141,104 @@ def _seed(lang: str) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode())
 
 
-def local_counts(texts: DataFrame) -> DataFrame:
-    """(lang, shard, hash, count) of all phrases, combined within each task's slices."""
-    schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
+def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and the sum of each one's counts."""
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[len(hashes) > 0], hashes[1:] != hashes[:-1]]))
+    return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+BLOCKS = "bucket long, lang string, shard int, least long, hashes binary, counts binary"
+
+
+def local_counts(texts: DataFrame, bucket_bits: int) -> DataFrame:
+    """Counts of all phrases of each (lang, shard), combined over ``HELD`` phrases of a task.
+
+    A row holds the sorted hashes of one bucket, that is, with the same first ``bucket_bits``
+    bits, and their counts.
+    """
+    schema = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("shard", pa.int32()), ("least", pa.int64()),
+                        ("hashes", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
+        held: dict[tuple, list] = defaultdict(list)
+        size = 0
+
+        def emptied():
+            for (lang, shard, least), parts in held.items():
+                hashes, counts = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+                if not len(hashes):
+                    continue
+                buckets = (hashes >> np.uint64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(hashes), np.int64)
+                first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])).tolist()
+                cuts = list(zip(first, [*first[1:], len(buckets)], strict=True))
+                n = len(cuts)
+                yield batch_of({"bucket": buckets[first], "lang": [lang] * n, "shard": [shard] * n, "least": [least] * n,
+                                "hashes": [hashes[a:b].tobytes() for a, b in cuts],
+                                "counts": [_narrow(counts[a:b]) for a, b in cuts]}, schema)
+            held.clear()
+
         for batch in batches:
             for part in pieces_of(batch, "text"):
-                for (lang, shard), own in _by_group(part, ["lang", "shard"]):
-                    found = Phrases(own, _seed(lang))
-                    counts = found.all_counts()
-                    yield batch_of({"lang": [lang] * len(counts), "shard": np.full(len(counts), shard, np.int32),
-                                    "hash": found.all_hashes(), "n": counts}, schema)
+                for key, own in _by_group(part, ["lang", "shard", "least"]):
+                    found = Phrases(own, _seed(key[0]))
+                    held[key].append((found.all_hashes(), found.all_counts()))
+                    size += len(held[key][-1][0])
+                if size >= HELD:
+                    yield from emptied()
+                    size = 0
+        yield from emptied()
+
+    return map_arrow(texts, run, BLOCKS)
+
+
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold them; the width is the first byte."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(counts) or counts.max() < 1 << (8 * w))
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
+def _frequent(batches):
+    """The hashes of each (bucket, lang, shard) whose count reaches ``least``; rows come sorted by those."""
+    schema = pa.schema([("hash", pa.int64())])
+
+    def settled(key, parts):
+        hashes, counts = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        return batch_of({"hash": hashes[counts >= key[-1]].view(np.int64)}, schema)
 
-    return map_arrow(texts, run, "lang string, shard int, hash long, n long")
+    last, parts = None, []
+    for batch in batches:
+        for *key, hashes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != last and parts:
+                yield settled(last, parts)
+                parts = []
+            last = key
+            parts.append((np.frombuffer(hashes, np.uint64), _wide(counts)))
+            if len(parts) >= 256:
+                # What many tasks have in common is added up on the way.
+                parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+    if parts:
+        yield settled(last, parts)
 
 
 def frequent_somewhere(texts: DataFrame, support: int) -> DataFrame:
     """The hashes that reach some shard's own support."""
-    totals = texts.groupBy("lang", "shard").agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("own"))
+    totals = table(texts.groupBy("lang", "shard").agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("own")), "totals")
     whole = totals.groupBy("lang").agg(F.sum("own").alias("whole"))
     # own * support / whole, rounded up, in whole numbers.
     supports = totals.join(whole, "lang").where("whole > 0").selectExpr(
         "lang", "shard", f"cast((cast(own as decimal(20,0)) * {support} + whole - 1) div whole as bigint) as least")
-    mined = local_counts(texts).groupBy("lang", "shard", "hash").agg(F.sum("n").alias("n"))
-    return mined.join(small_side(supports, "supports"), ["lang", "shard"]).where("n >= least").select("hash").distinct()
+    words = totals.agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
+    bucket_bits = int(3 * words // BUCKET).bit_length()
+    blocks = local_counts(texts.join(small_side(supports, "supports"), ["lang", "shard"]), bucket_bits)
+    order = ["bucket", "lang", "shard", "least"]
+    dealt = blocks.repartition("bucket").sortWithinPartitions(*order).select(*order, "hashes", "counts")
+    return map_arrow(dealt, _frequent, "hash long").distinct()
 
 
 def bit_map(hashes: DataFrame, largest: int) -> tuple[np.ndarray, int]:
@@ -269,6 +347,9 @@ def collocations(docs: DataFrame, *, support: int = SUPPORT, share: int = SHARE,
     words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
     totals = docs.select(lang.alias("lang"), words.alias("n")).groupBy("lang").agg(F.sum("n").cast("long").alias("n"))
     kept = not_contained(table(scored(counts), "scored"), share)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
+    # First in each of a fixed number of parts, so that no task sees what all tasks kept.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    nearly = kept.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= first)
+    best = nearly.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= first)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -79,11 +79,28 @@ def test_local_supports_prune_and_lose_nothing(spark):
     vocabulary = [f"w{i}" for i in range(300)]
     rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(50)) + " often seen", "en") for i in range(400)]
     texts = spark.createDataFrame(rows, SCHEMA).withColumn("shard", (F.col("doc_id") % 3).cast("int"))
-    every = collocations.local_counts(texts).select("hash").distinct()
-    kept = collocations.frequent_somewhere(texts, 10)
-    counted = collocations.local_counts(texts).groupBy("hash").agg(F.sum("n").alias("n")).where("n >= 10")
-    assert counted.join(kept, "hash", "left_anti").count() == 0
-    assert kept.count() < every.count() / 20
+    kept = {r.hash & (2**64 - 1) for r in collocations.frequent_somewhere(texts, 10).collect()}
+    found = collocations.Phrases([r[1].encode() for r in rows], collocations._seed("en"))
+    hashes, counts = found.all_hashes(), found.all_counts()
+    assert len(set(hashes.tolist())) == len(hashes)
+    assert set(hashes[counts >= 10].tolist()) <= kept
+    # At least three shares of a third each: what a shard has fewer than four times is pruned.
+    assert kept <= set(hashes[counts >= 4].tolist()) and len(kept) < len(hashes) / 20
+
+
+def test_small_blocks_and_buckets(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(50)), rng.choice(["en", "de"])) for i in range(60)]
+    monkeypatch.setattr(collocations, "HELD", 50)
+    monkeypatch.setattr(collocations, "BUCKET", 16)
+    monkeypatch.setattr(collocations, "pieces_of", lambda batch, column: (batch.slice(i, 1) for i in range(batch.num_rows)))
+    assert found(spark, rows) == brute(rows)
+
+
+def test_counts_travel_in_any_width():
+    for top in (1, 255, 256, 65_536, 1 << 40):
+        counts = np.array([1, top, 3])
+        assert collocations._wide(collocations._narrow(counts)).tolist() == counts.tolist()
 
 
 def test_scores_beyond_64_bits(spark):
