@@ -96,6 +96,14 @@ def _out_of_range(name: str) -> Column:
     return F.coalesce((value < 0) | (value > 100), F.lit(False))
 
 
+def out_of_range(columns: Sequence[str] = HEALTH_COLUMNS) -> Column:
+    """Whether any health percentage lies outside 0..100."""
+    broken = F.lit(False)
+    for name in columns:
+        broken = broken | _out_of_range(name)
+    return broken
+
+
 def in_range(events: DataFrame, columns: Sequence[str] = HEALTH_COLUMNS) -> DataFrame:
     """Drop rows with a health percentage outside 0..100; null stays."""
     for name in columns:
@@ -165,12 +173,18 @@ def refine_observed(
 
     The first observation has ``rows_in``; the second ``rows_unique`` and the range errors.
     """
+    distinct, seen, unique = distinct_observed(events)
+    return enrich(in_range(distinct), massive_hit), seen, unique
+
+
+def distinct_observed(events: DataFrame) -> tuple[DataFrame, Observation, Observation]:
+    """Typed events, each once, before any is left out; with the same counters."""
     seen, unique = Observation(), Observation()
     typed = cast_types(events).observe(seen, F.count(F.lit(1)).alias("rows_in"))
     distinct = deduplicate(typed).observe(
         unique, F.count(F.lit(1)).alias("rows_unique"), *range_errors()
     )
-    return enrich(in_range(distinct), massive_hit), seen, unique
+    return distinct, seen, unique
 
 
 def refine_metrics(seen: Observation, unique: Observation) -> dict[str, int]:

@@ -10,7 +10,9 @@ from emberlog import constants as C
 from emberlog.operators import contract, dimensions, facts
 from emberlog.operators.profile import stack_tables
 from emberlog.operators.upsert import upsert_dim_player, upsert_dim_raid
+from emberlog.schemas import BRIDGE, BRIDGE_SCHEMA
 from emberlog.session import materialise
+from emberlog.sources.files import exists
 from emberlog.sources.gold import read_gold, write_gold
 from emberlog.sources.silver import read_silver, read_silver_partition
 
@@ -118,6 +120,9 @@ def publish(
         )
         for name in order
     ]
+    # Who took part in which raid, replaced partition by partition like the facts.
+    bridge = frames["fact_player_raid_stats"].select(*BRIDGE_SCHEMA.names)
+    write_gold(bridge, folder, BRIDGE, fact_partitions)
     if rejects:
         results.append(write_gold(stack_tables(*rejects), folder, "rejects", ()))
     return results
@@ -139,49 +144,66 @@ def run_gold(
 
 def run_gold_partition(
     spark: SparkSession, silver: str, folder: str, raid_id: str, event_date: str,
-    policy: str = "fail", **options,
+    policy: str = "fail", fact_partitions: Sequence[str] | None = None, **options,
 ) -> list[dict]:
     """One raid and date; facts of other partitions stay as they are.
 
     Dimensions are merged into what is already published, and running the same partition
-    again changes nothing.
+    again changes nothing.  Of the facts nothing is read: who took part in the raid before
+    is in the raid's own part of the bridge.
     """
     # Facts of a partition that cannot be read whole would look complete.
     events = read_silver_partition(spark, silver, raid_id, event_date, strict=True)
     tables = gold_tables(events, **options)
-    published = read_gold(spark, folder, "fact_player_raid_stats").filter(
-        ~((F.col("raid_id") == raid_id) & (F.col("event_date") == F.lit(event_date).cast("date")))
-    )
+    ensure_bridge(spark, folder, fact_partitions)
+    before = read_gold(spark, folder, BRIDGE).filter(F.col("raid_id") == raid_id)
+    others = before.filter(F.col("event_date") != F.lit(event_date).cast("date"))
+    after = others.select("player_id").unionByName(tables.fact_player_raid_stats.select("player_id"))
     players = merge_players(
         read_gold(spark, folder, "dim_player"), tables.dim_player,
-        published, tables.fact_player_raid_stats,
+        before.select("player_id").distinct(), after.distinct(),
     )
     raids = upsert_dim_raid(read_gold(spark, folder, "dim_raid"), tables.dim_raid)
-    # Materialised first: the merge reads the folder that the write replaces.
+    # Materialised first: the merge reads the folders that the write replaces.
     merged = tables._replace(
         dim_player=materialise(players, "dim_player"), dim_raid=materialise(raids, "dim_raid")
     )
-    return publish(merged, folder, policy)
+    return publish(merged, folder, policy, fact_partitions)
+
+
+def ensure_bridge(
+    spark: SparkSession, folder: str, fact_partitions: Sequence[str] | None = None
+) -> None:
+    """Write the bridge once for a layer that was published without one."""
+    if not exists(spark, f"{folder.rstrip('/')}/{BRIDGE}"):
+        stats = read_gold(spark, folder, "fact_player_raid_stats")
+        write_gold(stats.select(*BRIDGE_SCHEMA.names), folder, BRIDGE, fact_partitions)
 
 
 def merge_players(
-    known: DataFrame, new: DataFrame, published: DataFrame, stats: DataFrame
+    known: DataFrame, new: DataFrame, before: DataFrame, after: DataFrame
 ) -> DataFrame:
-    """Participants after one more partition.
+    """Participants after one raid was computed again.
 
-    Dates widen.  Raid counts of the participants concerned are counted again from the
-    facts, published and new, instead of being added up.
+    ``before`` and ``after`` hold the raid's participants.  Dates widen; raid counts change
+    by one for those who joined the raid or are no longer in it.
     """
-    taken = (
-        published.select("player_id", "raid_id")
-        .join(new.select("player_id"), "player_id", "left_semi")
-        .unionByName(stats.select("player_id", "raid_id"))
-        .distinct()
-        .groupBy("player_id")
-        .agg(F.count("raid_id").alias("_raids"))
+    change = (
+        after.join(before, "player_id", "left_anti").withColumn("_change", F.lit(1).cast("bigint"))
+        .unionByName(before.join(after, "player_id", "left_anti").withColumn("_change", F.lit(-1).cast("bigint")))
+    )
+    held = known.select(
+        "player_id", F.col("total_raids").alias("_raids"), F.col("last_seen_date").alias("_last")
+    )
+    counted = (
+        new.join(held, "player_id", "left").join(change, "player_id", "left")
+        .withColumns({
+            "total_raids": F.coalesce("_raids", F.lit(0)) + F.coalesce("_change", F.lit(0)),
+            "last_seen_date": F.greatest("last_seen_date", "_last"),
+        })
+        .select(*new.columns)
     )
-    counted = new.join(taken, "player_id").withColumn("total_raids", F.col("_raids")).drop("_raids")
-    widened = counted.join(
-        known.select("player_id", F.col("last_seen_date").alias("_last")), "player_id", "left"
-    ).withColumn("last_seen_date", F.greatest("last_seen_date", "_last")).drop("_last")
-    return upsert_dim_player(known, widened, "min")
+    left = known.join(change.filter("_change < 0"), "player_id").join(
+        new.select("player_id"), "player_id", "left_anti"
+    ).withColumn("total_raids", F.col("total_raids") - 1)
+    return upsert_dim_player(known, counted.unionByName(left.select(*new.columns)), "min")

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog import constants as C
@@ -10,7 +10,7 @@ from emberlog.operators import contract, quality, refine
 from emberlog.plans.gold import gold_tables, publish, read_tables
 from emberlog.schemas import EVENT_COLUMNS
 from emberlog.session import materialise
-from emberlog.sources import bronze
+from emberlog.sources import batch_index, bronze
 from emberlog.sources.files import write_table
 from emberlog.sources.silver import read_silver, read_silver_or_empty, touched_only, write_silver
 
@@ -41,29 +41,53 @@ def silver_input(documents: DataFrame, as_of: str | None = None) -> DataFrame:
     return typed_events(documents, as_of).select(*EVENT_COLUMNS, "batch_id", "idx")
 
 
+def batch_documents(
+    spark: SparkSession, layers: Layers, batch_id: str, layout: str = "lines"
+) -> DataFrame:
+    """The documents of the files that hold a batch, found by the index beside Bronze."""
+    index = batch_index.index_path(layers.bronze)
+    batch_index.index_batches(spark, layers.bronze, index, layout)
+    return bronze.read_documents(spark, batch_index.files_of_batch(spark, index, batch_id), layout)
+
+
+def refusal() -> Column:
+    """Why a refined event is no Silver row; null for those that are."""
+    return (
+        F.when(F.col("event_date").isNull(), "no_readable_time")
+        .when(F.col("raid_id").isNull(), "no_raid")
+        .when(refine.out_of_range(), "health_out_of_range")
+    )
+
+
 def run_silver(
     spark: SparkSession, layers: Layers, layout: str = "lines", batch_id: str | None = None,
     incremental: bool = False, as_of: str | None = None,
 ) -> dict:
-    """Bronze to Silver for everything, or for one batch.
+    """Bronze to Silver for everything, or for one batch, whose files alone are opened.
 
     ``incremental`` (always on for one batch) adds only ids that the touched Silver
     partitions lack; otherwise the partitions present in Bronze are replaced.
+
+    One pass parses, types and de-duplicates the documents and marks every event; what has
+    no readable time, no raid or an impossible health goes to ``silver`` below the rejects
+    folder with its reason.  Rows in are Silver rows, rejects, repeats and rows held before.
     """
-    documents = bronze.read_documents(spark, layers.bronze, layout)
-    events = silver_input(documents, as_of)
-    if batch_id is not None:
+    if batch_id is None:
+        events = silver_input(bronze.read_documents(spark, layers.bronze, layout), as_of)
+    else:
+        events = silver_input(batch_documents(spark, layers, batch_id, layout), as_of)
         events, incremental = events.filter(F.col("batch_id") == batch_id), True
-    refined, seen, unique = refine.refine_observed(events)
+    distinct, seen, unique = refine.distinct_observed(events)
+    marked = materialise(refine.enrich(distinct).withColumn("reason", refusal()), "refined")
+    refined = marked.filter("reason IS NULL")
     if incremental:
-        # Used for the partitions touched and for the rows: parse the documents once.
-        refined = materialise(refined, "refined")
         held = touched_only(read_silver_or_empty(spark, layers.silver), refined)
         refined = refine.not_yet_in(refined, held)
-    result = write_silver(refined, layers.silver, "append" if incremental else "overwrite")
-    if not incremental:
-        result |= refine.refine_metrics(seen, unique)
-    return {"stage": "silver", **result}
+    load = "all" if batch_id is None else batch_id
+    refused = marked.filter("reason IS NOT NULL").withColumn("load", F.lit(load))
+    rejected = write_table(refused, f"{layers.rejects.rstrip('/')}/silver", ("load",))
+    result = write_silver(refined.drop("reason"), layers.silver, "append" if incremental else "overwrite")
+    return {"stage": "silver", **result, **refine.refine_metrics(seen, unique), "rejected": rejected}
 
 
 def run_gold_stage(

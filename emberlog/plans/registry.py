@@ -18,7 +18,7 @@ from emberlog.schemas import DIM_PLAYER_SCHEMA
 from emberlog.session import materialise, scratch_path
 from emberlog.sources import bronze, files, gold, silver
 from emberlog.sources.sample_events import encounter_events, with_redelivery
-from emberlog.streaming import delivery, feed, ingest
+from emberlog.streaming import delivery, feed, ingest, metrics
 
 SUM = "decimal(20,4)"
 PREFIX = "player_"
@@ -963,12 +963,18 @@ def single_batch_refine(spark, folder):
 
 @query
 def stream_refine(spark, folder):
-    """Bronze read as a stream in several micro-batches, every event twice."""
+    """Bronze read as a stream in several micro-batches, every event again under the next date."""
     root = scratch_path(spark, "refine")
-    events = with_redelivery(encounter_events(spark, folder))
-    bronze.write_envelopes(
-        bronze.envelopes(events, stamp=F.col("ingestion_timestamp")), f"{root}/bronze"
-    )
+    events = encounter_events(spark, folder)
+    later = events.withColumns({
+        "timestamp": F.timestamp_add("DAY", F.lit(1), F.col("timestamp")),
+        "ingestion_timestamp": F.timestamp_add("HOUR", F.lit(30), F.col("ingestion_timestamp")),
+        "batch_id": F.concat(F.lit("again_"), F.col("batch_id")),
+    })
+    for delivered in (events, later):
+        bronze.write_envelopes(
+            bronze.envelopes(delivered, stamp=F.col("ingestion_timestamp")), f"{root}/bronze"
+        )
     run = ingest.refine_stream(
         spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", max_files=40, as_of=AS_OF
     )
@@ -978,6 +984,61 @@ def stream_refine(spark, folder):
     )
 
 
+@query
+def stream_metrics(spark, folder):
+    """Counters of each micro-batch of a running ingest; one load arrives at a time."""
+    root = scratch_path(spark, "metrics")
+    landing = f"{root}/landing"
+    for events in _two_loads(spark, folder):
+        bronze.write_envelopes(bronze.envelopes(events, stamp=F.col("ingestion_timestamp")), landing)
+        ingest.ingest_stream(
+            spark, landing, f"{root}/bronze", f"{root}/rejects", f"{root}/checkpoint", layout="lines",
+            as_of=AS_OF, check_ids=False, mode="row", counters=f"{root}/counters",
+        ).awaitTermination()
+    counters = metrics.read_counters(spark, f"{root}/counters")
+    return counters.select(
+        F.substring_index("load", "-", -1).cast("bigint").alias("micro_batch"), "events", "accepted", "refused",
+        F.col("first_event").cast("timestamp_ntz").alias("first_event"),
+        F.col("last_event").cast("timestamp_ntz").alias("last_event"), "delay_ms",
+        F.round("mean_delay_ms", 6).alias("mean_delay_ms"),
+    )
+
+
+@query
+def ingest_file_rejects(spark, folder):
+    """A file for each death, some blank and some too large, and one file without a byte."""
+    root = scratch_path(spark, "sizes")
+    events = encounter_events(spark, folder).filter("event_type = 'player_death'")
+    body = F.to_json(F.struct("event_id", "event_type", "raid_id", "source_player_id", "source_player_name", "timestamp"))
+    text = F.when(_number() % 3 == 0, "").when(_number() % 3 == 1, F.rpad(body, 2000, " ")).otherwise(body)
+    lines = events.select(F.concat(F.lit("b"), F.col("event_id")).alias("file"), text.alias("value"))
+    lines.repartition("file").write.partitionBy("file").text(f"{root}/landing")
+    lines.select("value").limit(0).write.text(f"{root}/landing/file=bnone")
+    ingest.ingest_stream(
+        spark, f"{root}/landing", f"{root}/bronze", f"{root}/rejects", f"{root}/checkpoint",
+        as_of=AS_OF, check_ids=False, max_bytes=1500,
+    ).awaitTermination()
+    refused = spark.read.parquet(f"{root}/rejects")
+    return refused.filter(F.col("reasons").isin("empty", "too_large")).select(
+        F.regexp_extract("path", "file=b([^/]+)/", 1).alias("event_id"), "reasons"
+    )
+
+
+@query
+def silver_rejects(spark, folder):
+    """Events that Bronze to Silver refuses, with the reason, and how many are not accounted for."""
+    root = scratch_path(spark, "rejects")
+    events = with_redelivery(encounter_events(spark, folder)).withColumn(
+        "timestamp", F.when(_number() % 7 != 0, F.col("timestamp")))
+    bronze.write_envelopes(bronze.envelopes(events, stamp=F.col("ingestion_timestamp")), f"{root}/bronze")
+    layers = medallion.Layers(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/rejects")
+    counts = medallion.run_silver(spark, layers, as_of=AS_OF)
+    accounted = counts["rows"] + counts["rejected"] + counts["duplicates_removed"]
+    total = spark.createDataFrame([("all", str(counts["rows_in"] - accounted))], "event_id string, reason string")
+    refused = spark.read.parquet(f"{layers.rejects}/silver")
+    return refused.select("event_id", "reason").unionByName(total)
+
+
 @query
 def stream_feed(spark, folder):
     """A consumer that counts the live feed per raid and type."""
@@ -1013,3 +1074,38 @@ def replay_order(spark, folder):
     return plan.select(
         "raid_id", "position", F.substring_index("batch_id", "_", -1).alias("batch_index")
     )
+
+
+@query
+def replay_sent(spark, folder):
+    """What each call of an ordered replay was given: every chunk once, twenty positions a call."""
+    root = scratch_path(spark, "replay")
+    bronze.write_replay(
+        bronze.replay_chunks(encounter_events(spark, folder), CHUNK, "replay"), f"{root}/stored"
+    )
+    calls = []
+
+    def send(chunks):
+        calls.append(len(calls))
+        chunks.select("raid_id", "position", "batch_id", F.size("items").cast("bigint").alias("events")).write.parquet(
+            f"{root}/sent/call={calls[-1]}")
+
+    feed.replay_batches(spark, f"{root}/stored", send, step=20)
+    return spark.read.parquet(f"{root}/sent").select(
+        F.col("call").cast("bigint").alias("call"), "raid_id", "position",
+        F.substring_index("batch_id", "_", -1).alias("batch_index"), "events",
+    )
+
+
+@query
+def gold_rerun_players(spark, folder):
+    """Participants after a partition was published again from a Silver that lost some of it."""
+    root = scratch_path(spark, "rerun")
+    events = encounter_events(spark, folder)
+    silver.write_silver(events, f"{root}/silver")
+    options = {"player_prefix": PREFIX, "sum_type": SUM}
+    gold_plan.run_gold(spark, f"{root}/silver", f"{root}/gold", **options)
+    left = events.filter("raid_id = 'raid007'").filter(~F.col("source_player_id").endswith("3"))
+    silver.write_silver(left, f"{root}/silver")
+    gold_plan.run_gold_partition(spark, f"{root}/silver", f"{root}/gold", "raid007", "2024-01-07", **options)
+    return gold.read_gold(spark, f"{root}/gold", "dim_player").select("player_id", "total_raids")

@@ -121,13 +121,18 @@ DIM_RAID_SCHEMA = _struct(
         "duration_target_ms": _DOUBLE,
     }
 )
+# Who took part in which raid, kept beside the facts.
+BRIDGE = "bridge_player_raid"
+BRIDGE_SCHEMA = _struct({"player_id": _STRING, "raid_id": _STRING, "event_date": _DATE})
 GOLD_SCHEMAS = {
+    BRIDGE: BRIDGE_SCHEMA,
     "fact_raid_summary": RAID_SUMMARY_SCHEMA,
     "fact_player_raid_stats": PLAYER_STATS_SCHEMA,
     "dim_player": DIM_PLAYER_SCHEMA,
     "dim_raid": DIM_RAID_SCHEMA,
 }
 GOLD_PARTITIONS = {
+    BRIDGE: ("raid_id", "event_date"),
     "fact_raid_summary": ("raid_id", "event_date"),
     "fact_player_raid_stats": ("raid_id", "event_date"),
     "dim_player": (),

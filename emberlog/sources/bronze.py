@@ -19,12 +19,14 @@ from emberlog.sources.files import JSON_TIMES, write_table
 LAYOUTS = ("document", "lines")
 BRONZE_PARTITIONS = ("raid_id", "ingest_date")
 EVENT_TEXT = "_event_text"
+FILES = "*.{json,txt}"
+DOCUMENT_SCHEMA = "path string, bytes bigint, modified timestamp, body string"
 
 
 def _text_options(source, layout: str):
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    source = source.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,txt}")
+    source = source.option("recursiveFileLookup", "true").option("pathGlobFilter", FILES)
     return source.option("wholetext", "true") if layout == "document" else source
 
 
@@ -40,11 +42,25 @@ def _described(text: DataFrame, layout: str) -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
-    """JSON values below a folder as text, with file path, size and time."""
+def read_documents(
+    spark: SparkSession, path: str | list[str], layout: str = "document"
+) -> DataFrame:
+    """JSON values below a folder, or in a list of files, as text with file path, size and time."""
+    if not path:
+        return spark.createDataFrame([], DOCUMENT_SCHEMA)
     return _described(_text_options(spark.read.format("text"), layout).load(path), layout)
 
 
+def stream_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of arriving files by path, size and time; contents are not read."""
+    source = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary"
+    ).option("recursiveFileLookup", "true").option("pathGlobFilter", FILES)
+    if max_files:
+        source = source.option("maxFilesPerTrigger", str(max_files))
+    return source.load(path).select("path", "length", "modificationTime")
+
+
 def stream_documents(
     spark: SparkSession, path: str, layout: str = "document", max_files: int | None = None
 ) -> DataFrame:

@@ -21,6 +21,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path)
 
 
+def void_files(spark: SparkSession, path: str, endings: tuple[str, ...] = (".json", ".txt")) -> list[str]:
+    """Files below a folder without a byte.
+
+    Spark's file sources leave these out of every listing, so the file system is asked.
+    """
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed, found = system.listFiles(hadoop_path, True), []
+    while listed.hasNext():
+        status = listed.next()
+        if not status.getLen() and status.getPath().getName().endswith(endings):
+            found.append(status.getPath().toString())
+    return found
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet table, or an empty one with the schema when nothing was written yet."""
     if exists(spark, path):

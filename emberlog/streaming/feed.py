@@ -10,8 +10,9 @@ from emberlog.functions.paths import chunk_number, raid_of
 from emberlog.operators.ordered import with_running
 from emberlog.operators.refine import live_feed
 from emberlog.plans.medallion import typed_events
-from emberlog.session import materialise
+from emberlog.session import materialise, scratch_path
 from emberlog.sources.bronze import read_documents, stream_documents, unpacked
+from emberlog.sources.files import read_or_empty, write_table
 
 
 def feed(
@@ -37,15 +38,46 @@ def subscribe(
     return writer.trigger(availableNow=True).start()
 
 
-def replay_plan(spark: SparkSession, path: str, max_batches: int | None = None) -> DataFrame:
-    """Stored chunks in the order of their number per raid, with their position; bounded if asked."""
-    chunks = unpacked(read_documents(spark, path, "lines")).select(
+def stored_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """Stored chunks with their number, raid and event texts."""
+    return unpacked(read_documents(spark, path, "lines")).select(
         "path", "event_count", "batch_id", chunk_number(F.col("batch_id")).alias("chunk"),
-        F.coalesce(raid_of(F.col("path")), F.lit("unknown")).alias("raid_id"),
+        F.coalesce(raid_of(F.col("path")), F.lit("unknown")).alias("raid_id"), "items",
     )
+
+
+def _ordered(chunks: DataFrame, order: list[str], max_batches: int | None) -> DataFrame:
     if max_batches is not None:
-        chunks = chunks.orderBy("raid_id", "chunk", "batch_id").limit(max_batches)
-    return with_running(chunks, ["raid_id"], [F.col("chunk"), F.col("batch_id")], number="position")
+        chunks = chunks.orderBy("raid_id", *order).limit(max_batches)
+    return with_running(chunks, ["raid_id"], [F.col(c) for c in order], number="position")
+
+
+def replay_plan(spark: SparkSession, path: str, max_batches: int | None = None) -> DataFrame:
+    """Stored chunks in the order of their number per raid, with their position; bounded if asked."""
+    return _ordered(stored_chunks(spark, path).drop("items"), ["chunk", "batch_id"], max_batches)
+
+
+def replay_steps(
+    spark: SparkSession, path: str, max_batches: int | None = None, step: int = 1000
+) -> tuple[DataFrame, int]:
+    """Stored chunks with position and step, laid in one folder per step; and the number of steps.
+
+    The documents are parsed once, into a table.  Positions are worked out on its narrow
+    columns, and the chunks are written again in the order in which they will be read.
+    """
+    chunks = materialise(
+        stored_chunks(spark, path).withColumn("document", F.monotonically_increasing_id()), "chunks"
+    )
+    places = materialise(
+        _ordered(chunks.drop("items"), ["chunk", "batch_id", "document"], max_batches)
+        .withColumn("step", F.floor((F.col("position") - 1) / step).cast("int")),
+        "places",
+    )
+    due = places.join(chunks.select("document", "items"), "document").drop("document")
+    folder = scratch_path(spark, "steps")
+    write_table(due, folder, ("step",), sort=["raid_id", "position"])
+    steps = places.agg(F.coalesce(F.max("step") + 1, F.lit(0))).first()[0]
+    return read_or_empty(spark, folder, due.schema), steps
 
 
 def replay_batches(
@@ -54,13 +86,11 @@ def replay_batches(
 ) -> int:
     """Hand stored chunks over in order, ``step`` positions of every raid at a time.
 
-    ``send`` gets the documents of a step with their position; it is called for the next
-    step only after it returned.  Returns the number of chunks handed over.
+    ``send`` gets the documents of a step with their position, read from that step's folder
+    alone; it is called for the next step only after it returned.  Returns the number of
+    chunks handed over.
     """
-    plan = materialise(replay_plan(spark, path, max_batches), "replay")
-    last = plan.agg(F.max("position")).first()[0] or 0
-    documents = unpacked(read_documents(spark, path, "lines")).select("path", "batch_id", "items")
-    for first in range(1, last + 1, step):
-        due = plan.filter(F.col("position").between(first, first + step - 1))
-        send(due.join(documents, ["path", "batch_id"]))
-    return plan.count()
+    chunks, steps = replay_steps(spark, path, max_batches, step)
+    for number in range(steps):
+        send(chunks.filter(F.col("step") == number))
+    return chunks.count()

@@ -4,25 +4,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from emberlog.functions.numbers import whole_millis_between
+from emberlog.sources.files import write_table
+
 COLUMNS = (
     "name string, batch_id bigint, started string, rows bigint, rows_per_second double, "
     "duration_ms bigint"
 )
 
 
-def stream_counters() -> list[Column]:
-    """Observed per micro-batch: events, raids' span and mean ingest latency."""
+def ingest_counters() -> list[Column]:
+    """Observed while a micro-batch is written: events, verdicts, time span, arrival delay."""
+    delay = whole_millis_between(F.col("timestamp"), F.col("ingestion_timestamp"))
     return [
         F.count(F.lit(1)).alias("events"),
+        F.count_if("accepted").alias("accepted"),
+        F.count_if(~F.col("accepted")).alias("refused"),
         F.min("timestamp").alias("first_event"),
         F.max("timestamp").alias("last_event"),
-        F.avg("ingest_latency_ms").alias("mean_latency_ms"),
+        F.count(delay).alias("delayed_events"),
+        F.sum(delay).alias("delay_ms"),
     ]
 
 
-def observed(stream: DataFrame, name: str = "ingest") -> DataFrame:
-    """Attach the counters to a stream of Silver-shaped events."""
-    return stream.observe(name, *stream_counters())
+COUNTERS = (
+    "events bigint, accepted bigint, refused bigint, first_event timestamp, last_event timestamp, "
+    "delayed_events bigint, delay_ms bigint, load string"
+)
+
+
+def write_counters(spark: SparkSession, folder: str, load: str, counters: dict) -> int:
+    """One row for a micro-batch, in a folder of its load: handled again, it replaces its own."""
+    row = tuple(counters[c.split()[0]] for c in COUNTERS.split(", ")[:-1]) + (load,)
+    return write_table(spark.createDataFrame([row], COUNTERS), folder, ("load",))
+
+
+def read_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of every micro-batch, with the mean delay between event and arrival."""
+    rows = spark.read.schema(COUNTERS).parquet(folder)
+    return rows.withColumn("mean_delay_ms", F.try_divide("delay_ms", "delayed_events"))
 
 
 def _entry(progress) -> tuple:

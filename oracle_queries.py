@@ -750,6 +750,25 @@ ORACLES = {
         WHERE batch_id = 'b000000001' AND NOT {BAD_HEALTH} AND NOT {BAD_AFTER}"""),
     "stream_refine": q(f"""SELECT event_id, event_type, raid_id, event_date, damage_amount,
         {MASSIVE} AS is_massive_hit FROM refined""", REFINED),
+    "stream_metrics": q(f"""SELECT CAST(CASE WHEN {FIRST} THEN 0 ELSE 1 END AS BIGINT) AS micro_batch,
+        count(*) AS events, count(*) FILTER (broken = '') AS accepted, count(*) FILTER (broken <> '') AS refused,
+        min(timestamp) AS first_event, max(timestamp) AS last_event, CAST(sum(k * 37) AS BIGINT) AS delay_ms,
+        round(CAST(sum(k * 37) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS mean_delay_ms
+        FROM marked GROUP BY ALL""", MARKED),
+    "ingest_file_rejects": q("""SELECT event_id, CASE n % 3 WHEN 0 THEN 'empty' ELSE 'too_large' END AS reasons
+        FROM ev WHERE event_type = 'player_death' AND n % 3 < 2 UNION ALL SELECT 'none', 'empty'"""),
+    "silver_rejects": q("""SELECT event_id,
+        CASE WHEN n % 7 = 0 THEN 'no_readable_time' ELSE 'health_out_of_range' END AS reason
+        FROM ev WHERE n % 7 = 0 OR target_entity_health_pct_before NOT BETWEEN 0 AND 100
+          OR target_entity_health_pct_after NOT BETWEEN 0 AND 100
+        UNION ALL SELECT 'all', '0'"""),
+    "replay_sent": q("""SELECT (position - 1) // 20 AS call, raid_id, position,
+        CASE WHEN position < 10000 THEN printf('%04d', position) ELSE CAST(position AS VARCHAR) END AS batch_index,
+        least(25, n - (position - 1) * 25) AS events
+        FROM (SELECT raid_id, n, unnest(range(1, (n + 24) // 25 + 1)) AS position
+          FROM (SELECT raid_id, count(*) AS n FROM ev GROUP BY raid_id))"""),
+    "gold_rerun_players": q(f"""SELECT source_player_id AS player_id, count(DISTINCT raid_id) AS total_raids
+        FROM ev WHERE {PLAYERS} AND NOT (raid_id = 'raid007' AND source_player_id LIKE '%3') GROUP BY ALL"""),
     "stream_feed": q("""SELECT raid_id, event_type, count(*) AS events,
         count(coalesce(nullif(damage_amount, 0), nullif(healing_amount, 0))) AS with_amount
         FROM ev GROUP BY ALL"""),

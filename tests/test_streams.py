@@ -3,7 +3,7 @@ import json
 import pytest
 
 from emberlog.operators import refine
-from emberlog.sources import bronze, silver
+from emberlog.sources import bronze, id_index, silver
 from emberlog.sources.sample_events import with_redelivery
 from emberlog.streaming import delivery, feed, ingest, metrics
 from pyspark.errors import PySparkException
@@ -143,6 +143,66 @@ def test_ingest_retry_replaces_its_own_output(spark, tmp_path):
     assert bronze.read_events(spark, str(tmp_path / "b"), "lines").count() == 2
 
 
+def test_repeats_under_another_date_are_found(spark, tmp_path):
+    for n, day in enumerate(("01", "02", "03")):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        again = [event(i, timestamp=f"2024-01-{day}T00:00:00Z", raid_id=f"raid00{n + 1}") for i in (1, 2, 10 + n)]
+        (tmp_path / "in" / f"{n}.json").write_text(json.dumps(again))
+        ingest.refine_stream(spark, str(tmp_path / "in"), str(tmp_path / "s"), str(tmp_path / f"c{n % 2}"),
+                             layout="document", as_of=AS_OF).awaitTermination()
+    rows = silver.read_silver(spark, str(tmp_path / "s")).collect()
+    assert sorted((r.event_id[-2:], str(r.event_date)) for r in rows) == [
+        ("01", "2024-01-01"), ("02", "2024-01-01"), ("10", "2024-01-01"), ("11", "2024-01-02"), ("12", "2024-01-03")]
+
+
+def test_refinement_recovers_between_index_and_rows(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([event(1), event(2)]))
+    documents = bronze.read_documents(spark, str(tmp_path / "in"))
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest, "write_table", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.refine_batch(documents, str(tmp_path / "s"), AS_OF, load="x-1")
+    assert ingest.refine_batch(documents, str(tmp_path / "s"), AS_OF, load="x-1") == 2
+    assert ingest.refine_batch(documents, str(tmp_path / "s"), AS_OF, load="x-1") == 0
+    assert ingest.refine_batch(documents, str(tmp_path / "s"), AS_OF, load="x-2") == 0
+    assert silver.read_silver(spark, str(tmp_path / "s")).count() == 2
+
+
+def test_index_reads_the_buckets_of_its_ids_only(spark, sample, tmp_path):
+    index = str(tmp_path / "ids")
+    id_index.add_ids(sample, index, "a")
+    some = sample.limit(1)
+    held = id_index.held_ids(spark, index, some)
+    files = held.select(F.input_file_name()).distinct().count()
+    assert files == 1 and held.join(some, "event_id", "left_semi").count() == 1
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+
+
+def test_files_are_judged_by_size_before_they_are_read(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "batch_void.json").write_text("")
+    (landing / "batch_huge.json").write_text(json.dumps([event(1)]) + " " * 5000)
+    (landing / "batch_good.json").write_text(json.dumps([event(2)]))
+    (landing / "batch_text.json").write_text("not json")
+    args = (spark, str(landing), str(tmp_path / "b"), str(tmp_path / "r"), str(tmp_path / "c"))
+    ingest.ingest_stream(*args, as_of=AS_OF, max_bytes=4000, counters=str(tmp_path / "n")).awaitTermination()
+    refused = {(r.batch_id, r.reasons, r.event) for r in spark.read.parquet(str(tmp_path / "r")).collect()}
+    assert refused == {("void", "empty", None), ("huge", "too_large", None), ("text", "malformed", "not json")}
+    counters = metrics.read_counters(spark, str(tmp_path / "n")).collect()
+    assert [(r.events, r.accepted, r.refused) for r in counters] == [(1, 1, 0)]
+
+
+def test_a_micro_batch_of_unusable_files_only(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "batch_void.json").write_text("")
+    ingest.ingest_stream(spark, str(tmp_path / "landing"), str(tmp_path / "b"), str(tmp_path / "r"), str(tmp_path / "c"),
+                         as_of=AS_OF).awaitTermination()
+    assert [r.reasons for r in spark.read.parquet(str(tmp_path / "r")).collect()] == ["empty"]
+
+
 def test_two_consumers_have_their_own_position(spark, sample, stored, tmp_path):
     stream = feed.feed(spark, stored, max_files=15)
     counts = {"one": 0, "two": 0}
@@ -166,6 +226,10 @@ def test_replay_plan(spark, sample, tmp_path):
     sent = []
     assert feed.replay_batches(spark, path, lambda df: sent.append(df.select("position").distinct().collect()), step=1) == len(plan)
     assert [{r.position for r in step} for step in sent] == [{i + 1} for i in range(max(r.position for r in plan))]
+    steps, n = feed.replay_steps(spark, path, step=2)
+    one = steps.filter(F.col("step") == n - 1)
+    assert all(f"step={n - 1}/" in r[0] for r in one.select(F.input_file_name()).distinct().collect())
+    assert "PartitionFilters: [isnotnull(step" in one._jdf.queryExecution().executedPlan().toString()
     sizes = bronze.batch_report(bronze.read_documents(spark, path, "lines"))
     assert sizes.filter("event_count > 10").isEmpty()
     assert sizes.agg(F.sum("event_count")).first()[0] == sample.count()
