@@ -38,12 +38,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import batch_of, map_arrow, pieces_of, table
+from emberlog.llm.common import batch_of, map_arrow, packed, pieces_of, table, unpacked
+from emberlog.session import small_side
 
 NO_ID = -(1 << 63)
 BITS = 18
 BUCKETS = 1 << BITS
-HISTOGRAM = 16
+HISTOGRAM = 64
 BLOCK = 1024
 # Hashing takes some twenty bytes of working memory for each byte of a chunk.
 CHUNK = 1 << 20
@@ -152,8 +153,12 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def histogram(numbers: np.ndarray) -> np.ndarray:
-    """How many shingles of a set fall in each of 16 parts of the hash space."""
-    return np.bincount((numbers & _U(HISTOGRAM - 1)).astype(np.int64), minlength=HISTOGRAM).astype(np.int32)
+    """How many shingles of a set fall in each of 64 parts of the hash space, 255 at most.
+
+    Counts cut at 255 are never further apart than the counts themselves, so the filter stays safe.
+    """
+    counts = np.bincount((numbers & _U(HISTOGRAM - 1)).astype(np.int64), minlength=HISTOGRAM)
+    return np.minimum(counts, 255).astype(np.uint8)
 
 
 def facts_of(docs: DataFrame, size: int, percent: int, ranks) -> DataFrame:
@@ -237,7 +242,7 @@ class Group:
                 self.items += [numbers[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
                 texts, held = [], 0
         self.n = np.array([len(i) for i in self.items], np.int64)
-        self.bins = np.stack([histogram(i) for i in self.items])
+        self.bins = np.stack([histogram(i) for i in self.items]).astype(np.int16)
 
     def candidates(self, i: int, others: np.ndarray) -> np.ndarray:
         """Those of ``others`` that pass the length, positional and suffix filters."""
@@ -338,7 +343,7 @@ def _screener(percent: int):
 
     def settle(rows: pa.Table) -> pa.Table:
         token, n, pos = (rows[c].to_numpy() for c in ("token", "n", "pos"))
-        bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.int32).reshape(len(n), HISTOGRAM)
+        bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(len(n), HISTOGRAM).astype(np.int16)
         starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(token)]]))
         good = np.zeros(len(n), bool)
@@ -596,8 +601,8 @@ def linked(docs: DataFrame, size: int, percent: int, block: int) -> DataFrame:
         F.min(F.when(F.col("doc").isNull(), F.col("digest"))).alias("heir"), F.first("n").alias("n"),
         F.first("prefix").alias("prefix"), F.first("bins").alias("bins")).withColumn("doc", F.monotonically_increasing_id()), "classes")
     postings = postings_of(classes)
-    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    known = postings.join(often.hint("shuffle_hash"), "token")
+    # Postings travel once: the number of rows of a shingle is counted where they meet.
+    known = postings.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_n > 1")
     # Crowds beyond a block are not screened, as that would grow with their square, nor gathered.
     crowds = known.where(F.col("_n") > block).select("token", "doc", "n", "pos")
     met = known.where(F.col("_n") <= block).drop("_n").join(classes.select("doc", "bins"), "doc")
@@ -645,12 +650,14 @@ def one_of_each(docs: DataFrame, *, size: int = 3, percent: int = 90, block: int
     id one row stays; documents without a shingle all stay.
     """
     rows = table(linked(docs, size, percent, block), "linked")
-    extra = rows.where("n > 0 and doc <> least").select(F.col("doc").alias("_gone")).distinct()
-    stay = docs.where("doc_id is not null").join(extra, F.col("doc_id") == F.col("_gone"), "left_anti")
+    whole = packed(docs, id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
+    # Texts need no shuffle where the documents that go are few enough to be sent to all tasks.
+    extra = small_side(rows.where("n > 0 and doc <> least").select(F.col("doc").alias("id")).distinct(), "gone")
+    stay = whole.where("id is not null").join(extra, "id", "left_anti")
     unnamed = rows.where("doc is null and (n = 0 or (least is null and digest = heir))").select(
-        F.col("digest").alias("_digest"), (F.col("n") > 0).alias("_one")).distinct()
+        "digest", (F.col("n") > 0).alias("one")).distinct()
     if not unnamed.limit(1).count():
-        return stay
-    alone = docs.where("doc_id is null").withColumn("_digest", digest_of(F.col("text").cast("string"))).join(unnamed, "_digest")
-    one = alone.where("_one").dropDuplicates(["_digest"])
-    return stay.unionByName(one.select(docs.columns)).unionByName(alone.where("not _one").select(docs.columns))
+        return unpacked(stay, docs)
+    alone = whole.where("id is null").withColumn("digest", digest_of(F.col("text"))).join(unnamed, "digest")
+    one = alone.where("one").dropDuplicates(["digest"])
+    return unpacked(stay.select("doc").unionByName(one.select("doc")).unionByName(alone.where("not one").select("doc")), docs)
