@@ -36,6 +36,17 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``columns`` beside the whole row as ``doc``, so that no name of the row can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[
+        value.alias(name) for name, value in columns.items()])
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **replaced: Column) -> DataFrame:
+    """The rows' own columns again, in order, some of them ``replaced``."""
+    return rows.select(*[replaced.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that no model may learn from: one in five, by the id's checksum."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import ship_package, table
+from emberlog.llm.common import packed, ship_package, table, unpacked
 
 NONE = "\x00none"
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
@@ -160,9 +160,10 @@ def with_probability(weighted: DataFrame, budget: float) -> DataFrame:
     return weighted.withColumn("probability", F.least(F.col("weight") * high, F.lit(1.0)))
 
 
-def chance(doc_id: Column, seed: int = 7) -> Column:
-    """A number from 0 to 1 that depends on the id alone."""
-    return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+def chance(doc_id: Column, text: Column, seed: int = 7) -> Column:
+    """A number from 0 to 1 that depends on the id alone, or on the text where there is none."""
+    drawn = F.xxhash64(F.when(doc_id.isNull(), text).otherwise(F.lit(None).cast("string")), F.lit(seed))
+    return F.pmod(F.when(doc_id.isNull(), drawn).otherwise(F.xxhash64(doc_id, F.lit(seed))), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
 def mixed(docs: DataFrame, *, budget: float = 0.5, seed: int = 7, source: Column | None = None,
@@ -177,9 +178,13 @@ def mixed(docs: DataFrame, *, budget: float = 0.5, seed: int = 7, source: Column
         odds = F.broadcast(odds)
     key = F.struct("_cell.source", "_cell.lang", "_cell.topic")
     return marked.join(odds, key == F.col("_key"), "left").drop("_key").withColumn(
-        "_kept", chance(F.col("doc_id"), seed) < F.col("_probability"))
+        "_kept", chance(F.col("doc_id"), F.col("text").cast("string"), seed) < F.col("_probability"))
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The documents drawn to the target mix, with their own columns."""
-    return mixed(docs, **options).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents drawn to the target mix, with their own columns, whatever their names."""
+    given = {k: options.pop(k, None) for k in ("source", "lang", "topic")}
+    columns = {k: F.col(k) if v is None else v for k, v in given.items() if v is not None or k in docs.columns and k != "topic"}
+    whole = packed(docs, doc_id=F.col("doc_id"), text=F.col("text").cast("string"), **columns)
+    chosen = {k: F.col(k) for k, v in given.items() if v is not None}
+    return unpacked(mixed(whole, **chosen, **options).where("_kept"), docs)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import batch_of, map_arrow, pieces_of, table
+from emberlog.llm.common import batch_of, map_arrow, packed, pieces_of, table, unpacked
 
 # Kinds in listing order, and the base patterns.
 KINDS = ("assign", "access", "hex", "live")
@@ -134,32 +134,32 @@ def find_secrets(docs: DataFrame, *, owner: Column | None = None, repo: Column |
 def redact(docs: DataFrame, *, max_broadcast: int = 20_000, **options) -> DataFrame:
     """The documents with the live secrets of their texts replaced by ``[kind]``.
 
-    Keeps every row and column; ``n_chars`` follows the new text where present.  Widely
-    copied examples stay.  Rows are matched by id and checksum of the text.
+    Keeps every row and column, whatever their names; ``n_chars`` follows the new text where
+    present.  Widely copied examples stay.  Rows are matched by 64 bits of id and text: rows
+    that share them have the same text, hence the same spans.
     """
-    spans = find_secrets(docs, **options).where(F.exists("spans", lambda s: s["live"])).select(
-        F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), F.col("spans").alias("_spans")
-    ).dropDuplicates(["_id", "_crc"])
+    key = F.xxhash64(F.col("doc_id"), F.col("text").cast("string"))
+    found = find_secrets(docs.withColumn("doc_id", key), **options)
+    spans = found.where(F.exists("spans", lambda s: s["live"])).select(
+        F.col("doc_id").alias("key"), "spans").dropDuplicates(["key"])
     # Few documents hold live secrets; where they are few enough, texts need no shuffle.
     spans = table(spans, "live")
     if spans.limit(max_broadcast + 1).count() <= max_broadcast:
         spans = F.broadcast(spans)
-    crc = F.crc32(F.coalesce(docs["text"], F.lit("")).cast("binary"))
-    joined_docs = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("_id")) & (crc == F.col("_crc")), "left")
+    joined = packed(docs, key=key, text=F.col("text").cast("string")).join(spans, "key", "left")
 
     def step(state: Column, s: Column) -> Column:
-        value = F.substring(F.col("text"), (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int"))
+        between = F.substring(F.col("text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
         return F.when(s["live"] & (s["start"] >= state["at"]), F.struct(
-            F.concat(state["out"], F.substring(F.col("text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int")),
-                     F.lit("["), s["kind"], F.lit("]")).alias("out"), s["stop"].alias("at"))).otherwise(state)
+            F.concat(state["out"], between, F.lit("["), s["kind"], F.lit("]")).alias("out"), s["stop"].alias("at"))).otherwise(state)
 
     merged = F.aggregate(
-        F.array_sort(F.col("_spans")),
+        F.array_sort(F.col("spans")),
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")), step,
         lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.length("text"))))
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(merged)
-    out = joined_docs.withColumn("text", clean)
+    out = joined.withColumn("clean", F.when(F.col("spans").isNull(), F.col("text")).otherwise(merged))
+    replaced = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
-            F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        replaced["n_chars"] = F.when(F.col("spans").isNull(), F.col("doc").getField("n_chars")).otherwise(F.length("clean").cast(kind))
+    return unpacked(out, docs, **replaced)
