@@ -158,7 +158,12 @@ def reconcile(source: DataFrame, target: DataFrame, name: str) -> DataFrame:
     """Row counts of two layers and their difference."""
     rows_in = source.agg(F.count(F.lit(1)).alias("source_rows"))
     rows_out = target.agg(F.count(F.lit(1)).alias("target_rows"))
-    return rows_in.withColumn("target_rows", rows_out.scalar()).select(
+    return reconcile_counts(rows_in.withColumn("target_rows", rows_out.scalar()), name)
+
+
+def reconcile_counts(counts: DataFrame, name: str) -> DataFrame:
+    """The same from one row of ``source_rows`` and ``target_rows``, however they were counted."""
+    return counts.select(
         F.lit(name).alias("layer"),
         "source_rows",
         "target_rows",
@@ -290,6 +295,44 @@ def schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def layer_comparison(
+    before: DataFrame, after: DataFrame, files_before: DataFrame, files_after: DataFrame
+) -> DataFrame:
+    """Two written layers in one report: schema, sizes, rows and massive hits.
+
+    Rows are ``aspect, item, before, after``.  Both layers are counted by one scan of a few
+    columns each; files and bytes come from their listings.
+    """
+    changes = schema_changes(before, after).select(
+        F.lit("column").alias("aspect"), F.col("column").alias("item"),
+        F.coalesce("type_before", F.lit("absent")).alias("before"),
+        F.coalesce("type_after", F.lit("absent")).alias("after"),
+    )
+    sizes = size_change(files_before, files_after)
+    text = lambda name: F.col(name).cast("string")
+    listed = _report(sizes, ("files", "files", text("files_before"), text("files_after")),
+                     ("size", "bytes", text("bytes_before"), text("bytes_after")),
+                     ("size", "reduction_pct", F.lit(None).cast("string"), F.round("reduction_pct", 1).cast("string")))
+
+    def counted(frame: DataFrame) -> DataFrame:
+        hits = F.count_if("is_massive_hit") if "is_massive_hit" in frame.columns else F.lit(None).cast("bigint")
+        return frame.agg(F.count(F.lit(1)).alias("n"), hits.alias("hits"))
+
+    old, new = counted(before), counted(after)
+    both = old.withColumnsRenamed({"n": "n_before", "hits": "hits_before"}).withColumns({
+        "n_after": new.select("n").scalar(), "hits_after": new.select("hits").scalar()})
+    rows = _report(both, ("rows", "rows", text("n_before"), text("n_after")),
+                   ("rows", "massive_hits", text("hits_before"), text("hits_after")))
+    return stack_tables(changes, listed, rows)
+
+
+def _report(frame: DataFrame, *rows: tuple[str, str, Column, Column]) -> DataFrame:
+    return frame.select(F.inline(F.array(*[
+        F.struct(F.lit(aspect).alias("aspect"), F.lit(item).alias("item"), old.alias("before"), new.alias("after"))
+        for aspect, item, old, new in rows
+    ])))
+
+
 def size_change(before: DataFrame, after: DataFrame) -> DataFrame:
     """Files and bytes of two layers (from ``files.inventory``) and the size saved."""
     old = before.agg(F.count(F.lit(1)).alias("files_before"), F.sum("length").alias("bytes_before"))

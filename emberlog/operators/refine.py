@@ -73,9 +73,12 @@ def deduplicate(
     events: DataFrame,
     keys: Sequence[str] = ("event_id",),
     order: Sequence[str] = ("ingestion_timestamp", "batch_id", "idx"),
+    copies: str | None = None,
 ) -> DataFrame:
     """Keep the earliest delivery of each event.
 
+    ``copies`` names a column for the number of deliveries, counted in the same aggregation.
+
     Taking the smallest row is an aggregation, so each task first reduces its own copies:
     an id delivered a billion times shuffles one row per task, where a ranking window
     would gather all copies in one place.  All columns take part in the comparison, so
@@ -84,11 +87,11 @@ def deduplicate(
     ranked = [c for c in order if c in events.columns and c not in keys]
     rest = [c for c in events.columns if c not in keys and c not in ranked]
     smallest = F.min(F.struct(*ranked, *rest)).alias("_kept")
-    return (
-        events.groupBy(*keys)
-        .agg(smallest)
-        .select(*[F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in events.columns])
-    )
+    columns = [F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in events.columns]
+    if copies is None:
+        return events.groupBy(*keys).agg(smallest).select(*columns)
+    counted = events.groupBy(*keys).agg(smallest, F.count(F.lit(1)).alias(copies))
+    return counted.select(*columns, copies)
 
 
 def _out_of_range(name: str) -> Column:
@@ -200,12 +203,13 @@ def refine_metrics(seen: Observation, unique: Observation) -> dict[str, int]:
 
 
 def refine_report(events: DataFrame) -> DataFrame:
-    """The same counters as one row, for use as a query."""
-    typed = cast_types(events)
-    per_id = deduplicate(typed).agg(F.count(F.lit(1)).alias("rows_unique"), *range_errors())
-    rows_in = typed.agg(F.count(F.lit(1)).alias("rows_in"))
+    """The same counters as one row, for use as a query; one scan of the events."""
+    per_id = deduplicate(cast_types(events), copies="_copies").agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_in"),
+        F.count(F.lit(1)).alias("rows_unique"), *range_errors(),
+    )
     bad = [F.col(f"bad_{c}") for c in HEALTH_COLUMNS]
-    return per_id.withColumn("rows_in", rows_in.scalar()).select(
+    return per_id.select(
         "rows_in",
         (F.col("rows_in") - F.col("rows_unique")).alias("duplicates_removed"),
         *bad,

@@ -563,7 +563,8 @@ def raid_fk(spark, folder):
 
 @query
 def share_checks(spark, folder):
-    return quality.check_shares(_stats(encounter_events(spark, folder))).drop("observed")
+    checks = quality.check_shares(_stats(encounter_events(spark, folder)))
+    return checks.withColumn("observed", F.col("observed").cast("double"))
 
 
 @query
@@ -595,8 +596,9 @@ def label_checks(spark, folder):
 
 @query
 def layer_reconciliation(spark, folder):
-    events = with_redelivery(encounter_events(spark, folder))
-    return quality.reconcile(events, refine.refine(events), "silver")
+    report = refine.refine_report(with_redelivery(encounter_events(spark, folder)))
+    counts = report.select(F.col("rows_in").alias("source_rows"), F.col("rows_after_validation").alias("target_rows"))
+    return quality.reconcile_counts(counts, "silver")
 
 
 @query
@@ -1109,3 +1111,23 @@ def gold_rerun_players(spark, folder):
     silver.write_silver(left, f"{root}/silver")
     gold_plan.run_gold_partition(spark, f"{root}/silver", f"{root}/gold", "raid007", "2024-01-07", **options)
     return gold.read_gold(spark, f"{root}/gold", "dim_player").select("player_id", "total_raids")
+
+
+@query
+def layer_comparison(spark, folder):
+    """Raw events as Parquet against the Silver layer made of them: schema, files, rows, massive hits.
+
+    Bytes depend on the codec, so they are compared with a floor of one byte an event.
+    """
+    root = scratch_path(spark, "compare")
+    events = with_redelivery(encounter_events(spark, folder))
+    files.write_table(events.drop("event_date", "idx"), f"{root}/raw")
+    silver.write_silver(refine.refine(events), f"{root}/silver")
+    raw, refined = spark.read.parquet(f"{root}/raw"), silver.read_silver(spark, f"{root}/silver")
+    report = quality.layer_comparison(
+        raw, refined, *[files.inventory(spark, f"{root}/{layer}", "*.parquet") for layer in ("raw", "silver")])
+    size = F.col("aspect").isin("size", "files")
+    kept = report.filter(~size).unionByName(
+        report.filter(F.col("item") == "bytes").select(
+            "aspect", "item", *[(F.col(c).cast("bigint") > raw.count() // 2).cast("string").alias(c) for c in ("before", "after")]))
+    return kept

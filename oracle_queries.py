@@ -577,10 +577,11 @@ ORACLES = {
         SELECT raid_id, 'dim' FROM older WHERE raid_id NOT IN (SELECT raid_id FROM summ)""",
         SUMM, dim_raids("older", FIRST)),
     "share_checks": q(f"""SELECT 'damage_share' AS check_id, raid_id AS scope,
-        {SHARE_STATUS.format('damage_share')} AS status, '1' AS expected
+        {SHARE_STATUS.format('damage_share')} AS status, '1' AS expected,
+        CAST(round(sum(damage_share), 4) AS DOUBLE) AS observed
         FROM stats GROUP BY raid_id UNION ALL
-        SELECT 'healing_share', raid_id, {SHARE_STATUS.format('healing_share')}, '1'
-        FROM stats GROUP BY raid_id""", SUMM, STATS),
+        SELECT 'healing_share', raid_id, {SHARE_STATUS.format('healing_share')}, '1',
+        CAST(round(sum(healing_share), 4) AS DOUBLE) FROM stats GROUP BY raid_id""", SUMM, STATS),
     "coherence": q("""SELECT check_id, status, expected, count(*) AS scopes FROM (
         SELECT 'player_fk' AS check_id, 'ok' AS status, '0 orphan players' AS expected
         UNION ALL SELECT 'raid_fk', 'ok', '0 unmatched raids'
@@ -769,6 +770,19 @@ ORACLES = {
           FROM (SELECT raid_id, count(*) AS n FROM ev GROUP BY raid_id))"""),
     "gold_rerun_players": q(f"""SELECT source_player_id AS player_id, count(DISTINCT raid_id) AS total_raids
         FROM ev WHERE {PLAYERS} AND NOT (raid_id = 'raid007' AND source_player_id LIKE '%3') GROUP BY ALL"""),
+    "layer_comparison": q(f"""SELECT 'column' AS aspect, 'batch_id' AS item, 'string' AS before, 'absent' AS after
+        UNION ALL SELECT 'column', 'event_date', 'absent', 'date'
+        UNION ALL SELECT 'column', 'ingest_latency_ms', 'absent', 'bigint'
+        UNION ALL SELECT 'column', 'is_massive_hit', 'absent', 'boolean'
+        UNION ALL SELECT 'column', 'ingestion_timestamp', 'timestamp_ntz', 'timestamp'
+        UNION ALL SELECT 'column', 'timestamp', 'timestamp_ntz', 'timestamp'
+        UNION ALL SELECT 'size', 'bytes', 'true', 'true'
+        UNION ALL SELECT 'rows', 'rows', CAST((SELECT count(*) FROM twice) AS VARCHAR), CAST(count(*) AS VARCHAR) FROM ev
+          WHERE coalesce(target_entity_health_pct_before BETWEEN 0 AND 100, true)
+            AND coalesce(target_entity_health_pct_after BETWEEN 0 AND 100, true)
+        UNION ALL SELECT 'rows', 'massive_hits', NULL, CAST(count(*) FILTER ({MASSIVE}) AS VARCHAR) FROM ev
+          WHERE coalesce(target_entity_health_pct_before BETWEEN 0 AND 100, true)
+            AND coalesce(target_entity_health_pct_after BETWEEN 0 AND 100, true)"""),
     "stream_feed": q("""SELECT raid_id, event_type, count(*) AS events,
         count(coalesce(nullif(damage_amount, 0), nullif(healing_amount, 0))) AS with_amount
         FROM ev GROUP BY ALL"""),
