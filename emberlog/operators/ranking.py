@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from emberlog import constants as C
 from emberlog.functions.numbers import clamp
-from emberlog.operators.ordered import with_running
 
 LABELS = ("player_name", "player_class", "player_role")
 
@@ -81,16 +80,15 @@ def impact_band(score: Column) -> Column:
 def impact_index(stats: DataFrame, digits: int | None = None) -> DataFrame:
     """Score, place in the raid, band and (still unknown) style of each participant.
 
-    Every row needs its place, so the rank uses the sliced numbering of
-    :mod:`emberlog.operators.ordered` rather than one window per raid.
+    ``stats`` has one row per participant and raid, so a raid of any number of events is a
+    short group here, and the numbering reads its sorted rows as a stream.
     """
     score = impact_score() if digits is None else F.round(impact_score(), digits)
     scored = stats.select(
         "raid_id", "event_date", "player_id", "player_name", score.alias("impact_score")
     )
-    ranked = with_running(
-        scored, ["raid_id"], [F.col("impact_score").desc(), F.col("player_id")], "impact_rank"
-    )
+    place = W.partitionBy("raid_id").orderBy(F.col("impact_score").desc(), "player_id")
+    ranked = scored.withColumn("impact_rank", F.row_number().over(place).cast("bigint"))
     return ranked.select(
         "raid_id", "event_date", "player_id", "player_name", "impact_score", "impact_rank",
         impact_band(F.col("impact_score")).alias("impact_band"),

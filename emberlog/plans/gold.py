@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog import constants as C
-from emberlog.operators import contract, dimensions, facts
+from emberlog.operators import contract, dimensions, facts, ranking
 from emberlog.operators.profile import stack_tables
 from emberlog.operators.upsert import upsert_dim_player, upsert_dim_raid
 from emberlog.schemas import BRIDGE, BRIDGE_SCHEMA
@@ -17,6 +17,9 @@ from emberlog.sources.gold import read_gold, write_gold
 from emberlog.sources.silver import read_silver, read_silver_partition
 
 
+IMPACT = "player_impact_index"
+
+
 class GoldTables(NamedTuple):
     fact_raid_summary: DataFrame
     fact_player_raid_stats: DataFrame
@@ -87,10 +90,13 @@ def raid_status(tables: GoldTables) -> DataFrame:
 
 def publish(
     tables: GoldTables, folder: str, policy: str = "fail",
-    fact_partitions: Sequence[str] | None = None,
+    fact_partitions: Sequence[str] | None = None, with_impact: bool = False,
 ) -> list[dict]:
     """Check every table, then write dimensions before facts.
 
+    ``with_impact`` adds ``player_impact_index``, computed from the participant facts,
+    checked by its own contract, and written below raid and date like them.
+
     Facts lie below raid and date unless ``fact_partitions`` says otherwise; with very
     many raids ``("event_date",)`` avoids one small file per raid.
 
@@ -102,6 +108,10 @@ def publish(
         raise ValueError(f"policy must be 'fail' or 'reject', not {policy!r}")
     order = ("dim_player", "dim_raid", "fact_raid_summary", "fact_player_raid_stats")
     frames = {name: getattr(tables, name) for name in order}
+    if with_impact:
+        # Written once, as it is checked and then published.
+        order += (IMPACT,)
+        frames[IMPACT] = materialise(ranking.impact_index(tables.fact_player_raid_stats), "impact")
     rejects = []
     if policy == "fail":
         contract.enforce_all(frames)
@@ -116,7 +126,7 @@ def publish(
     results = [
         write_gold(
             contract.conform(frames[name], name), folder, name,
-            fact_partitions if name.startswith("fact_") else (),
+            fact_partitions if name.startswith("fact_") or name == IMPACT else (),
         )
         for name in order
     ]
@@ -135,11 +145,11 @@ def read_tables(spark: SparkSession, folder: str) -> GoldTables:
 
 def run_gold(
     spark: SparkSession, silver: str, folder: str, policy: str = "fail",
-    fact_partitions: Sequence[str] | None = None, **options,
+    fact_partitions: Sequence[str] | None = None, with_impact: bool = False, **options,
 ) -> list[dict]:
     """All raids of a Silver table in one job."""
     tables = gold_tables(read_silver(spark, silver), **options)
-    return publish(tables, folder, policy, fact_partitions)
+    return publish(tables, folder, policy, fact_partitions, with_impact)
 
 
 def run_gold_partition(

@@ -14,7 +14,7 @@ from emberlog.operators import (
 )
 from emberlog.plans import gold as gold_plan
 from emberlog.plans import medallion
-from emberlog.schemas import DIM_PLAYER_SCHEMA
+from emberlog.schemas import DIM_PLAYER_SCHEMA, GOLD_SCHEMAS
 from emberlog.session import materialise, scratch_path
 from emberlog.sources import bronze, files, gold, silver
 from emberlog.sources.sample_events import encounter_events, with_redelivery
@@ -788,6 +788,144 @@ def gold_publication(spark, folder):
     return profile.stack_tables(*counts)
 
 
+def _published(spark, folder, **options) -> str:
+    out = scratch_path(spark, "gold")
+    tables = gold_plan.gold_tables(encounter_events(spark, folder), PREFIX, sum_type=SUM)
+    gold_plan.publish(tables, out, **options)
+    return out
+
+
+@query
+def gold_published_raids(spark, folder):
+    """Raid facts and the raid dimension as published, read back and joined."""
+    out = _published(spark, folder)
+    facts_read = gold.read_gold(spark, out, "fact_raid_summary").drop("event_date")
+    return gold.read_gold(spark, out, "dim_raid").select("raid_id", "event_date", "raid_size").join(facts_read, "raid_id")
+
+
+@query
+def gold_published_players(spark, folder):
+    return gold.read_gold(spark, _published(spark, folder), "dim_player")
+
+
+@query
+def gold_published_impact(spark, folder):
+    """The impact index as published beside the facts, scores to six digits."""
+    out = _published(spark, folder, with_impact=True)
+    impact = gold.read_gold(spark, out, gold_plan.IMPACT)
+    return impact.withColumn("impact_score", F.round("impact_score", 6)).drop("impact_rank", "impact_band")
+
+
+def _impact_marked(spark, folder):
+    """Impact rows of all sources, bosses included, with a style per row that is not always known."""
+    index = ranking.impact_index(_stats(encounter_events(spark, folder)), digits=6)
+    style = F.when(F.col("impact_rank") % 5 == 0, "berserk").otherwise(F.col("style_cluster"))
+    return index.withColumns({
+        "style_cluster": style,
+        "player_name": F.when(F.col("impact_rank") % 7 == 0, F.concat("player_name", F.lit("-of-the-north")))
+        .otherwise(F.col("player_name")),
+        "impact_score": F.when(F.col("impact_rank") == 1, F.col("impact_score") + 100).otherwise(F.col("impact_score")),
+    })
+
+
+@query
+def impact_contract(spark, folder):
+    """Impact rows that the contract refuses, by rule and column."""
+    return contract.error_counts(_impact_marked(spark, folder), contract.impact_rules())
+
+
+@query
+def impact_published_rejects(spark, folder):
+    """Publication that sets broken raid facts and impact rows aside: what is refused, per table and rule."""
+    out = scratch_path(spark, "gold")
+    tables = gold_plan.gold_tables(encounter_events(spark, folder), PREFIX, sum_type=SUM)
+    named = F.when(F.substring("player_id", -1, 1) == "3", F.concat("player_name", F.lit("-of-the-north")))
+    longer = tables.fact_player_raid_stats.withColumn("player_name", F.coalesce(named, "player_name"))
+    gold_plan.publish(tables._replace(fact_player_raid_stats=longer), out, "reject", with_impact=True)
+    return spark.read.parquet(f"{out}/rejects").select("table", F.explode("errors").alias("e")).groupBy(
+        F.col("table").alias("table_name"), F.col("e.rule").alias("rule"), F.col("e.column").alias("column")).agg(
+        F.count(F.lit(1)).alias("broken_rows"))
+
+
+@query
+def raid_status_failures(spark, folder):
+    """Raids with a broken fact fail by themselves, the others pass."""
+    tables = _tables(spark, folder)
+    last = F.substring("raid_id", -1, 1)
+    stats = tables.fact_player_raid_stats.withColumn(
+        "crit_rate", F.when(last == "3", F.col("crit_rate") + 2).otherwise(F.col("crit_rate")))
+    summary = tables.fact_raid_summary.withColumn(
+        "n_players", F.when(last.isin("3", "5"), F.col("n_players") + 40).otherwise(F.col("n_players")))
+    return gold_plan.raid_status(tables._replace(fact_player_raid_stats=stats, fact_raid_summary=summary))
+
+
+@query
+def catalogue_partitions(spark, folder):
+    """A catalogue table of participant facts after one raid's partition was replaced."""
+    path = scratch_path(spark, "catalogue")
+    name = f"stats_{path.rsplit('-', 1)[-1]}"
+    schema = GOLD_SCHEMAS["fact_player_raid_stats"]
+    stats = materialise(_stats(encounter_events(spark, folder)).select(*schema.names), "stats")
+    for _ in range(2):  # the second time it is there already
+        gold.create_table(spark, name, schema, ("raid_id", "event_date"), path)
+    gold.overwrite_partitions(stats, name)
+    gold.overwrite_partitions(stats.filter("raid_id = 'raid007' AND healing_total > 0"), name)
+    return gold.stage(spark.table(name), f"{name}_staged").select("raid_id", "event_date", "player_id", "damage_total")
+
+
+@query
+def run_catalogue(spark, folder):
+    """Run records appended after each load of Silver, read back with their rates."""
+    path = scratch_path(spark, "runs")
+    events = encounter_events(spark, folder)
+    for run, kind in enumerate(("combat_damage", "heal"), 1):
+        rows = silver.write_silver(events.filter(F.col("event_type") == kind), f"{path}-silver-{kind}")["rows"]
+        bronze.append_run(spark, path, f"run_{run}", "2024-01-30T00:00:00", f"2024-01-30T00:0{run}:00", kind, rows,
+                          raid_count=1)
+    return spark.read.json(path).select(
+        "run_id", "timestamp_start", "timestamp_end", "mode", "events_generated", "elapsed_seconds",
+        F.round("events_per_second", 6).alias("events_per_second"))
+
+
+@query
+def prefix_styles(spark, folder):
+    """Files of a store that holds older ``raidid=`` folders beside ``raid_id=``, per style and raid."""
+    path = scratch_path(spark, "styles")
+    events = encounter_events(spark, folder).select("raid_id", "event_id", "event_type")
+    old = F.substring("raid_id", -1, 1) == "4"
+    files.write_table(events.filter(~old), f"{path}/new", ("raid_id",))
+    files.write_table(events.filter(old).withColumnRenamed("raid_id", "raidid"), f"{path}/old", ("raidid",))
+    audit = files.prefix_audit(files.inventory(spark, path, "*.parquet"))
+    return audit.select("style", "raid_id", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query
+def newest_file(spark, folder):
+    """The raid whose Silver folder was written last: the one with the fewest events, after all others."""
+    path = scratch_path(spark, "newest")
+    events = encounter_events(spark, folder)
+    least = events.groupBy("raid_id").count().orderBy("count", "raid_id").first()
+    if least is not None:
+        silver.write_silver(events, path)
+        silver.write_silver(events.filter(F.col("raid_id") == least.raid_id), path)
+    newest = files.latest_file(files.inventory(spark, path, "*.parquet"))
+    return newest.select(paths.raid_of(F.col("path")).alias("raid_id"))
+
+
+@query
+def reference_checks(spark, folder):
+    """Classes per role as the events name them, and event weights that sum to one per role."""
+    pairs = encounter_events(spark, folder).filter("source_player_class IS NOT NULL AND source_player_role IS NOT NULL").groupBy(
+        F.col("source_player_class").alias("player_class"), F.col("source_player_role").alias("player_role")).agg(
+        F.count(F.lit(1)).alias("events"))
+    whole = pairs.groupBy(F.col("player_role").alias("key")).agg(F.sum("events").alias("all"))
+    weights = pairs.join(whole, F.col("player_role") == F.col("key")).select(
+        "key", (F.col("events") / F.col("all")).alias("weight"))
+    checks = quality.check_reference(pairs, weights)
+    rounded = F.round(F.col("observed").cast("double"), 6)
+    return checks.withColumn("observed", rounded)
+
+
 @query
 def gold_published_stats(spark, folder):
     out = scratch_path(spark, "gold")
@@ -929,7 +1067,7 @@ def stamped_players(spark, folder):
 def landing_totals(spark, folder):
     documents = bronze.read_documents(spark, _written_bronze(spark, folder), "lines")
     totals = bronze.landing_totals(bronze.landing_plan(documents, "2024-02-01"))
-    return totals.select("status", "events")
+    return totals.select("status", "batches", "events", (F.col("bytes") > 2 * F.col("events")).alias("has_bytes"))
 
 
 @query

@@ -123,6 +123,18 @@ DIM_RAID_SCHEMA = _struct(
 )
 # Who took part in which raid, kept beside the facts.
 BRIDGE = "bridge_player_raid"
+IMPACT_SCHEMA = _struct(
+    {
+        "raid_id": _STRING,
+        "event_date": _DATE,
+        "player_id": _STRING,
+        "player_name": _STRING,
+        "impact_score": _DOUBLE,
+        "impact_rank": _LONG,
+        "impact_band": _STRING,
+        "style_cluster": _STRING,
+    }
+)
 BRIDGE_SCHEMA = _struct({"player_id": _STRING, "raid_id": _STRING, "event_date": _DATE})
 GOLD_SCHEMAS = {
     BRIDGE: BRIDGE_SCHEMA,
@@ -130,6 +142,7 @@ GOLD_SCHEMAS = {
     "fact_player_raid_stats": PLAYER_STATS_SCHEMA,
     "dim_player": DIM_PLAYER_SCHEMA,
     "dim_raid": DIM_RAID_SCHEMA,
+    "player_impact_index": IMPACT_SCHEMA,
 }
 GOLD_PARTITIONS = {
     BRIDGE: ("raid_id", "event_date"),
@@ -137,4 +150,5 @@ GOLD_PARTITIONS = {
     "fact_player_raid_stats": ("raid_id", "event_date"),
     "dim_player": (),
     "dim_raid": (),
+    "player_impact_index": ("raid_id", "event_date"),
 }

@@ -741,7 +741,42 @@ ORACLES = {
         CAST(least(count(*), 1) AS VARCHAR), '> 0' FROM ev"""),
     "stamped_players": q("""SELECT player_id, total_raids, TIMESTAMP '2024-01-30 00:00:00' AS ingested_at FROM dim""",
         dim_players("dim")),
-    "landing_totals": q("SELECT 'ok' AS status, count(*) AS events FROM ev"),
+    "landing_totals": q("""SELECT 'ok' AS status, count(DISTINCT raid_id || batch_id) AS batches, count(*) AS events,
+        true AS has_bytes FROM ev"""),
+    "gold_published_raids": q("SELECT *, n_players AS raid_size FROM summ", SUMM),
+    "gold_published_players": q("SELECT * FROM dim", dim_players("dim")),
+    "gold_published_impact": q("""SELECT raid_id, event_date, player_id, player_name, impact_score,
+        'unknown' AS style_cluster FROM scored""", SUMM, STATS, IMPACT),
+    "impact_contract": q("""SELECT 'domain' AS rule, 'style_cluster' AS "column", count(*) AS broken_rows
+          FROM placed WHERE place % 5 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'length', 'player_name', count(*) FROM placed WHERE place % 7 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'range', 'impact_score', count(*) FROM placed WHERE place = 1 AND impact_score > 0
+          HAVING count(*) > 0""", SUMM, STATS, IMPACT,
+        """placed AS (SELECT *, row_number() OVER (PARTITION BY raid_id ORDER BY impact_score DESC, player_id) AS place
+          FROM scored)"""),
+    "impact_published_rejects": q("""SELECT t.table_name, 'length' AS rule, 'player_name' AS "column", count(*) AS broken_rows
+        FROM stats, (VALUES ('fact_player_raid_stats'), ('player_impact_index')) t(table_name)
+        WHERE player_id LIKE '%3' GROUP BY ALL""", SUMM, STATS),
+    "raid_status_failures": q("""SELECT raid_id, CASE WHEN raid_id LIKE '%3' OR raid_id LIKE '%5' THEN 'failed' ELSE 'ok' END AS status,
+        CASE WHEN raid_id LIKE '%3'
+            THEN 'fact_player_raid_stats.crit_rate:range,fact_raid_summary.n_players:range'
+          WHEN raid_id LIKE '%5' THEN 'fact_raid_summary.n_players:range' ELSE '' END AS reasons FROM summ""", SUMM),
+    "catalogue_partitions": q("""SELECT raid_id, event_date, player_id, damage_total FROM stats
+        WHERE raid_id <> 'raid007' OR healing_total > 0""", SUMM, STATS),
+    "run_catalogue": q("""SELECT 'run_' || CAST(i AS VARCHAR) AS run_id, '2024-01-30T00:00:00' AS timestamp_start,
+        '2024-01-30T00:0' || CAST(i AS VARCHAR) || ':00' AS timestamp_end, kind AS mode,
+        count(event_type) AS events_generated, CAST(60 * i AS DOUBLE) AS elapsed_seconds,
+        round(CAST(count(event_type) AS DOUBLE) / CAST(60 * i AS DOUBLE), 6) AS events_per_second
+        FROM (VALUES (1, 'combat_damage'), (2, 'heal')) r(i, kind) LEFT JOIN ev ON event_type = kind
+        GROUP BY i, kind"""),
+    "prefix_styles": q("""SELECT DISTINCT CASE WHEN raid_id LIKE '%4' THEN 'raidid' ELSE 'raid_id' END AS style,
+        raid_id, true AS has_files, true AS has_bytes FROM ev"""),
+    "newest_file": q("""SELECT raid_id FROM ev GROUP BY raid_id ORDER BY count(*), raid_id LIMIT 1"""),
+    "reference_checks": q("""SELECT 'role_entries' AS check_id, source_player_role AS scope, 'ok' AS status,
+        CAST(count(DISTINCT source_player_class) AS DOUBLE) AS observed, '> 0' AS expected FROM ev
+        WHERE source_player_role IS NOT NULL GROUP BY source_player_role
+        UNION ALL SELECT DISTINCT 'weight_sum', source_player_role, 'ok', CAST(1 AS DOUBLE), '1' FROM ev
+        WHERE source_player_role IS NOT NULL"""),
     "gold_part": q("""SELECT * REPLACE (
         CAST(round(CAST(crit_rate AS DECIMAL(38,12)), 6) AS DOUBLE) AS crit_rate) FROM stats
         WHERE raid_id = 'raid007'""", SUMM, STATS),
