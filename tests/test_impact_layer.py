@@ -4,6 +4,7 @@ import pytest
 
 from emberlog.operators import contract, ranking
 from emberlog.plans import gold as gold_plan
+from emberlog.session import materialise
 from emberlog.sources.gold import read_gold
 
 
@@ -36,5 +37,6 @@ def test_broken_rows_stop_the_publication(spark, tables, tmp_path):
 
 
 def test_rank_needs_one_shuffle(tables):
-    plan = ranking.impact_index(tables.fact_player_raid_stats)._jdf.queryExecution().executedPlan().toString()
+    stats = materialise(tables.fact_player_raid_stats, "stats")
+    plan = ranking.impact_index(stats)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
