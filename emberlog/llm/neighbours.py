@@ -1,18 +1,22 @@
 """Nearest neighbours by a block matrix join with int8 product tiles.
 
-Queries and candidates are dealt to blocks by a hash of their id; every pair of blocks is a
-tile and one task's work.  In a tile, unit vectors are rounded to eight bits and multiplied;
+Queries and candidates are dealt to blocks by a hash of their id and vector; every pair of
+blocks is a tile and one task's work.  In a tile, unit vectors are rounded to eight bits and multiplied;
 the rounding errors of both sides bound how far a product can be from the cosine.  Only pairs
 whose upper bound reaches the k-th lower bound of their query, or the k-th cosine found so
 far, are computed from the original vectors in double precision, and heaps keep the best k.
 The lists of a query's tiles are merged by a heap again.  The result is exact.
 
-Blocks bound a task's memory whatever the table's size, and hashing spreads any hot label or
-range of ids.  A query block is sent to each candidate block once, and the other way round.
+Equal rows are combined first, within their tasks and then across them, so a row repeated any
+number of times is one; rows that repeat an id with different vectors spread over the blocks.
+Blocks therefore bound a task's memory whatever the table's size or its commonest id.  A query
+block is sent to each candidate block once, and the other way round, so rows travel as often
+as there are query blocks: all pairs are compared, in work and in shuffle.
 
 Defined results: vectors that are null, empty, zero, or hold a null, NaN or infinity take no
 part; vectors only meet those of their own length; of rows that repeat an id the nearest
-counts; a query alone has no rows.  Only vec_id and embedding are read.
+counts, for a repeated query id over all its vectors; finite components of any size give a
+finite cosine; a query alone has no rows.  Only vec_id and embedding are read.
 """
 
 from __future__ import annotations
@@ -59,15 +63,20 @@ def valid_vectors(embeddings: DataFrame) -> DataFrame:
     return map_arrow(source, run, "vec_id long, dim int, body binary")
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, its largest component between 1/2 and 1.
+
+    Keeps every digit, and squares of very large or small components stay finite.
+    """
+    _, power = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -power[:, None])
+
+
 class Rounded:
-    """Unit vectors in eight bits, with what the rounding can cost."""
+    """Unit vectors of :func:`scaled` ones in eight bits, with what the rounding can cost."""
 
     def __init__(self, vectors: np.ndarray):
-        self.norm = np.sqrt((vectors * vectors).sum(axis=1))
-        # Scaled first, so that squares of very large or small components stay finite.
-        peak = np.abs(vectors).max(axis=1)
-        scaled = vectors / peak[:, None]
-        unit = scaled / np.sqrt((scaled * scaled).sum(axis=1))[:, None]
+        unit = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
         self.scale = np.abs(unit).max(axis=1) / 127
         self.cells = np.rint(unit / self.scale[:, None]).astype(np.int8)
         rest = unit - self.cells * self.scale[:, None]
@@ -89,8 +98,23 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x * y).sum(axis=1) / norms
 
 
+def offer(heap: list[tuple[float, int]], entry: tuple[float, int], k: int) -> None:
+    """Puts (score, -id) into a heap of the best k ids; an id counts once, with its best score."""
+    same = next((i for i, held in enumerate(heap) if held[1] == entry[1]), None)
+    if same is not None:
+        if entry > heap[same]:
+            heap[same] = entry
+            heapq.heapify(heap)
+    elif len(heap) < k:
+        heapq.heappush(heap, entry)
+    elif entry > heap[0]:
+        heapq.heapreplace(heap, entry)
+
+
 def tile_neighbours(query_ids, queries, ids, vectors, k: int) -> list[tuple[int, int, float]]:
-    """The k nearest of a tile for each query: (query, vector, cosine)."""
+    """The k nearest ids of a tile for each query row: (query, vector, cosine)."""
+    order = np.argsort(ids, kind="stable")
+    queries, ids, vectors = scaled(queries), ids[order], scaled(vectors[order])
     q, c = Rounded(queries), Rounded(vectors)
     heaps: list[list[tuple[float, int]]] = [[] for _ in query_ids]
     for i in range(0, len(query_ids), STEP_QUERIES):
@@ -100,17 +124,17 @@ def tile_neighbours(query_ids, queries, ids, vectors, k: int) -> list[tuple[int,
             near, bound = q.product(c, rows, columns)
             own = query_ids[rows, None] == ids[None, columns]
             low = np.where(own, -np.inf, near - bound)
+            # The k-th best lower bound of different ids: rows of one id stand together.
+            firsts = np.flatnonzero(np.concatenate([[True], np.diff(ids[columns]) != 0]))
+            if len(firsts) < low.shape[1]:
+                low = np.maximum.reduceat(low, firsts, axis=1)
             place = max(low.shape[1] - k, 0)
             least = np.partition(low, place, axis=1)[:, place] if low.shape[1] >= k else np.full(low.shape[0], -np.inf)
             known = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps[rows]])
             r, s = np.nonzero((near + bound >= np.maximum(least, known)[:, None]) & ~own)
             exact = cosines(queries[rows][r], vectors[columns][s])
             for a, b, score in zip((r + i).tolist(), (s + j).tolist(), exact.tolist(), strict=True):
-                entry = (score, -int(ids[b]))
-                if len(heaps[a]) < k:
-                    heapq.heappush(heaps[a], entry)
-                elif entry > heaps[a][0]:
-                    heapq.heapreplace(heaps[a], entry)
+                offer(heaps[a], (score, -int(ids[b])), k)
     return [(int(query), -vec, score) for query, heap in zip(query_ids.tolist(), heaps, strict=True) for score, vec in heap]
 
 
@@ -123,11 +147,7 @@ def _tile(k: int):
         ids = rows["vec_id"].to_numpy()
         dim = rows["dim"][0].as_py()
         vectors = np.frombuffer(b"".join(rows["body"].to_pylist()), np.float64).reshape(-1, dim)
-        # Of equal ids the nearest counts, so a heap must not fill with one id: k distinct ids
-        # need as many rows as an id repeats.
-        _, repeats = np.unique(ids[~asked], return_counts=True)
-        deep = k * int(repeats.max()) if len(repeats) else k
-        found = tile_neighbours(ids[asked], vectors[asked], ids[~asked], vectors[~asked], deep) if asked.any() and len(repeats) else []
+        found = tile_neighbours(ids[asked], vectors[asked], ids[~asked], vectors[~asked], k) if asked.any() and not asked.all() else []
         return pa.table({n: pa.array([f[i] for f in found], FOUND.field(n).type) for i, n in enumerate(FOUND.names)}, schema=FOUND)
 
     return run
@@ -162,17 +182,17 @@ def _merge(k: int):
 
 def nearest(embeddings: DataFrame, *, k: int = 5, every: int = 50, query_block: int = QUERY_BLOCK, block: int = BLOCK) -> DataFrame:
     """The ``k`` nearest of every row whose id is divisible by ``every``: (query_id, rank, vec_id, score)."""
-    vectors = table(valid_vectors(embeddings), "vectors")
+    vectors = table(valid_vectors(embeddings).distinct(), "vectors")
     asked = vectors.where(F.col("vec_id") % every == 0)
     counts = vectors.agg(F.count(F.lit(1)), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
     many, few = max(1, -(-counts[0] // block)), max(1, -(-counts[1] // query_block))
 
-    def dealt(df: DataFrame, own: int, salt: int):
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(own)).cast("int")
+    def dealt(own: int, salt: int):
+        return F.pmod(F.xxhash64("vec_id", "body", F.lit(salt)), F.lit(own)).cast("int")
 
     to_all = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    queries = asked.select("*", F.lit(True).alias("query"), dealt(asked, few, 1).alias("qb"), to_all(many).alias("cb"))
-    rows = vectors.select("*", F.lit(False).alias("query"), dealt(vectors, many, 2).alias("cb"), to_all(few).alias("qb"))
+    queries = asked.select("*", F.lit(True).alias("query"), dealt(few, 1).alias("qb"), to_all(many).alias("cb"))
+    rows = vectors.select("*", F.lit(False).alias("query"), dealt(many, 2).alias("cb"), to_all(few).alias("qb"))
     tiles = queries.unionByName(rows).groupBy("dim", "qb", "cb").applyInArrow(_tile(k), "query_id long, vec_id long, score double")
     lists = tiles.repartition("query_id").sortWithinPartitions("query_id")
     return map_arrow(lists, _merge(k), "query_id long, rank int, vec_id long, score double")

@@ -59,3 +59,35 @@ def test_few_rows_repeats_and_empty_table(spark):
     got = found(spark, [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 0.5]), (1, [1.0, 1.0]), (2, [0.0, 1.0])])
     assert [g[:3] for g in got] == [(0, 1, 1), (0, 2, 2)]
     assert got[0][3] == pytest.approx(1 / np.sqrt(1.25))
+
+
+def test_components_of_any_size(spark):
+    small = [1e-200, 2e-200, 0.5e-200]
+    rows = [(0, [1e200, 1e200, 0.0]), (1, [2e200, 2.1e200, 0.0]), (2, small), (3, [1.0, 1.0, 0.1]), (4, [-1e300, 1e-300, 0.0]),
+            (50, [3e-310, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in neighbours.nearest(table).collect())
+    unit = [(i, (np.array(v, np.longdouble) / np.abs(v).max()).astype(np.float64).tolist()) for i, v in rows]
+    same(got, brute(unit))
+
+
+def test_one_id_with_most_rows(spark):
+    """A third of all rows share an id, with equal vectors and with different ones."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(200)]
+    rows += [(7, rng.normal(size=8).astype(np.float32).tolist()) for _ in range(60)] + [(9, rows[9][1])] * 60
+    rows += [(100, rng.normal(size=8).astype(np.float32).tolist()) for _ in range(30)]
+    for blocks in ({}, {"query_block": 3, "block": 40}):
+        got = found(spark, rows, **blocks)
+        good = {}
+        for q, x in rows:
+            for i, y in rows:
+                if q % 50 == 0 and i != q:
+                    x_, y_ = np.array(x, np.float64), np.array(y, np.float64)
+                    s = float((x_ * y_).sum() / (np.sqrt((x_ * x_).sum()) * np.sqrt((y_ * y_).sum())))
+                    good.setdefault(q, {})[i] = max(s, good.get(q, {}).get(i, -2))
+        expected = [(q, r + 1, i, s) for q, own in good.items()
+                    for r, (i, s) in enumerate(sorted(own.items(), key=lambda t: (-t[1], t[0]))[:5])]
+        same(got, expected)
+    # Dealing goes by id and vector, so the commonest id does not fill one block.
+    assert neighbours.valid_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).distinct().count() == 290
