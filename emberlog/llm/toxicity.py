@@ -10,12 +10,15 @@ extreme-value law of such scans: E = K n exp(-lambda S), with lambda and K taken
 texts.  A text's evidence is the extreme-value surprise of its segments, and a logistic
 curve fitted on the training rows turns it into a score from 0 to 1.
 
-The training sample is bounded (``max_training`` labelled texts, chosen by a hash of the id),
-as is the feature table (``max_features``).  Everything else reads all rows and whole texts.
+The training sample is bounded: ``max_training`` labelled ids, chosen by a hash.  Its texts are
+written once, and the feature table comes from them alone; a feature needs ``min_texts`` toxic
+texts, as rarer ones say more about one text than about toxicity.  Everything else reads all
+rows and whole texts.
 
 Defined results: null and empty texts have no segment and get the score of no evidence;
-repeated rows score alike; unlabelled documents score like others; without usable labels
-every score is 0.  Only doc_id and text of the documents are read, and only doc_id and the
+repeated rows score alike; unlabelled documents score like others; an id with labels that
+disagree is toxic, and texts that share a labelled id all train; without usable labels every
+score is 0.  Only doc_id and text of the documents are read, and only doc_id and the
 label column of the labels.
 """
 
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import batch_of, held_out, map_arrow, pieces_of, ship_package
+from emberlog.llm.common import batch_of, held_out, map_arrow, pieces_of, ship_package, table
 
 WORD = re.compile(r"\w+")
 STEMS = (3, 4, 5, 6)
@@ -132,81 +135,108 @@ def _counts(batches):
     for batch in batches:
         for part in pieces_of(batch, "text"):
             for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist(), strict=True):
-                own = {f for w in set(WORD.findall((text or "").lower())) for f in features(w)}
-                own.add("")
-                counts[toxic].update(own)
+                counts[toxic].update({f for w in set(WORD.findall((text or "").lower())) for f in features(w)})
             if len(counts[True]) + len(counts[False]) > FLUSH:
                 yield flush()
     yield flush()
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", max_training: int = 100_000,
-        max_features: int = 100_000) -> Model:
-    """Model from the labelled texts outside the held-out fifth."""
+        min_texts: int = 3, min_score: float = 1.0) -> Model:
+    """Model from the labelled texts outside the held-out fifth.
+
+    Every feature with ``min_texts`` toxic texts and a score above ``min_score`` is kept.
+    """
     chosen = labels.select(F.col("doc_id").alias("_id"), (F.col(label) == 1).alias("toxic")).where(
-        F.col("_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("_id")).dropDuplicates(["_id"])
+        F.col("_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("_id")).groupBy("_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(max_training)
     # Bounded by max_training rows of an id and a flag.
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), "_id").select("text", "toxic")
-    totals = map_arrow(texts, _counts, "feature string, toxic long, clean long").groupBy("feature").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # Clearly toxic by the same bound as below, with room; at most max_features rows.
-    likely = totals.where((F.col("toxic") >= 3) | (F.col("feature") == ""))
-    rows = likely.orderBy((F.col("feature") != "").cast("int"), (F.col("toxic") / (F.col("clean") + 1)).desc(),
-                          "feature").limit(max_features + 1).collect()
-    n = next(((r.toxic, r.clean) for r in rows if r.feature == ""), (0, 0))
+    texts = table(texts, "training")
+    sizes = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
     model = Model()
-    if not min(n):
+    if len(sizes) < 2:
         return model
-    for r in rows:
-        if r.feature:
-            t, c = r.toxic + PRIOR, r.clean + PRIOR
-            odds = math.log(t / (n[0] + 2 * PRIOR - t)) - math.log(c / (n[1] + 2 * PRIOR - c))
-            bound = odds - 2 * math.sqrt(1 / t + 1 / c)
-            if bound > 1.0:
-                model.scores[r.feature] = bound
+    totals = map_arrow(texts, _counts, "feature string, toxic long, clean long").groupBy("feature").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    t, c = F.col("toxic") + PRIOR, F.col("clean") + PRIOR
+    odds = F.ln(t / (sizes[True] + 2 * PRIOR - t)) - F.ln(c / (sizes[False] + 2 * PRIOR - c))
+    scored = totals.where(F.col("toxic") >= min_texts).select(
+        "feature", (odds - 2 * F.sqrt(1 / t + 1 / c)).alias("score")).where(F.col("score") > min_score)
+    # Bounded by the training texts: min_texts of them share each feature.
+    model.scores = {r.feature: r.score for r in scored.collect()}
     return calibrate(texts, model)
 
 
-def calibrate(texts: DataFrame, model: Model) -> Model:
-    """Extreme-value constants from the clean training texts, then the logistic curve."""
-    known, schema = model.scores, pa.schema([
-        ("toxic", pa.bool_()), ("n", pa.int64()), ("segments", pa.list_(pa.float64())), ("gains", pa.list_(pa.float64()))])
+def _null_shape(known: dict[str, float]):
+    """Counts of gains and segment scores (to three digits) over clean texts, and their words."""
+    schema = pa.schema([("kind", pa.string()), ("value", pa.float64()), ("n", pa.int64())])
 
-    def scan(batches):
-        memo: dict[str, float] = {}
+    def run(batches):
+        memo, seen = {}, Counter()
         for batch in batches:
-            for part in pieces_of(batch, "text"):
-                ns, segments, gains = [], [], []
-                for text in part["text"].to_pylist():
-                    words = WORD.findall((text or "").lower())
-                    places, values = word_scores(words, known, memo)
-                    ns.append(len(words))
-                    segments.append([s for _, _, s in maximal_segments(places, values)])
-                    gains.append(values)
-                yield batch_of({"toxic": part["toxic"], "n": ns, "segments": segments, "gains": gains}, schema)
-
-    found = map_arrow(texts, scan, "toxic boolean, n long, segments array<double>, gains array<double>")
-    # A row per training text, of which there are max_training at most.
-    seen = found.collect()
-    clean = [r for r in seen if not r.toxic]
-    words = sum(r.n for r in clean) + 1.0
-    gains = np.array([v for r in clean for v in r.gains] + [min(known.values(), default=1.0)])
-    segments = np.array([s for r in clean for s in r.segments] + [float(gains[-1])])
+            for text in batch["text"]:
+                words = WORD.findall((text.as_py() or "").lower())
+                places, values = word_scores(words, known, memo)
+                seen["words", 0.0] += len(words)
+                seen.update(("gain", v) for v in values)
+                seen.update(("segment", round(s, 3)) for _, _, s in maximal_segments(places, values))
+        yield batch_of({"kind": [k for k, _ in seen], "value": [v for _, v in seen], "n": list(seen.values())}, schema)
+
+    return run
+
+
+def _text_evidence(model: Model):
+    schema = pa.schema([("toxic", pa.bool_()), ("best", pa.float64()), ("total", pa.float64())])
+
+    def run(batches):
+        memo = {}
+        for batch in batches:
+            found = []
+            for text in batch["text"]:
+                words = WORD.findall((text.as_py() or "").lower())
+                found.append(evidence(maximal_segments(*word_scores(words, model.scores, memo)), len(words), model))
+            yield batch_of({"toxic": batch["toxic"], "best": [f[0] for f in found], "total": [f[1] for f in found]}, schema)
+
+    return run
+
+
+def calibrate(texts: DataFrame, model: Model) -> Model:
+    """Extreme-value constants from the clean training texts, then the logistic curve.
+
+    The driver gets a count per distinct gain (as many as scores) and rounded segment score,
+    then two numbers per training text.
+    """
+    known = model.scores
+    shape = map_arrow(texts.where(~F.col("toxic")).select("text"), _null_shape(known), "kind string, value double, n long")
+    rows = shape.groupBy("kind", "value").agg(F.sum("n").alias("n")).orderBy("kind", "value").collect()
+    words = sum(r.n for r in rows if r.kind == "words") + 1.0
+
+    def counted(kind: str, least: float) -> tuple[np.ndarray, np.ndarray]:
+        own = [(r.value, r.n) for r in rows if r.kind == kind] + [(least, 1)]
+        return np.array([v for v, _ in own]), np.array([n for _, n in own], np.float64)
+
+    least = min(known.values(), default=1.0)
+    gains, often = counted("gain", least)
+    segments, times = counted("segment", least)
     # lambda > 0 solves E exp(lambda s) = 1 for a word of clean text; the mean score is
     # negative and the largest positive, so there is one solution.
-    rest = max(words - len(gains), 1.0)
+    rest = max(words - often.sum(), 1.0)
     low, high = 0.0, 64.0 / float(gains.max())
     for _ in range(80):
         middle = (low + high) / 2
-        excess = np.exp(middle * gains).sum() + rest * math.exp(-middle * LOSS) - (len(gains) + rest)
+        excess = (often * np.exp(middle * gains)).sum() + rest * math.exp(-middle * LOSS) - (often.sum() + rest)
         low, high = (middle, high) if excess < 0 else (low, middle)
     model.rate = max(high, 0.05)
     # K: how many segments clean text has per word, against exp(-lambda S) at the median score.
-    middle = float(np.median(segments))
-    model.scale = float((segments >= middle).sum() / (words * math.exp(-model.rate * middle)))
-    x = np.array([[1.0, *map(math.log1p, evidence([(0, 0, s) for s in r.segments], r.n, model))] for r in seen])
+    order = np.argsort(segments)
+    half = np.searchsorted(np.cumsum(times[order]), times.sum() / 2)
+    middle = float(segments[order][half])
+    model.scale = float(times[segments >= middle].sum() / (words * math.exp(-model.rate * middle)))
+    # A row per training text, of which max_training bounds the ids.
+    seen = map_arrow(texts, _text_evidence(model), "toxic boolean, best double, total double").orderBy("toxic", "best", "total").collect()
+    x = np.array([[1.0, math.log1p(r.best), math.log1p(r.total)] for r in seen])
     y = np.array([float(r.toxic) for r in seen])
     w = np.zeros(3)
     for _ in range(50):
@@ -229,7 +259,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     schema = pa.schema([
         ("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("passages", pa.list_(pa.struct([
             ("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64()), ("surprise", pa.float64())])))])
-    constants = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_features
+    constants = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training texts
 
     def run(batches):
         m, memo = constants.value, {}

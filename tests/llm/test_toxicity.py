@@ -89,3 +89,27 @@ def test_edge_rows(spark):
     untrained = toxicity.score_documents(docs, labels.where("false")).collect()
     assert {r.predicted for r in untrained} == {0}
     assert toxicity.score_documents(docs.where("false"), labels).count() == 0
+
+
+def test_labels_that_disagree_count_as_toxic(spark):
+    docs, labels, truth = made_corpus(spark, 300)
+    settled = labels.selectExpr("doc_id", "greatest(toxic, cast(doc_id % 7 = 0 as int)) as toxic")
+    doubled = labels.selectExpr("doc_id", "toxic").union(labels.selectExpr("doc_id", "1 as toxic").where("doc_id % 7 = 0"))
+    scores = [sorted((r.doc_id, r.score) for r in toxicity.score_documents(docs, x).collect())
+              for x in (settled, doubled, doubled.orderBy("toxic").repartition(7))]
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_rare_toxic_labels_and_very_long_text(spark):
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(400)]
+    rows = [(i, " ".join(rng.choices(words, k=40)) + (" vile" if i % 60 == 0 else "")) for i in range(1800)]
+    long = " ".join(rng.choices(words, k=400_000))
+    rows += [(5000, long), (5001, long + " vile vile vile vile " + long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 60 == 0)) for i in range(1800)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.scores["vile"] > 1 and model.rate > 0 and model.scale > 0
+    assert toxicity.fit(docs, labels, min_texts=10_000).scores == {}
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, labels).collect()}
+    assert got[5001].score > got[5000].score and 0 <= got[5000].score <= 1
