@@ -1,9 +1,11 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Candidates are the values of three base patterns and of long mixed tokens.  Their hashes are
-counted over the whole corpus by distinct repositories and owners: a value that many owners
-carry is a copied example, one that a single owner carries is likely live.  Base spans are
-always reported; a mixed token is reported (kind ``live``) only if one owner alone has it.
+counted over the whole corpus by distinct repositories and owners.  A value is a copied example
+if more than ``max_owners`` owners carry it, or more than ``max_repos`` repositories, be they of
+one owner; else it is likely live.  One document copied to a second owner thus does not hide
+its credential, and a value spread over all repositories of an owner is an example.  Base
+spans are always reported; a mixed token is reported (kind ``live``) only if it is live.
 
 Counting first removes repeats inside a task, then (hash, repository, owner) is made distinct
 with a combine before the shuffle, so a value in a third of all rows costs a row per task.
@@ -101,12 +103,12 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def find_secrets(docs: DataFrame, *, owner: Column | None = None, repo: Column | None = None,
-                 max_owners: int = 1) -> DataFrame:
+                 max_owners: int = 2, max_repos: int = 4) -> DataFrame:
     """Spans of every document with the ownership of each value.
 
     ``spans`` is an array of (kind, start, stop, hash, repos, owners, live) by start;
     positions are code points, the end exclusive.  A value is live if at most
-    ``max_owners`` owners carry it.  Default owner: ``source``; default repository: source
+    ``max_owners`` owners and ``max_repos`` repositories carry it.  Default owner: ``source``; default repository: source
     and language together.
     """
     owner = F.col("source") if owner is None else owner
@@ -121,7 +123,8 @@ def find_secrets(docs: DataFrame, *, owner: Column | None = None, repo: Column |
     # Written once: the row key has to be the same in both uses.
     scanned = table(scanned.withColumn("_row", F.monotonically_increasing_id()), "secrets")
     found = scanned.select("_row", "repo", "owner", F.explode("found").alias("f")).select("_row", "repo", "owner", "f.*")
-    owned = found.join(ownership(found), "hash").withColumn("live", F.col("owners") <= max_owners)
+    owned = found.join(ownership(found), "hash").withColumn(
+        "live", (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos))
     # A text's spans are bounded by its length.
     spans = owned.where((F.col("kind") != "live") | F.col("live")).groupBy("_row").agg(F.sort_array(F.collect_list(
         F.struct("start", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("rank"),

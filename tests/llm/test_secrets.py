@@ -40,7 +40,7 @@ ROWS = [
 
 def test_ownership_and_spans(spark):
     got = {}
-    for r in secrets.find_secrets(made(spark, ROWS)).collect():
+    for r in secrets.find_secrets(made(spark, ROWS), max_owners=1).collect():
         got.setdefault(r.doc_id, []).append(r)
     assert len(got[2]) == 2 and got[2][0].spans == got[2][1].spans
     spans = {d: [(s.kind, s.start, s.stop, s.owners, s.repos, s.live) for s in rows[0].spans] for d, rows in got.items()}
@@ -58,7 +58,7 @@ def test_redaction(spark):
     docs = made(spark, ROWS)
     got = {}
     for options in ({}, {"max_broadcast": 0}):
-        out = secrets.redact(docs, **options)
+        out = secrets.redact(docs, max_owners=1, **options)
         assert out.columns == docs.columns
         got = sorted((r.doc_id, r.text) for r in out.collect() if r.text is not None)
         assert dict(got)[1] == "my [assign] end"
@@ -79,3 +79,24 @@ def test_sample_documents_keep_every_base_span(spark, small):
 def test_empty_table(spark):
     assert secrets.find_secrets(made(spark, [])).count() == 0
     assert secrets.redact(made(spark, [])).count() == 0
+
+
+def test_owners_and_repositories_both_decide(spark):
+    """A copy in a second owner hides nothing; many owners, or many repositories of one, make an example."""
+    rows = [(i, f"token = {value}", source, lang, "k") for i, (value, source, lang) in enumerate(
+        [("copied-once-1", s, "en") for s in ("one", "two")]
+        + [("three-owners-1", s, "en") for s in ("one", "two", "three")]
+        + [("one-owner-4", "one", x) for x in "abcd"] * 20 + [("one-owner-50", "one", f"r{i}") for i in range(50)])]
+    live = {}
+    for r in secrets.find_secrets(made(spark, rows)).collect():
+        live.setdefault(rows[r.doc_id][1], set()).add((r.spans[0].live, r.spans[0].owners, r.spans[0].repos))
+    assert live == {"token = copied-once-1": {(True, 2, 2)}, "token = three-owners-1": {(False, 3, 3)},
+                    "token = one-owner-4": {(True, 1, 4)}, "token = one-owner-50": {(False, 1, 50)}}
+    kept = {r.text for r in secrets.redact(made(spark, rows)).collect()}
+    assert kept == {"[assign]", "token = three-owners-1", "token = one-owner-50"}
+
+
+def test_very_long_text(spark):
+    text = "filler words " * 200_000 + "password = hunter2hunter2 " + "x" * 1_000_000
+    row = secrets.find_secrets(made(spark, [(1, text, "one", "en", "k")])).first()
+    assert [(s.kind, s.start) for s in row.spans] == [("assign", 13 * 200_000)]
