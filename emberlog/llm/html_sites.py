@@ -8,7 +8,7 @@ combines both, the content of all text below it weighing more the fewer children
 Branches of low importance on enough pages, with nothing important below them, are template
 and are removed from every page.
 
-What a page's own mark-up says comes on top: scripts, styles, menus, page headers, footers,
+What a page's own mark-up says comes after the tree: scripts, styles, menus, page headers, footers,
 side bars, forms, notices, adverts and comments go by tag, role, class or id; where a page
 has an article (or main) element, its text is the article's.  Inside an article the tree
 decides too: branches that recur go, and a branch that only its name speaks against stays if
@@ -314,24 +314,34 @@ def style_tree(pages: DataFrame, decay: float = 0.9) -> DataFrame:
         ((F.col("protected") == 1) | (F.col("share") >= 0.5)).alias("protected"), (F.col("named") == 1).alias("named"), "share")
 
 
-def main_text(page: Page, template: frozenset[int], own: frozenset[int] = frozenset()) -> str:
-    """The page's text without marked parts and template branches.
+def read_by_tree(page: Page, template: frozenset[int], own: frozenset[int] = frozenset()) -> tuple[str, int]:
+    """The page's text and how many of its blocks the tree removed.
 
-    ``own``: nodes that stay though their name speaks against them.
+    The tree is asked first, for every block of the page; marks and the article rule see what
+    it left.  Where nothing would be left, the tree's say is set aside.  ``own``: nodes that
+    stay though their name speaks against them.
     """
     bad = page.named - own
     blocks = [(text, path, junk or not bad.isdisjoint(path), a) for text, path, junk, a in page.blocks]
+    important = [block for block in blocks if template.isdisjoint(block[1])]
     article = any(a and not junk for _, _, junk, a in blocks)
-    plain = [(text, path) for text, path, junk, a in blocks if not junk and (a or not article)]
-    kept = [text for text, path in plain if not template.intersection(path)]
-    return "\n".join(kept or [text for text, _ in plain])
+    for left in (important, blocks):
+        kept = [text for text, _, junk, a in left if not junk and (a or not article)]
+        if kept:
+            return "\n".join(kept), len(blocks) - len(left)
+    return "", len(blocks) - len(important)
+
+
+def main_text(page: Page, template: frozenset[int], own: frozenset[int] = frozenset()) -> str:
+    """The text alone of :func:`read_by_tree`."""
+    return read_by_tree(page, template, own)[0]
 
 
 def extract(pages: DataFrame, *, least: float = 0.3, min_pages: int = 8, max_broadcast: int = 100_000,
             most: float = 0.7, fair: float = 0.1) -> DataFrame:
-    """(page_id, url, text, n_chars) of every page.
+    """(page_id, url, text, n_chars, n_template_blocks) of every page.
 
-    A branch goes if it and all below it are less important than ``least`` over at least
+    ``n_template_blocks`` counts the page's text blocks that the tree removed.  A branch goes if it and all below it are less important than ``least`` over at least
     ``min_pages`` distinct pages.  A branch of an article that only its name speaks against
     stays if its content importance is ``most`` and its share of the text ``fair`` at least.
     """
@@ -348,15 +358,18 @@ def extract(pages: DataFrame, *, least: float = 0.3, min_pages: int = 8, max_bro
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][-+.\w]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     joined = source.withColumn("host", host).join(
         F.broadcast(per_host) if size <= max_broadcast else per_host, "host", "left").select("page_id", "url", "html", "template", "own")
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()),
+                        ("n_template_blocks", pa.int64())])
 
     def run(batches):
         memo: dict = {}
         for batch in batches:
             for part in pieces_of(batch, "html"):
-                texts = [main_text(Page(html or "", memo), frozenset(template or ()), frozenset(own or ())) for html, template, own in zip(
+                read = [read_by_tree(Page(html or "", memo), frozenset(template or ()), frozenset(own or ())) for html, template, own in zip(
                     *(part[c].to_pylist() for c in ("html", "template", "own")), strict=True)]
+                texts = [text for text, _ in read]
                 yield batch_of({"page_id": part["page_id"], "url": part["url"], "text": texts,
-                                "n_chars": np.fromiter(map(len, texts), np.int64, len(texts))}, schema)
+                                "n_chars": np.fromiter(map(len, texts), np.int64, len(texts)),
+                                "n_template_blocks": [removed for _, removed in read]}, schema)
 
-    return map_arrow(joined, run, "page_id long, url string, text string, n_chars long")
+    return map_arrow(joined, run, "page_id long, url string, text string, n_chars long, n_template_blocks long")

@@ -58,8 +58,11 @@ def made_pages(n=30, host="http://h.example/x"):
 
 def test_template_branches_go(spark):
     rows = [*made_pages(), (100, "http://other.example/", made_pages(1)[0][2]), (101, None, None), (102, "x", "")]
-    got = {r.page_id: r.text for r in sites.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    read = sites.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {r.page_id: r.text for r in read}
     assert got[4] == "Own text 68\nMore 4"
+    # The banner and the links, on every page of the host with a tree of its own.
+    assert {r.page_id: r.n_template_blocks for r in read} == {**dict.fromkeys(range(30), 2), 100: 0, 101: 0, 102: 0}
     # One page tells nothing about its host.
     assert got[100] == "Our site is great\nOwn text 0\nMore 0\nSee also this"
     assert got[101] == got[102] == ""
@@ -73,6 +76,15 @@ def test_importance_of_a_tree(spark):
     assert low[0] == pytest.approx(0) and low[-1] > 0.5
 
 
+def test_tree_is_asked_before_marks():
+    page = sites.Page("<nav><p>menu</p></nav><article><p>own</p><div class=x><p>spread</p></div></article><div>out</div>", {})
+    menu, spread = (path[-1] for text, path, _, _ in page.blocks if text in ("menu", "spread"))
+    assert sites.read_by_tree(page, frozenset()) == ("own\nspread", 0)
+    assert sites.read_by_tree(page, frozenset((menu, spread))) == ("own", 2)
+    # A tree that speaks against all of a page is not followed.
+    assert sites.read_by_tree(page, frozenset(p[-1] for _, p, _, _ in page.blocks)) == ("own\nspread", 0)
+
+
 def test_copies_on_one_host_keep_their_text(spark):
     body = "<article><h1>T</h1><p>one</p></article>"
     rows = [(i, "http://h/", body) for i in range(40)] + [(i, "http://g/", "<div>same</div>") for i in range(50, 70)]
