@@ -7,8 +7,13 @@ budget and capped at one, and is kept if a hash of its id falls below it.
 
 Cells are counted with a combine before the shuffle, so a source with a third of all rows
 costs a row per task.  Sources may be many: their factors stay on Spark, one row per source
-with its (language, topic) entries.  Languages and topics must be few (``max_values``, an
-error beyond), and only their factors come to the driver, one small query per half sweep.
+with its (language, topic) entries.  Of languages and topics only the factors come to the
+driver, one small query per half sweep; beyond ``max_values`` of either, every factor stays
+on Spark and the weighted cells are written once per half sweep, with the same result.
+Raking that has not settled after ``max_sweeps`` warns and says by how much.
+
+Tokens are a quarter of a text's UTF-8 bytes, rounded up, so texts without blanks weigh
+what they hold.
 
 Targets are given per value, or follow from a power: a value's own token share to that power,
 renormalised (below one flattens, one leaves as is).  Where a target cannot be met because
@@ -21,6 +26,7 @@ empty table gives no rows.  ``sample`` passes all columns through, whatever thei
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import pandas as pd
@@ -49,9 +55,9 @@ def topic_of(text: bytes) -> str:
 
 
 def measured(texts: pd.Series) -> pd.DataFrame:
-    """Topic and number of words (one at least) of each text."""
+    """Topic and tokens (one at least) of each text, a token being four bytes."""
     raw = [(t or "").encode() for t in texts]
-    return pd.DataFrame({"topic": [topic_of(t) for t in raw], "tokens": [max(len(t.split()), 1) for t in raw]})
+    return pd.DataFrame({"topic": [topic_of(t) for t in raw], "tokens": [max((len(t) + 3) // 4, 1) for t in raw]})
 
 
 def with_cells(docs: DataFrame, source: Column | None = None, lang: Column | None = None,
@@ -86,6 +92,44 @@ def _factor(values: dict[str, float], key: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(0.0)) if pairs else F.lit(0.0)
 
 
+def _unsettled(sweeps: int, moved: float) -> None:
+    warnings.warn(f"raking still moved a factor by {moved:.2g} in the last of {sweeps} sweeps", RuntimeWarning, stacklevel=3)
+
+
+def _goals(cells: DataFrame, key: str, power: float, given: dict[str, float] | None, total: float) -> DataFrame:
+    """(key, goal) of every value: the tokens its target share asks for."""
+    sums = cells.groupBy(key).agg(F.sum("tokens").cast("double").alias("n"))
+    if given is None:
+        raw = sums.select(key, F.pow("n", F.lit(power)).alias("raw"))
+    else:
+        asked = cells.sparkSession.createDataFrame(list(given.items()), f"{key} string, raw double")
+        raw = sums.select(key).join(asked, key, "left").fillna(0.0, ["raw"])
+    whole = raw.agg(F.sum("raw")).first()[0] or 1.0
+    return table(raw.select(key, (F.col("raw") * (total / whole)).alias("goal")), "goals")
+
+
+def _rake_tables(cells: DataFrame, goals: dict[str, DataFrame], max_sweeps: int, tolerance: float) -> DataFrame:
+    """The sweeps of :func:`rake` with every factor in a table, for any number of values."""
+    rows, moved = cells.select("source", "lang", "topic", "tokens", F.lit(1.0).alias("weight")), 0.0
+    for _ in range(max_sweeps):
+        moved = 0.0
+        for key in ("lang", "topic", "source"):
+            mass = rows.groupBy(key).agg(F.sum(F.col("tokens") * F.col("weight")).alias("n"))
+            # A value without weighted tokens keeps its factor; a goal of zero takes the rest out.
+            ratios = table(mass.join(goals[key], key).select(
+                key, F.when(F.col("n") > 0, F.col("goal") / F.col("n")).otherwise(F.lit(1.0)).alias("_ratio")), "ratios")
+            rows = table(rows.join(ratios, key).select(
+                "source", "lang", "topic", "tokens", (F.col("weight") * F.col("_ratio")).alias("weight")), "rake")
+            if key != "source":
+                asked = ratios.where("_ratio > 0").agg(F.max(F.abs(F.col("_ratio") - 1))).first()[0]
+                moved = max(moved, asked or 0.0)
+        if moved < tolerance:
+            break
+    else:
+        _unsettled(max_sweeps, moved)
+    return rows
+
+
 def rake(cells: DataFrame, *, powers: dict[str, float] | None = None, shares: dict[str, dict[str, float]] | None = None,
          source_shares: DataFrame | None = None, max_sweeps: int = 30, tolerance: float = 1e-6,
          max_values: int = 1000) -> DataFrame:
@@ -108,13 +152,17 @@ def rake(cells: DataFrame, *, powers: dict[str, float] | None = None, shares: di
     total, whole = everything
     goal = F.col("share") * (total / whole) if whole else F.lit(0.0)
 
-    def sums(key: str) -> dict[str, float]:
+    def sums(key: str) -> dict[str, float] | None:
         rows = cells.groupBy(key).agg(F.sum("tokens").cast("double").alias("n")).limit(max_values + 1).collect()
-        if len(rows) > max_values:
-            raise ValueError(f"more than {max_values} values of {key}: only sources may be many")
-        return {r[0]: r.n for r in rows}
-
-    targets = {k: _shares(sums(k), powers[k], shares.get(k)) for k in ("lang", "topic")}
+        return {r[0]: r.n for r in rows} if len(rows) <= max_values else None
+
+    own_sums = {k: sums(k) for k in ("lang", "topic")}
+    if None in own_sums.values():
+        goals = {"source": per_source.select("source", goal.alias("goal"))}
+        for key in own_sums:
+            goals[key] = _goals(cells, key, powers[key], shares.get(key), total)
+        return _rake_tables(cells, goals, max_sweeps, tolerance)
+    targets = {k: _shares(v, powers[k], shares.get(k)) for k, v in own_sums.items()}
     factors = {k: dict.fromkeys(t, 1.0) for k, t in targets.items()}
 
     def mass(entry: Column) -> Column:
@@ -137,6 +185,8 @@ def rake(cells: DataFrame, *, powers: dict[str, float] | None = None, shares: di
                 moved = max(moved, abs(ratio - 1) if share else 0.0)
         if moved < tolerance:
             break
+    else:
+        _unsettled(max_sweeps, moved)
     return weighted().select(
         "source", "e.lang", "e.topic", "e.tokens",
         (F.col("_a") * _factor(factors["lang"], F.col("e.lang")) * _factor(factors["topic"], F.col("e.topic"))).alias("weight"))

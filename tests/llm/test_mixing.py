@@ -51,8 +51,33 @@ def test_given_shares(spark):
     got = mixing.rake(table, shares={"lang": {"x": 0.5, "y": 0.5}}, source_shares=sources).collect()
     assert sum(r.tokens * r.weight for r in got if r.source == "b") == pytest.approx(600, rel=1e-4)
     assert sum(r.tokens * r.weight for r in got if r.lang == "x") == pytest.approx(400, rel=1e-4)
-    with pytest.raises(ValueError):
-        mixing.rake(table, max_values=1)
+
+
+def test_many_languages_are_raked_in_tables(spark):
+    rng = np.random.default_rng(2)
+    cells = [(f"s{i}", f"l{j}", f"t{k}", int(rng.integers(1, 500))) for i in range(3) for j in range(4) for k in range(2)]
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    for options in ({}, {"shares": {"lang": {"l0": 0.5, "l1": 0.25, "l2": 0.25}}}):
+        few = {tuple(r)[:4]: r.weight for r in mixing.rake(table, tolerance=1e-4, **options).collect()}
+        many = {tuple(r)[:4]: r.weight for r in mixing.rake(table, tolerance=1e-4, max_values=3, **options).collect()}
+        assert few.keys() == many.keys()
+        assert all(many[k] == pytest.approx(few[k], rel=1e-3) for k in few)
+    assert not any(many[k] for k in many if k[1] == "l3")
+
+
+def test_unsettled_raking_warns(spark):
+    cells = [("a", "x", "t", 900), ("a", "y", "t", 10), ("b", "x", "u", 20), ("b", "y", "t", 500)]
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    with pytest.warns(RuntimeWarning, match="sweeps"):
+        mixing.rake(table, max_sweeps=1, tolerance=1e-12)
+    with pytest.warns(RuntimeWarning, match="sweeps"):
+        mixing.rake(table, max_sweeps=1, tolerance=1e-12, max_values=1)
+
+
+def test_tokens_do_not_need_blanks():
+    import pandas as pd
+    texts = pd.Series([None, "", "a", "abcd", "abcde", "語" * 400])
+    assert list(mixing.measured(texts).tokens) == [1, 1, 1, 1, 2, 300]
 
 
 def test_sample_matches_its_probabilities(spark):
