@@ -120,22 +120,23 @@ def ranked(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def shard_by_curve(docs: DataFrame, *, shards: int = 8, dimensions: dict[str, Column] | None = None,
-                   bits: int = BITS) -> DataFrame:
+                   bits: int = BITS, carry: str | None = None) -> DataFrame:
     """Shard and slot of every document, in curve order.
 
-    ``dimensions`` maps names to numeric codes; default: size magnitude, source, language.
+    ``carry`` names a column to pass on.  ``dimensions`` maps names to numeric codes; default: size magnitude, source, language.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     codes = dimensions or {
         "size": size_code(F.col("size")), "source": text_code(F.col("source")), "lang": text_code(F.col("lang"))}
     names = list(codes)
+    more = [carry] if carry else []
     narrow = docs.withColumn("size", (F.octet_length(text) + 1).cast("long")).select(
         F.col("doc_id").cast("long").alias("doc_id"), "size", F.crc32(text.cast("binary")).alias("text_crc32"),
-        *[c.alias(f"{n}_code") for n, c in codes.items()])
+        *[c.alias(f"{n}_code") for n, c in codes.items()], *more)
     # Texts are read once; bounds, sampling and sorting work on this narrow table.
     celled = quantised(table(narrow, "sizes"), {n: F.col(f"{n}_code") for n in names}, bits)
     placed = celled.withColumn("curve", curve_index([F.col(f"{n}_cell") for n in names], bits)).select(
-        "doc_id", "size", "text_crc32", "curve", *[f"{n}_cell" for n in names])
+        "doc_id", "size", "text_crc32", "curve", *[f"{n}_cell" for n in names], *more)
     rank = ranked(placed, ["curve", "doc_id", "text_crc32"])
     # The first (total mod shards) shards hold one row more.
     small, extra = F.floor(F.col("total") / shards), F.col("total") % shards
@@ -147,15 +148,28 @@ def shard_by_curve(docs: DataFrame, *, shards: int = 8, dimensions: dict[str, Co
     return rank.withColumn("shard", shard.cast("int")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
         (F.col("place") - start).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-        "curve", *[f"{n}_cell" for n in names])
+        "curve", *[f"{n}_cell" for n in names], *more)
 
 
 def cut_files(docs: DataFrame, path: str, **options) -> None:
-    """Writes the documents in curve order, one folder per shard."""
-    placed = shard_by_curve(docs, **options).select("doc_id", "text_crc32", "shard", "slot").dropDuplicates(
-        ["doc_id", "text_crc32"])
-    keyed = docs.withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    keys = reduce(Column.__and__, [keyed[k].eqNullSafe(placed[k]) for k in ("doc_id", "text_crc32")])
-    joined = keyed.join(placed, keys).select(docs["*"], placed["shard"], placed["slot"])
-    joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy(
-        "shard").parquet(path)
+    """Writes the documents in curve order, one folder per shard.
+
+    A column of the input named ``shard`` gives way to the shard.  Rows that agree in all that
+    orders them (id, checksum and cell) get their places in any order, one each.
+    """
+    spare = unused(docs.columns)
+    # Rows take a number of their own, written with them, so equal ids or checksums mix nothing up.
+    own = table(docs.withColumn(spare, F.monotonically_increasing_id()), "numbered")
+    placed = shard_by_curve(own, carry=spare, **options).select(spare, F.col("shard").alias(f"{spare}s"), "slot")
+    joined = own.join(placed.withColumnRenamed("slot", f"{spare}t"), spare)
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "shard"]
+    joined.repartitionByRange(f"{spare}s", f"{spare}t").sortWithinPartitions(f"{spare}s", f"{spare}t").select(
+        *columns, F.col(f"{spare}s").alias("shard")).write.partitionBy("shard").parquet(path)
+
+
+def unused(names: list[str]) -> str:
+    """A column name that starts none of ``names``, in any case."""
+    name = "_n"
+    while any(n.lower().startswith(name) for n in names):
+        name += "_"
+    return name

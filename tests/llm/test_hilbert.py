@@ -53,3 +53,13 @@ def test_written_files(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "cut"))
     assert sorted(r.doc_id for r in back.collect()) == sorted(r.doc_id for r in docs.collect())
     assert set(back.columns) == {*docs.columns, "shard"}
+
+
+def test_files_keep_every_row_whatever_its_names(spark, tmp_path):
+    rows = [(1, "a b", "s", "en", "x", "1"), (1, "a b", "s", "en", "y", "2"), (None, None, None, None, "z", "3"), (None, None, None, None, "z", "4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, shard string, _n string").withColumn("a.b", F.lit("c"))
+    hilbert.cut_files(docs, str(tmp_path / "cut"), shards=2)
+    back = spark.read.parquet(str(tmp_path / "cut"))
+    assert sorted(r._n for r in back.collect()) == ["1", "2", "3", "4"]
+    assert set(back.columns) == set(docs.columns)
+    assert sorted(r.shard for r in back.collect()) == [0, 0, 1, 1]
