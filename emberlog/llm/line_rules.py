@@ -53,6 +53,7 @@ MAX_REPEAT_PERCENT = 30
 LINE_WORDS = (4, 40)
 MIN_RECURRENCE = 10
 MAX_SHARE_PERCENT = 10
+MAX_BROADCAST_HASHES = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BOILER = re.compile("|".join(map(re.escape, BOILERPLATE)))
@@ -225,8 +226,11 @@ def clean_lines(docs: DataFrame, *, max_lost: float = 0.5, with_text: bool = Tru
     found = map_arrow(keyed.select(*keys, "text"), _postings(hashes, lambda t: ((h,) for h, _, _ in recurring_candidates(t)), tuple(keys)),
                       "key1 long, key2 long, line long")
     # A text's own lines at most; equal texts are one key.
-    per_text = small_side(found.join(small_side(known, "known"), "line", "left_semi").groupBy(*keys).agg(
+    per_text = table(found.join(small_side(known, "known"), "line", "left_semi").groupBy(*keys).agg(
         F.collect_set("line").alias("lines")), "per_text")
+    held = per_text.agg(F.sum(F.size("lines").cast("long") + len(keys))).first()[0] or 0
+    if held <= MAX_BROADCAST_HASHES:
+        per_text = F.broadcast(per_text)
     names = [f.strip().split()[0] for f in FIELDS.split(",")]
     schema = pa.schema([("doc_id", pa.int64()), *zip(names, _ARROW, strict=True)])
     fields = FIELDS
