@@ -28,11 +28,14 @@ def void_files(spark: SparkSession, path: str, endings: tuple[str, ...] = (".jso
     """
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    listed, found = system.listFiles(hadoop_path, True), []
-    while listed.hasNext():
-        status = listed.next()
-        if not status.getLen() and status.getPath().getName().endswith(endings):
-            found.append(status.getPath().toString())
+    # Not ``listFiles``: it asks for every file's permissions, which starts a process per local file.
+    folders, found = [hadoop_path], []
+    while folders:
+        for status in system.listStatus(folders.pop()):
+            if status.isDirectory():
+                folders.append(status.getPath())
+            elif not status.getLen() and status.getPath().getName().endswith(endings):
+                found.append(status.getPath().toString())
     return found
 
 

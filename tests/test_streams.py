@@ -1,8 +1,10 @@
 import json
+from datetime import datetime
 
 import pytest
 
 from emberlog.operators import refine
+from emberlog.plans import registry
 from emberlog.sources import bronze, id_index, silver
 from emberlog.sources.sample_events import with_redelivery
 from emberlog.streaming import delivery, feed, ingest, metrics
@@ -262,3 +264,17 @@ def test_listener_records(spark, stored, tmp_path):
         spark.streams.removeListener(listener)
     rows = spark.read.json(str(tmp_path / "m")).collect()
     assert [r.name for r in rows] == ["listened"] and rows[0].rows > 0
+
+
+def test_refused_files_do_not_grow_with_the_deaths(spark, tmp_path, monkeypatch):
+    rows = [(i, datetime(2024, 1, 1 + i % 2), 1, "error", 1.0, '{"k": 7}') for i in range(60)]
+    spark.createDataFrame(
+        rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    monkeypatch.setattr(ingest, "unusable_files", lambda f, m, whole=ingest.unusable_files: seen.append(f.count()) or whole(f, m))
+    found = registry.ingest_file_rejects(spark, str(tmp_path)).collect()
+    assert sorted(found) == sorted(
+        [(f"ev_{i}", "empty" if i % 3 == 0 else "too_large") for i in range(60) if i % 3 < 2] + [("none", "empty")])
+    # Twenty deaths by sevens, a blank and a large file for each of two raids.
+    assert sum(seen) <= 3 + 4
