@@ -115,6 +115,16 @@ def run_medallion(
     )
 
 
+def marked_rows(
+    documents: DataFrame, as_of: str | None = None, check_ids: bool = True
+) -> DataFrame:
+    """Events of raw documents with ``errors`` from the full contract and their ``_document``,
+    besides a row without a position for each document that is no batch."""
+    rows = refine.fill_defaults(refine.parse_text_events(bronze.event_rows(documents)), as_of)
+    typed = rows.withColumn(DOCUMENT, F.concat_ws("#", "path", "batch_id"))
+    return contract.mark(typed, contract.event_rules(as_of, check_ids, from_text=True))
+
+
 def checked_events(
     documents: DataFrame, as_of: str | None = None, mode: str = "batch",
     max_events: int = C.MAX_EVENTS_PER_BATCH, check_ids: bool = True,
@@ -124,8 +134,12 @@ def checked_events(
     In ``batch`` mode a document is accepted or refused as a whole (``_document``: its path
     and batch id).
     """
-    typed = typed_events(documents, as_of).withColumn(
-        DOCUMENT, F.concat_ws("#", "path", "batch_id")
-    )
-    rules = contract.event_rules(as_of, check_ids, from_text=True)
-    return contract.admit(contract.mark(typed, rules), mode, DOCUMENT, max_events)
+    return admitted(marked_rows(documents, as_of, check_ids), mode, max_events)
+
+
+def admitted(
+    rows: DataFrame, mode: str = "batch", max_events: int = C.MAX_EVENTS_PER_BATCH
+) -> DataFrame:
+    """The events of :func:`marked_rows` with ``accepted``."""
+    events = rows.filter(F.col("idx").isNotNull()).drop(bronze.UNUSABLE)
+    return contract.admit(events, mode, DOCUMENT, max_events)

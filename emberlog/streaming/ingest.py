@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from emberlog import constants as C
 from emberlog.functions.paths import batch_id_of
 from emberlog.operators import contract, refine
-from emberlog.plans.medallion import DOCUMENT, checked_events, silver_input
+from emberlog.plans.medallion import DOCUMENT, admitted, marked_rows, silver_input
 from emberlog.schemas import SILVER_PARTITIONS
 from emberlog.sources import bronze, id_index
 from emberlog.sources.files import void_files, write_table
@@ -45,12 +45,11 @@ def refused_events(
     return rows.join(verdicts, DOCUMENT, "left").drop(DOCUMENT)
 
 
-def unusable_documents(documents: DataFrame, max_events: int = C.MAX_EVENTS_PER_BATCH) -> DataFrame:
-    """Documents that are no batch at all, with their text."""
-    batches = bronze.unpacked(documents.withColumn("event", F.col("body")))
-    status = bronze.document_status(batches, max_events)
-    return batches.select("path", "batch_id", status.alias("reasons"), "event").filter(
-        F.col("reasons").isin("malformed", "empty")
+def unusable_documents(rows: DataFrame) -> DataFrame:
+    """Documents that are no batch at all, with their text; from :func:`marked_rows`."""
+    return rows.filter(F.col("idx").isNull() & F.col(bronze.UNUSABLE).isNotNull()).select(
+        "path", "batch_id", F.col(bronze.UNUSABLE).alias("reasons"),
+        F.col(bronze.EVENT_TEXT).alias("event"),
     )
 
 
@@ -92,10 +91,10 @@ def ingest_batch(
     Both writes go to folders named after ``load``, so repeating a micro-batch replaces
     its own output instead of adding to it.
     """
-    documents = documents.persist(StorageLevel.MEMORY_AND_DISK)
-    checked = checked_events(documents, as_of, mode, max_events, check_ids).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    # Parsed and marked once; verdicts, accepted events, refused ones and documents that are
+    # no batch all come from these rows.
+    rows = marked_rows(documents, as_of, check_ids).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = admitted(rows, mode, max_events)
     try:
         seen = Observation()
         accepted = checked.observe(seen, *metrics.ingest_counters()).filter("accepted")
@@ -104,7 +103,7 @@ def ingest_batch(
         deliver(lambda: bronze.write_envelopes(packed, target, load=load), attempts)
 
         refused = refused_events(checked, mode, max_events)
-        refused = refused.unionByName(unusable_documents(documents, max_events), allowMissingColumns=True)
+        refused = refused.unionByName(unusable_documents(rows), allowMissingColumns=True)
         if files is not None:
             refused = refused.unionByName(unusable_files(files, max_bytes), allowMissingColumns=True)
         keyed = refused.withColumn("load", F.lit(load))
@@ -112,8 +111,7 @@ def ingest_batch(
         if counters is not None:
             deliver(lambda: metrics.write_counters(documents.sparkSession, counters, load, seen.get), attempts)
     finally:
-        checked.unpersist()
-        documents.unpersist()
+        rows.unpersist()
 
 
 def ingest_stream(

@@ -3,8 +3,9 @@ from datetime import datetime
 
 import pytest
 
+from emberlog import constants as C
 from emberlog.operators import refine
-from emberlog.plans import registry
+from emberlog.plans import medallion, registry
 from emberlog.sources import bronze, id_index, silver
 from emberlog.sources.sample_events import with_redelivery
 from emberlog.streaming import delivery, feed, ingest, metrics
@@ -266,6 +267,35 @@ def test_listener_records(spark, stored, tmp_path):
     assert [r.name for r in rows] == ["listened"] and rows[0].rows > 0
 
 
+def test_documents_are_parsed_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "batch_good.json").write_text(" \n" + json.dumps([event(1), event(2)]) + "\t")
+    (landing / "batch_none.json").write_text(" 　\n")
+    (landing / "batch_text.json").write_text(" not json\n")
+    rows = medallion.marked_rows(bronze.read_documents(spark, str(landing)), AS_OF)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(batch_id") == 1
+    # No event carries a copy of its document.
+    generate = next(line for line in plan.splitlines() if "Generate posexplode" in line)
+    below = plan[plan.index(generate):].splitlines()[1]
+    assert "isnotnull(_unusable" in below and "AS _text" in below
+    assert rows_of(ingest.unusable_documents(rows).select("batch_id", "reasons", "event")) == [
+        "Row(batch_id='none', reasons='empty', event=' 　\\n')".replace("　", "\\u3000"),
+        "Row(batch_id='text', reasons='malformed', event=' not json\\n')"]
+    assert medallion.admitted(rows, "row").filter("accepted").count() == 2
+    files = [spark.sparkContext.getConf().get("spark.checkpoint.dir"), str(tmp_path / "b"), str(tmp_path / "r")]
+    ingest.ingest_batch(bronze.read_documents(spark, str(landing)), "x-1", *files[1:], as_of=AS_OF)
+    assert {r.reasons for r in spark.read.parquet(files[2]).collect()} == {"empty", "malformed"}
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", " a", "a　", "\n[1]\r\n", "  ", "a b", "é ", None])
+def test_trimming_by_the_ends(spark, text):
+    frame = spark.createDataFrame([(text,)], "t string")
+    got = frame.select(bronze.trimmed(F.col("t")), F.btrim("t", F.lit(C.WHITE_SPACE))).first()
+    assert got[0] == got[1]
+
+
 def test_refused_files_do_not_grow_with_the_deaths(spark, tmp_path, monkeypatch):
     rows = [(i, datetime(2024, 1, 1 + i % 2), 1, "error", 1.0, '{"k": 7}') for i in range(60)]
     spark.createDataFrame(
