@@ -38,7 +38,8 @@ def silver_input(documents: DataFrame, as_of: str | None = None) -> DataFrame:
 
     Leaving out the checks' columns saves their parsing and keeps them out of the shuffle.
     """
-    return typed_events(documents, as_of).select(*EVENT_COLUMNS, "batch_id", "idx")
+    typed = refine.fill_defaults(refine.parse_text_events(bronze.plain_events(documents)), as_of)
+    return typed.select(*EVENT_COLUMNS, "batch_id", "idx")
 
 
 def batch_documents(

@@ -21,6 +21,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that its maker has no more use for."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def void_files(spark: SparkSession, path: str, endings: tuple[str, ...] = (".json", ".txt")) -> list[str]:
     """Files below a folder without a byte.
 

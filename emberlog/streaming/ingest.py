@@ -11,9 +11,10 @@ from emberlog import constants as C
 from emberlog.functions.paths import batch_id_of
 from emberlog.operators import contract, refine
 from emberlog.plans.medallion import DOCUMENT, admitted, marked_rows, silver_input
-from emberlog.schemas import SILVER_PARTITIONS
+from emberlog.schemas import SILVER_PARTITIONS, SILVER_SCHEMA
+from emberlog.session import scratch_path
 from emberlog.sources import bronze, id_index
-from emberlog.sources.files import void_files, write_table
+from emberlog.sources.files import delete, void_files, write_table
 from emberlog.sources.silver import read_silver_or_empty, touched_only
 from emberlog.streaming import metrics
 from emberlog.streaming.delivery import deliver
@@ -166,9 +167,10 @@ def refine_batch(
     spark = documents.sparkSession
     index = index or id_index.index_path(silver)
     id_index.build_index(spark, silver, index)
-    refined = refine.as_silver(refine.refine(silver_input(documents, as_of))).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    # A table, not the cache: most steps below read its ids alone, and its tasks follow its size.
+    table = scratch_path(spark, "micro-batch")
+    refine.as_silver(refine.refine(silver_input(documents, as_of))).write.parquet(table)
+    refined = spark.read.schema(SILVER_SCHEMA).parquet(table)
     try:
         if rejects is not None:
             lost = F.col("event_date").isNull() | F.col("raid_id").isNull()
@@ -182,7 +184,7 @@ def refine_batch(
         id_index.add_ids(fresh, index, load)
         return write_table(fresh, silver, SILVER_PARTITIONS, "append", sort=["timestamp"])
     finally:
-        refined.unpersist()
+        delete(spark, table)
 
 
 def refine_stream(

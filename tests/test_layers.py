@@ -8,7 +8,7 @@ import pytest
 from emberlog.operators import contract, quality, refine
 from emberlog.plans import gold as gold_plan
 from emberlog.plans import medallion
-from emberlog.schemas import SILVER_SCHEMA
+from emberlog.schemas import EVENT_COLUMNS, SILVER_SCHEMA
 from emberlog.sources import bronze, files, gold, silver
 from emberlog.sources.sample_events import with_redelivery
 from pyspark.sql import functions as F
@@ -228,3 +228,33 @@ def test_facts_scan_only_what_they_need(spark, layers):
     text = summary._jdf.queryExecution().executedPlan().toString()
     assert "ability_name" not in text and "Python" not in text and "Window" not in text
     assert "partial_" in text
+
+
+EVENT = '{"event_id":"a","raid_id":"raid001","damage_amount":1.50,"data_quality_flags":["x", null],"zone":{"k":[1, 2]}}'
+
+
+def envelope(*events):
+    return '{"batch_id":"b1","ingest_timestamp":"t","events":[' + ", ".join(events) + "]}"
+
+
+ODD_DOCUMENTS = [
+    envelope(EVENT, EVENT), envelope(), envelope("null", EVENT), envelope("5", EVENT), envelope('"x"'), envelope('""', EVENT),
+    envelope("[" + EVENT + "]"), envelope(EVENT) + " tail", envelope(EVENT)[:-2], "  " + envelope(EVENT),
+    "　" + envelope(EVENT), "[" + EVENT + "]", '[{"events":[' + EVENT + "]}]", EVENT, "[]", "", "x", None,
+    '{"events":3}', '{"events":null}', '{"batch_id":5,"events":[' + EVENT + "]}", '{"events":[1],"events":[' + EVENT + "]}",
+    '{"events":[' + EVENT + '],"events":5}', envelope('{"damage_amount":NaN,"event_id":Infinity}', EVENT),
+    envelope('{"healing_amount":-INF,"event_id":"NaN"}'), '{"events":[{"event_id":"a"}],"_unread":{"a":1}}',
+]
+
+
+def test_plain_events_are_those_of_the_texts(spark):
+    places = ("/x/raid_id=raid002/f{}.json", "/x/batch_n{}.json")
+    rows = [(places[i % 2].format(i), None, None, body) for i, body in enumerate(ODD_DOCUMENTS)]
+    documents = spark.createDataFrame(rows, bronze.DOCUMENT_SCHEMA)
+    columns = [*EVENT_COLUMNS, "path", "batch_id", "idx"]
+    assert rows_of(bronze.plain_events(documents).select(*columns)) == rows_of(bronze.events_of(documents).select(*columns))
+    # One parsing of a document that fits, and none of its single events.
+    plan = medallion.silver_input(documents, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate posexplode" in line)
+    assert "from_json" not in plan[:plan.index(generate)].replace("from_json(ArrayType(StringType,true)", "")
+    assert plan.count("_unread,StringType") == 1

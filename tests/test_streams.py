@@ -308,3 +308,18 @@ def test_refused_files_do_not_grow_with_the_deaths(spark, tmp_path, monkeypatch)
         [(f"ev_{i}", "empty" if i % 3 == 0 else "too_large") for i in range(60) if i % 3 < 2] + [("none", "empty")])
     # Twenty deaths by sevens, a blank and a large file for each of two raids.
     assert sum(seen) <= 3 + 4
+
+
+def test_micro_batches_are_read_from_a_table_that_is_removed(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps({"batch_id": "b", "events": [event(1), event(2), event(1)]}))
+    documents = bronze.read_documents(spark, str(tmp_path / "in"))
+    shared, seen = tmp_path / "shared", []
+    held_ids = id_index.held_ids
+    monkeypatch.setattr(ingest, "scratch_path", lambda spark, name: str(shared / name), raising=False)
+    monkeypatch.setattr(id_index, "held_ids", lambda spark, index, events: seen.append(
+        events._jdf.queryExecution().executedPlan().toString()) or held_ids(spark, index, events))
+    assert ingest.refine_batch(documents, str(tmp_path / "s"), AS_OF, load="x-1") == 2
+    # The documents are parsed into a table; its ids are looked up without the cache of whole rows.
+    assert "FileScan parquet" in seen[0] and "InMemoryTableScan" not in seen[0]
+    assert not list(shared.iterdir())
