@@ -82,15 +82,16 @@ def replay_steps(
 
 def replay_batches(
     spark: SparkSession, path: str, send: Callable[[DataFrame], None],
-    max_batches: int | None = None, step: int = 1000,
+    max_batches: int | None = None, step: int = 1000, steps_a_call: int = 1,
 ) -> int:
     """Hand stored chunks over in order, ``step`` positions of every raid at a time.
 
     ``send`` gets the documents of a step with their position, read from that step's folder
-    alone; it is called for the next step only after it returned.  Returns the number of
-    chunks handed over.
+    alone; it is called for the next step only after it returned.  A consumer that keeps
+    rows in order by ``step`` and ``position`` itself may take several consecutive steps in
+    one call, and so in one Spark job.  Returns the number of chunks handed over.
     """
     chunks, steps = replay_steps(spark, path, max_batches, step)
-    for number in range(steps):
-        send(chunks.filter(F.col("step") == number))
+    for first in range(0, steps, steps_a_call):
+        send(chunks.filter(F.col("step").between(first, first + steps_a_call - 1)))
     return chunks.count()

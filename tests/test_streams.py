@@ -323,3 +323,30 @@ def test_micro_batches_are_read_from_a_table_that_is_removed(spark, tmp_path, mo
     # The documents are parsed into a table; its ids are looked up without the cache of whole rows.
     assert "FileScan parquet" in seen[0] and "InMemoryTableScan" not in seen[0]
     assert not list(shared.iterdir())
+
+
+def test_replay_hands_over_several_steps_in_one_call(spark, sample, tmp_path):
+    path = str(tmp_path / "replay")
+    bronze.write_replay(bronze.replay_chunks(sample, 5, "tests"), path)
+    last = feed.replay_plan(spark, path).agg(F.max("position")).first()[0]
+    sent = []
+    given = feed.replay_batches(
+        spark, path, lambda df: sent.append(df.select("step", "position").collect()), step=1, steps_a_call=3)
+    assert given == sum(map(len, sent)) and len(sent) == -(-last // 3)
+    assert [sorted({r.step for r in call}) for call in sent] == [
+        list(range(first, min(first + 3, last))) for first in range(0, last, 3)]
+    assert all(r.position == r.step + 1 for call in sent for r in call)
+
+
+def test_replay_jobs_do_not_grow_with_the_longest_raid(spark, tmp_path, monkeypatch):
+    rows = [(i, datetime(2024, 1, 1), 1, "view", 1.0, '{"k": 7}') for i in range(1300)]
+    spark.createDataFrame(
+        rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    calls, whole = [], feed.replay_batches
+    monkeypatch.setattr(feed, "replay_batches", lambda spark, path, send, *a, **k: whole(
+        spark, path, lambda chunks: calls.append(1) or send(chunks), *a, **k))
+    sent = registry.replay_sent(spark, str(tmp_path)).collect()
+    # 52 chunks of 25 events: three steps of twenty positions, one call.
+    assert sorted((r.position, r.call) for r in sent) == [(p, (p - 1) // 20) for p in range(1, 53)]
+    assert len(calls) == 1
